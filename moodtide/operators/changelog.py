@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodtide.operators.running import BUCKET_BITS, running_count, running_sum, with_running
-from moodtide.operators.windows import mean_of
+from moodtide.operators.windows import REFERENCE_HOP, Hop, mean_of
 
-_GROUP = ["user_id", "window_start", "window_end"]
+_GROUP = ["user_id", "window_start"]
 
 
 def alert_changelog(
     windowed: DataFrame,
+    hop: Hop = REFERENCE_HOP,
     include_transient: bool = False,
     score_col: str = "sentiment_score",
     offset_col: str = "offset",
@@ -29,19 +30,21 @@ def alert_changelog(
         *_GROUP, F.col(offset_col).alias("offset"), F.col(score_col).alias("_score")
     )
     measures = {"score_sum": running_sum(F.col("_score")), "n": running_count()}
-    updates = with_running(pairs, _GROUP, "offset", measures, bucket_bits, share_shuffle=True)
+    updates = with_running(pairs, _GROUP, "offset", measures, bucket_bits)
     total, n = F.col("score_sum"), F.col("n")
     settled = F.struct(F.lit(1).alias("seq"), n.alias("n"), mean_of(total, n).alias("average_score"))
     if include_transient:
-        halfway = F.struct(
-            F.lit(0).alias("seq"), (n - 1).alias("n"), mean_of(total, n - 1).alias("average_score")
-        )
+        halfway = F.struct(F.lit(0).alias("seq"), (n - 1).alias("n"), mean_of(total, n - 1).alias("average_score"))
         update = F.explode(F.when(n > 1, F.array(halfway, settled)).otherwise(F.array(settled)))
-        return updates.select(*_GROUP, "offset", update.alias("_u")).select(*_GROUP, "offset", "_u.*")
-    return updates.select(*_GROUP, "offset", settled.alias("_u")).select(*_GROUP, "offset", "_u.*")
+    else:
+        update = settled
+    end = (F.col("window_start") + F.lit(hop.size_ms)).alias("window_end")
+    return updates.select(*_GROUP, end, "offset", update.alias("_update")).select(
+        *_GROUP, "window_end", "offset", "_update.*"
+    )
 
 
 def current_table(changelog: DataFrame) -> DataFrame:
     """The last update per (user, window). ``max_by`` folds map-side: no sort, one small shuffle."""
-    last = F.max_by(F.struct("n", "average_score"), F.struct("offset", "seq"))
+    last = F.max_by(F.struct("window_end", "n", "average_score"), F.struct("offset", "seq"))
     return changelog.groupBy(*_GROUP).agg(last.alias("_last")).select(*_GROUP, "_last.*")

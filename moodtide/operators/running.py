@@ -45,41 +45,33 @@ def with_running(
     order_col: str,
     measures: dict[str, Running],
     bucket_bits: int = BUCKET_BITS,
-    share_shuffle: bool = False,
 ) -> DataFrame:
     """Add each measure's running total over ``keys`` up to and including the row.
 
-    ``order_col`` is an integer, unique within ``keys``; keys are not null.
-
-    The bucket totals come from a second, narrow pass with map-side partial sums: right when
-    buckets are dense (few keys, many rows each). ``share_shuffle=True`` reads them off the row
-    shuffle instead: right when most (key, bucket) groups are small, or the input is itself the
-    result of a shuffle. Both give the same rows.
+    ``order_col`` is an integer, unique within ``keys``; keys are not null. Rows are shuffled once,
+    by (keys, bucket), and the join reuses that partitioning. The bucket totals come from a second,
+    narrow reading of the input with map-side partial sums; where the input holds a shuffle of its
+    own, Spark reuses it. Only buckets with something before them reach the join.
     """
-    inputs = {f"_in_{name}": measure.value for name, measure in measures.items()}
-    rows = df.withColumn("_bucket", F.shiftright(F.col(order_col).cast("bigint"), bucket_bits)).withColumns(inputs)
-    if share_shuffle:
-        rows = rows.repartition(*keys, "_bucket")
+    bucket = F.shiftright(F.col(order_col).cast("bigint"), bucket_bits)
+    rows = df.withColumns({"_bucket": bucket, **{f"_in_{name}": m.value for name, m in measures.items()}})
+
+    def folded(over: Window, source: str, result: str) -> dict[str, Column]:
+        return {f"{result}{name}": m.fold(F.col(f"{source}{name}")).over(over) for name, m in measures.items()}
 
-    # Buckets are ordered by their first row rather than their number: both passes then need
-    # the same columns, which lets Spark reuse the one exchange.
+    by_bucket = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(*keys, "_bucket").agg(
-        F.min(order_col).alias("_first"),
-        *[m.fold(F.col(f"_in_{name}")).alias(f"_total_{name}") for name, m in measures.items()],
+        *[m.fold(F.col(f"_in_{name}")).alias(f"_total_{name}") for name, m in measures.items()]
     )
-    earlier = Window.partitionBy(*keys).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        totals.withColumn("_earlier", F.count("*").over(earlier))
-        .withColumns({f"_before_{name}": m.fold(F.col(f"_total_{name}")).over(earlier) for name, m in measures.items()})
-        .filter("_earlier > 0")
+        totals.withColumns({"_buckets_before": F.count("*").over(by_bucket), **folded(by_bucket, "_total_", "_before_")})
+        .filter("_buckets_before > 0")
         .select(*keys, "_bucket", *[f"_before_{name}" for name in measures])
     )
 
-    inside = (
-        Window.partitionBy(*keys, "_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = rows.withColumns({f"_here_{name}": m.fold(F.col(f"_in_{name}")).over(inside) for name, m in measures.items()})
+    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(order_col)
+    in_bucket = in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumns(folded(in_bucket, "_in_", "_here_"))
     joined = local.join(carried, [*keys, "_bucket"], "left")
-    results = {name: m.combine(F.col(f"_before_{name}"), F.col(f"_here_{name}")) for name, m in measures.items()}
-    kept = [c for c in df.columns if c not in measures]
-    return joined.select(*kept, *[value.alias(name) for name, value in results.items()])
+    results = [m.combine(F.col(f"_before_{name}"), F.col(f"_here_{name}")).alias(name) for name, m in measures.items()]
+    return joined.select(*[c for c in df.columns if c not in measures], *results)

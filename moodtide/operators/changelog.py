@@ -5,46 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodtide.operators.running import BUCKET_BITS, running_count, running_sum, with_running
+from moodtide.operators.lateness import spans_buckets
+from moodtide.operators.running import with_running_sums
 from moodtide.operators.windows import REFERENCE_HOP, Hop, mean_of
 
-_GROUP = ["user_id", "window_start"]
 
-
-def alert_changelog(
-    windowed: DataFrame,
-    hop: Hop = REFERENCE_HOP,
-    include_transient: bool = False,
-    score_col: str = "sentiment_score",
-    offset_col: str = "offset",
-    bucket_bits: int = BUCKET_BITS,
-) -> DataFrame:
+def alert_changelog(in_time: DataFrame, hop: Hop = REFERENCE_HOP, include_transient: bool = False) -> DataFrame:
     """One row per update of a (user, window) mean, as record-by-record processing emits them.
 
-    Input: flat (row, window) pairs with a key. ``offset`` orders a user's records, ``seq`` the
-    updates of one record: 1 is the mean after the record. With ``include_transient`` every
-    record but a window's first also gives a seq-0 row, the new sum over the old count: what a
-    join of two separately updated tables shows in between, 2n-1 rows for n records.
+    Input: ``windowed_in_time`` rows with a ``sentiment_score``. ``offset`` orders the records of a
+    ``partition``, ``seq`` the updates of one record: 1 is the mean after the record. With
+    ``include_transient`` every record but a window's first also gives a seq-0 row, the new sum
+    over the old count: what a join of two separately updated tables shows in between, 2n-1 rows
+    for n records.
+
+    The sums run inside the (partition, bucket) shuffle that stream time came from. Only windows
+    that lie across a bucket's edge go through a second one, keyed by user and window and split
+    by bucket, so that no user's history is ever one task.
     """
-    pairs = windowed.filter(F.col("user_id").isNotNull()).select(
-        *_GROUP, F.col(offset_col).alias("offset"), F.col(score_col).alias("_score")
+    pairs = in_time.select(
+        "partition", "bucket", "user_id", "window_start", "offset",
+        F.col("sentiment_score").alias("_score"), spans_buckets().alias("_across"),
+    )
+    sums = {"score_sum": F.col("_score"), "n": F.lit(1).cast("bigint")}
+    updates = with_running_sums(
+        pairs, ["partition", "user_id", "window_start"], "offset", sums, "bucket", F.col("_across")
     )
-    measures = {"score_sum": running_sum(F.col("_score")), "n": running_count()}
-    updates = with_running(pairs, _GROUP, "offset", measures, bucket_bits)
     total, n = F.col("score_sum"), F.col("n")
-    settled = F.struct(F.lit(1).alias("seq"), n.alias("n"), mean_of(total, n).alias("average_score"))
+    update = F.struct(F.lit(1).alias("seq"), n.alias("n"), mean_of(total, n).alias("average_score"))
     if include_transient:
         halfway = F.struct(F.lit(0).alias("seq"), (n - 1).alias("n"), mean_of(total, n - 1).alias("average_score"))
-        update = F.explode(F.when(n > 1, F.array(halfway, settled)).otherwise(F.array(settled)))
-    else:
-        update = settled
-    end = (F.col("window_start") + F.lit(hop.size_ms)).alias("window_end")
-    return updates.select(*_GROUP, end, "offset", update.alias("_update")).select(
-        *_GROUP, "window_end", "offset", "_update.*"
-    )
+        update = F.explode(F.when(n > 1, F.array(halfway, update)).otherwise(F.array(update)))
+    window_end = (F.col("window_start") + F.lit(hop.size_ms)).alias("window_end")
+    return updates.select(
+        "partition", "offset", "user_id", "window_start", window_end, update.alias("_update")
+    ).select("partition", "offset", "user_id", "window_start", "window_end", "_update.*")
 
 
 def current_table(changelog: DataFrame) -> DataFrame:
     """The last update per (user, window). ``max_by`` folds map-side: no sort, one small shuffle."""
     last = F.max_by(F.struct("window_end", "n", "average_score"), F.struct("offset", "seq"))
-    return changelog.groupBy(*_GROUP).agg(last.alias("_last")).select(*_GROUP, "_last.*")
+    return changelog.groupBy("user_id", "window_start").agg(last.alias("_last")).select(
+        "user_id", "window_start", "_last.*"
+    )

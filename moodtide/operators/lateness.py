@@ -3,45 +3,72 @@
 Stream time is, per source partition, the highest event time seen so far in offset order, the
 row itself included. A (row, window) pair is late once ``window_end + grace <= stream_time``.
 Rows without a key neither count nor move stream time.
+
+A topic has few partitions, so nothing runs per partition: offsets are cut into buckets of
+``2**bucket_bits``, rows are shuffled by (partition, bucket), and a table with one row per bucket
+brings in the highest time of the buckets before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodtide.operators.running import BUCKET_BITS, running_max, with_running
-from moodtide.operators.windows import REFERENCE_HOP, Hop, assign_windows, flatten_window
+from moodtide.operators.running import BUCKET_BITS, bucket_of
+from moodtide.operators.windows import REFERENCE_HOP, Hop, explode_windows
 
 
-def with_stream_time(
-    df: DataFrame,
-    partition_col: str = "partition",
-    offset_col: str = "offset",
-    time_col: str = "timestamp",
-    key_col: str = "user_id",
-    bucket_bits: int = BUCKET_BITS,
-) -> DataFrame:
-    """Add ``stream_time`` (ms). A topic has few partitions, so the running maximum is taken in
-    buckets of offsets: the parallelism is offsets / 2**bucket_bits, not the partition count."""
-    keyed = df.filter(F.col(key_col).isNotNull())
-    measures = {"stream_time": running_max(F.col(time_col))}
-    return with_running(keyed, [partition_col], offset_col, measures, bucket_bits)
+def with_stream_time(df: DataFrame, bucket_bits: int = BUCKET_BITS) -> DataFrame:
+    """Add ``stream_time`` (ms) to ``partition, offset, timestamp, user_id, ...``, and what tells
+    how far a row's bucket overlaps others in time: ``bucket``, ``earlier_max`` and ``later_min``,
+    the highest event time of the partition's earlier buckets and the lowest of its later ones.
+    """
+    rows = df.withColumn("bucket", bucket_of(F.col("offset"), bucket_bits))
+    # Said here for every branch that follows; left to Spark, only the inner sides of joins get
+    # some of these filters, and their shuffles then differ from the others and are not reused.
+    for column in ("user_id", "partition", "bucket", "timestamp"):
+        rows = rows.filter(F.col(column).isNotNull())
+    # Narrow and map-side: this pass reads four columns and shuffles a row per task and bucket.
+    extent = rows.groupBy("partition", "bucket").agg(F.max("timestamp").alias("_max"), F.min("timestamp").alias("_min"))
+    # Both frames look back, the second over the buckets in reverse: a frame that looks forward
+    # to the end is worked out anew for every row.
+    by_bucket = Window.partitionBy("partition")
+    before = by_bucket.orderBy(F.col("bucket").asc()).rowsBetween(Window.unboundedPreceding, -1)
+    after = by_bucket.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    bounds = extent.select(
+        "partition",
+        "bucket",
+        F.max("_max").over(before).alias("earlier_max"),
+        F.min("_min").over(after).alias("later_min"),
+    )
+    inside = Window.partitionBy("partition", "bucket").orderBy("offset")
+    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = rows.withColumn("_here", F.max("timestamp").over(inside))
+    joined = running.join(bounds, ["partition", "bucket"], "left")
+    return joined.withColumn("stream_time", F.greatest("earlier_max", "_here")).select(
+        *df.columns, "stream_time", "bucket", "earlier_max", "later_min"
+    )
 
 
 def is_late(hop: Hop) -> Column:
     return F.col("window_end") + F.lit(hop.grace_ms) <= F.col("stream_time")
 
 
-def windowed_in_time(df: DataFrame, hop: Hop = REFERENCE_HOP, **columns) -> DataFrame:
+def spans_buckets() -> Column:
+    """False only where a (user, window) has no row in any other bucket of its partition: the
+    window lies after all that came in earlier buckets and before all that comes in later ones."""
+    return (F.col("window_start") <= F.col("earlier_max")) | (F.col("window_end") > F.col("later_min"))
+
+
+def windowed_in_time(df: DataFrame, hop: Hop = REFERENCE_HOP, bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """The (row, window) pairs that count."""
-    return _windowed(df, hop, **columns).filter(~is_late(hop)).drop("stream_time")
+    return _windowed(df, hop, bucket_bits).filter(~is_late(hop))
 
 
-def windowed_late(df: DataFrame, hop: Hop = REFERENCE_HOP, **columns) -> DataFrame:
+def windowed_late(df: DataFrame, hop: Hop = REFERENCE_HOP, bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """The (row, window) pairs that come too late, with the stream time that closed them."""
-    return _windowed(df, hop, **columns).filter(is_late(hop))
+    return _windowed(df, hop, bucket_bits).filter(is_late(hop))
 
 
-def _windowed(df: DataFrame, hop: Hop, **columns) -> DataFrame:
-    return flatten_window(assign_windows(with_stream_time(df, **columns), hop))
+def _windowed(df: DataFrame, hop: Hop, bucket_bits: int) -> DataFrame:
+    return explode_windows(with_stream_time(df, bucket_bits), hop)

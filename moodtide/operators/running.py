@@ -1,16 +1,15 @@
-"""Running totals along an order, for groups of any size.
+"""Running sums along an order, for groups of any size.
 
-A plain ``sum().over(partitionBy(key).orderBy(offset))`` puts a whole key into one task. Here
-the order column is cut into buckets of ``2**bucket_bits``; running totals are taken inside
-(key, bucket), and each bucket adds what the key's earlier buckets sum to. No task holds more of
-a key than one bucket of rows, or that key's bucket totals: with 2**20 per bucket, 2**40 offsets
-per key make at most 2**20 rows on either level.
+A plain ``sum().over(partitionBy(key).orderBy(offset))`` puts a whole key into one task. Here the
+order column is cut into buckets of ``2**bucket_bits``; running sums are taken inside (key, bucket),
+and each bucket adds what the key's earlier buckets sum to. No task holds more of a key than one
+bucket of rows, or that key's bucket totals: with 2**20 per bucket, 2**40 offsets per key make at
+most 2**20 rows on either level.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,60 +17,47 @@ from pyspark.sql import functions as F
 BUCKET_BITS = 20
 
 
-@dataclass(frozen=True)
-class Running:
-    """One running measure: how rows fold, and how an earlier total joins a later one."""
+def bucket_of(order: Column, bucket_bits: int) -> Column:
+    return F.shiftright(order.cast("bigint"), bucket_bits)
 
-    value: Column
-    fold: Callable[[Column], Column]
-    combine: Callable[[Column, Column], Column]
 
-
-def running_sum(value: Column) -> Running:
-    return Running(value, F.sum, lambda before, here: F.coalesce(before, F.lit(0)) + here)
-
-
-def running_count() -> Running:
-    return running_sum(F.lit(1).cast("bigint"))
-
-
-def running_max(value: Column) -> Running:
-    return Running(value, F.max, F.greatest)
-
-
-def with_running(
+def with_running_sums(
     df: DataFrame,
     keys: Sequence[str],
     order_col: str,
-    measures: dict[str, Running],
-    bucket_bits: int = BUCKET_BITS,
+    sums: dict[str, Column],
+    bucket_col: str,
+    spans: Column | None = None,
 ) -> DataFrame:
-    """Add each measure's running total over ``keys`` up to and including the row.
-
-    ``order_col`` is an integer, unique within ``keys``; keys are not null. Rows are shuffled once,
-    by (keys, bucket), and the join reuses that partitioning. The bucket totals come from a second,
-    narrow reading of the input with map-side partial sums; where the input holds a shuffle of its
-    own, Spark reuses it. Only buckets with something before them reach the join.
-    """
-    bucket = F.shiftright(F.col(order_col).cast("bigint"), bucket_bits)
-    rows = df.withColumns({"_bucket": bucket, **{f"_in_{name}": m.value for name, m in measures.items()}})
+    """Add the running sum of each of ``sums`` over ``keys``, up to and including the row.
 
-    def folded(over: Window, source: str, result: str) -> dict[str, Column]:
-        return {f"{result}{name}": m.fold(F.col(f"{source}{name}")).over(over) for name, m in measures.items()}
+    ``order_col`` is unique within ``keys``; ``bucket_col`` is its ``bucket_of``; keys are not null.
+    Rows already partitioned by the bucket and some of the keys are not shuffled again for this.
 
-    by_bucket = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.groupBy(*keys, "_bucket").agg(
-        *[m.fold(F.col(f"_in_{name}")).alias(f"_total_{name}") for name, m in measures.items()]
-    )
-    carried = (
-        totals.withColumns({"_buckets_before": F.count("*").over(by_bucket), **folded(by_bucket, "_total_", "_before_")})
-        .filter("_buckets_before > 0")
-        .select(*keys, "_bucket", *[f"_before_{name}" for name in measures])
-    )
-
-    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(order_col)
-    in_bucket = in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = rows.withColumns(folded(in_bucket, "_in_", "_here_"))
-    joined = local.join(carried, [*keys, "_bucket"], "left")
-    results = [m.combine(F.col(f"_before_{name}"), F.col(f"_here_{name}")).alias(name) for name, m in measures.items()]
-    return joined.select(*[c for c in df.columns if c not in measures], *results)
+    ``spans`` is a condition that holds on every row whose group reaches beyond its bucket, and
+    depends on group and bucket only. All other groups are finished inside their bucket: just
+    the spanning ones pay for bucket totals and for the join that brings earlier totals in.
+    """
+    rows = df.withColumns({f"_in_{name}": value for name, value in sums.items()})
+    group = [*keys, bucket_col]
+    inside = Window.partitionBy(*group).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*keys).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
+    out = [c for c in df.columns if c not in sums]
+
+    def local(part: DataFrame) -> DataFrame:
+        return part.withColumns({name: F.sum(f"_in_{name}").over(inside) for name in sums})
+
+    def carried_in(part: DataFrame) -> DataFrame:
+        totals = part.groupBy(*group).agg(*[F.sum(f"_in_{name}").alias(f"_total_{name}") for name in sums])
+        earlier = totals.withColumn("_buckets_before", F.count("*").over(before)).withColumns(
+            {f"_before_{name}": F.sum(f"_total_{name}").over(before) for name in sums}
+        )
+        earlier = earlier.filter("_buckets_before > 0").select(*group, *[f"_before_{name}" for name in sums])
+        joined = local(part).join(earlier, group, "left")
+        return joined.withColumns({name: F.coalesce(F.col(f"_before_{name}"), F.lit(0)) + F.col(name) for name in sums})
+
+    if spans is None:
+        return carried_in(rows).select(*out, *sums)
+    marked = rows.withColumn("_spans", F.coalesce(spans, F.lit(False)))
+    alone = local(marked.filter(~F.col("_spans"))).select(*out, *sums)
+    return alone.unionByName(carried_in(marked.filter("_spans")).select(*out, *sums))

@@ -47,6 +47,20 @@ def flatten_window(df: DataFrame) -> DataFrame:
     return df.withColumns(bounds).drop("window")
 
 
+def explode_windows(df: DataFrame, hop: Hop = REFERENCE_HOP, millis_col: str = "timestamp") -> DataFrame:
+    """The same windows as ``window_start``, ``window_end``, from epoch milliseconds.
+
+    For batch work behind a shuffle: ``explode`` keeps the partitioning its input has, which the
+    ``Expand`` behind ``window`` does not.
+    """
+    time = F.col(millis_col)
+    last = time - F.pmod(time, F.lit(hop.advance_ms))
+    earlier = F.floor((F.lit(hop.size_ms - 1) - (time - last)) / hop.advance_ms) * hop.advance_ms
+    starts = F.sequence(F.greatest(last - earlier, F.lit(0)), last, F.lit(hop.advance_ms).cast("bigint"))
+    exploded = df.filter(time >= 0).withColumn("window_start", F.explode(starts))
+    return exploded.withColumn("window_end", F.col("window_start") + F.lit(hop.size_ms))
+
+
 def mean_of(total: Column, n: Column) -> Column:
     """``total / n``, and 0 for nothing counted."""
     return F.when(n == 0, F.lit(0.0)).otherwise(F.try_divide(total, n))

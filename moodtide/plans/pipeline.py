@@ -34,5 +34,4 @@ def replayed_changelog(
     chat: DataFrame, hop: Hop = REFERENCE_HOP, include_transient: bool = False, bucket_bits: int = BUCKET_BITS
 ) -> DataFrame:
     """Every update record-by-record processing would emit, late rows dropped as it would."""
-    in_time = windowed_in_time(scores(chat), hop, bucket_bits=bucket_bits)
-    return alert_changelog(in_time, hop, include_transient, bucket_bits=bucket_bits)
+    return alert_changelog(windowed_in_time(scores(chat), hop, bucket_bits), hop, include_transient)

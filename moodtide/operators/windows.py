@@ -73,16 +73,22 @@ def _grouped(windowed: DataFrame, keys: Sequence[str]):
     return present.groupBy(*keys, "window")
 
 
+def window_aggregate(windowed: DataFrame, *aggregates: Column, keys: Sequence[str] = ("user_id",)) -> DataFrame:
+    """Any aggregates per key and window; rows without a key do not count (U4). Built-in ones
+    fold map-side; a grouped-aggregate ``pandas_udf`` does not, and takes each group whole."""
+    return _grouped(windowed, keys).agg(*aggregates)
+
+
 def window_sum(
     windowed: DataFrame, keys: Sequence[str] = ("user_id",), score_col: str = "sentiment_score"
 ) -> DataFrame:
-    """Score total per key and window; rows without a key do not count."""
-    return _grouped(windowed, keys).agg(F.sum(score_col).alias("score_sum"))
+    """Score total per key and window."""
+    return window_aggregate(windowed, F.sum(score_col).alias("score_sum"), keys=keys)
 
 
 def window_count(windowed: DataFrame, keys: Sequence[str] = ("user_id",)) -> DataFrame:
     """Rows per key and window."""
-    return _grouped(windowed, keys).agg(F.count("*").alias("n"))
+    return window_aggregate(windowed, F.count("*").alias("n"), keys=keys)
 
 
 def window_mean(
@@ -91,7 +97,7 @@ def window_mean(
     """Sum, count and mean in one aggregation: one shuffle of map-side partial sums, so a key
     that holds much of the input still sends one row per task and window. Batch and streaming.
     """
-    totals = _grouped(windowed, keys).agg(F.sum(score_col).alias("score_sum"), F.count("*").alias("n"))
+    totals = window_aggregate(windowed, F.sum(score_col).alias("score_sum"), F.count("*").alias("n"), keys=keys)
     return totals.withColumn("average_score", mean_of(F.col("score_sum"), F.col("n")))
 
 

@@ -67,4 +67,5 @@ ALERT_GENERATION_ERROR = "3002"
 
 def error_catalogue(spark: SparkSession) -> DataFrame:
     """The nine error codes as a table ``code, family, message`` (V6)."""
-    return spark.createDataFrame(ERROR_CODES, "code STRING, family STRING, message STRING")
+    rows = ", ".join(str(row) for row in ERROR_CODES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS catalogue(code, family, message)")

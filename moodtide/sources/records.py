@@ -65,7 +65,9 @@ def upsert_records(spark: SparkSession, records: DataFrame, base: str, writer: s
             .join(dates, "window_date", "left_semi")
             .join(changes, KEY, "left_anti")
         )
-        kept.unionByName(changes).write.mode("overwrite").parquet(stage)
+        # In date order, so that a task writes few dates; a date too large for one task is split.
+        merged = kept.unionByName(changes).repartitionByRange("window_date", *KEY)
+        merged.write.mode("overwrite").parquet(stage)
         done = spark.range(batch_id, batch_id + 1, 1, 1).select(F.lit(writer).alias("writer"), "id")
         done.write.mode("overwrite").parquet(marker)
     (

@@ -19,6 +19,7 @@ from moodtide.operators.windows import (
     explode_windows,
     flatten_window,
     join_sum_count,
+    window_aggregate,
     window_count,
     window_mean,
     window_sum,
@@ -74,6 +75,12 @@ def test_rows_without_key_do_not_count(spark):
     assert window_sum(windowed).count() == window_count(windowed).count() == 2
 
 
+def test_any_aggregate_per_window(spark):
+    records = [Record(0, i, "u", 60_000 + i, score) for i, score in enumerate([0.8, -0.6, 0.0])]
+    extremes = window_aggregate(assign_windows(scored(spark, records)), F.min("sentiment_score"), F.max("sentiment_score"))
+    assert {tuple(r)[2:] for r in extremes.collect()} == {(-0.6, 0.8)}
+
+
 def test_mean_takes_one_shuffle_and_equals_the_join(spark):
     rnd = random.Random(3)
     records = [Record(0, i, f"u{rnd.randrange(5)}", rnd.randrange(600_000), rnd.choice([0.8, -0.6, 0.0])) for i in range(500)]

@@ -31,7 +31,8 @@ def to_records(
     elif isinstance(created_at, Column):
         created = created_at
     else:
-        created = F.lit(created_at).cast("timestamp_ntz")
+        # By way of text: a datetime literal would go through the session zone.
+        created = F.lit(created_at.isoformat(" ")).cast("timestamp_ntz")
     values = {
         "user_id": F.col("user_id"),
         "window_end_ts": F.col("window_end"),

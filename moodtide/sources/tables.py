@@ -52,9 +52,9 @@ def chat(spark: SparkSession, sf_dir: str, hold_back_every: int | None = None) -
 
 
 def chat_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The event table as a stream: its files, and any that are added to the folder."""
+    """The event table as a stream, whether it is one file or a folder of files."""
     reader = spark.readStream.schema(table(spark, sf_dir, "events").schema)
-    reader = reader.option("pathGlobFilter", "events.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return events_as_chat(reader.parquet(sf_dir))
+    # A file source takes a single file only by way of a pattern.
+    return events_as_chat(reader.parquet(f"{sf_dir.rstrip('/')}/[e]vents.parquet"))

@@ -20,7 +20,7 @@ from moodtide.functions.sentiment import DEFAULT_RULES, Rule, lexicon_scorer, sc
 from moodtide.operators import alerts, changelog, lateness, quality, windows
 from moodtide.operators.windows import Hop
 from moodtide.plans import pipeline
-from moodtide.schemas import CHAT_MESSAGE, PARAMETER_INVALID, record
+from moodtide.schemas import ALERT_TOPIC, CHAT_MESSAGE, CHAT_TOPIC, PARAMETER_INVALID, WARNING_ALERT, record
 from moodtide.session import use_rocksdb_state, work_dir
 from moodtide.sources import records, topics
 from moodtide.sources.tables import DAY_MS, chat, chat_stream, table
@@ -370,21 +370,14 @@ def alerts_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alerts_through_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three streams joined by two topics kept as files: ingest, score, alert."""
-    out = work_dir(spark, "topics")
+    """Three streams joined by topics kept as files: ingest, scoring, alerting."""
     use_rocksdb_state(spark)
-
-    def land(stage: DataFrame, name: str) -> DataFrame:
-        checkpoint = f"{out}/{name}-checkpoint"
-        topics.write_files(stage, f"{out}/{name}", checkpoint, streams.ALL_AVAILABLE).awaitTermination()
-        return topics.read_files(spark, f"{out}/{name}", streaming=True)
-
-    chats = topics.chat_messages(land(topics.chat_records(chat_stream(spark, sf_dir)), "chat"))
-    scored = pipeline.scores(chats.filter(F.col("error_code").isNull()))
-    scores = topics.sentiment_scores(land(topics.score_records(scored), "scores"))
-    keyed = scores.drop("user_id").withColumnRenamed("key", "user_id")
-    running = streams.start_final(
-        streams.alert_stream(keyed, DAY_HOP), f"{out}/alerts", f"{out}/checkpoint", streams.ALL_AVAILABLE
-    )
-    running.awaitTermination()
-    return _alert_rows(spark.read.parquet(f"{out}/alerts"))
+    out = work_dir(spark, "topics")
+    kept = topics.FileTopics(f"{out}/topics")
+    every = streams.ALL_AVAILABLE
+    ingest = topics.chat_records(chat_stream(spark, sf_dir))
+    kept.write(ingest, CHAT_TOPIC, f"{out}/ingest", every).awaitTermination()
+    streams.start_scoring(spark, kept, f"{out}/scoring", every).awaitTermination()
+    streams.start_alerting(spark, kept, f"{out}/alerting", DAY_HOP, trigger=every, mode="append").awaitTermination()
+    sent = decode_json(kept.read(spark, ALERT_TOPIC), WARNING_ALERT)
+    return _alert_rows(sent)

@@ -12,16 +12,31 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from moodtide.functions.sentiment import Scorer
 from moodtide.operators.alerts import to_alerts, to_records
 from moodtide.operators.windows import REFERENCE_HOP, Hop
-from moodtide.plans.pipeline import window_means
+from moodtide.plans.pipeline import scores, window_means
+from moodtide.schemas import ALERT_TOPIC, CHAT_TOPIC, SCORE_TOPIC
+from moodtide.sources import topics as wire
 from moodtide.sources.records import upsert_records, write_changes
-
-EVERY_SECOND = {"processingTime": "1 second"}
-ALL_AVAILABLE = {"availableNow": True}
+from moodtide.sources.topics import ALL_AVAILABLE, EVERY_SECOND
+
+__all__ = [
+    "ALL_AVAILABLE",
+    "EVERY_SECOND",
+    "alert_stream",
+    "read_scores",
+    "start_alerting",
+    "start_change_log",
+    "start_final",
+    "start_scoring",
+    "start_topology",
+    "start_upsert",
+]
 
 
 def alert_stream(scored: DataFrame, hop: Hop = REFERENCE_HOP, threshold: float | None = None) -> DataFrame:
@@ -74,6 +89,55 @@ def start_final(
     return writer.trigger(**(trigger or EVERY_SECOND)).start(path)
 
 
+def start_scoring(
+    spark: SparkSession, topics: wire.Topics, checkpoint: str, trigger: dict | None = None, scorer: Scorer | None = None
+) -> StreamingQuery:
+    """Chat topic to score topic. Records that do not decode and null messages are left out here:
+    ``topics.chat_messages`` over the same topic gives them with their code."""
+    chat = wire.chat_messages(topics.read(spark, CHAT_TOPIC, streaming=True)).filter(F.col("error_code").isNull())
+    return topics.write(wire.score_records(scores(chat, scorer)), SCORE_TOPIC, checkpoint, trigger)
+
+
+def read_scores(spark: SparkSession, topics: wire.Topics) -> DataFrame:
+    """The score topic as a stream for ``alert_stream``. The user is the record's key."""
+    scored = wire.sentiment_scores(topics.read(spark, SCORE_TOPIC, streaming=True))
+    scored = scored.filter(F.col("error_code").isNull())
+    if not topics.keeps_time:
+        scored = wire.with_payload_time(scored)
+    return scored.drop("user_id").withColumnRenamed("key", "user_id")
+
+
+def start_alerting(
+    spark: SparkSession,
+    topics: wire.Topics,
+    checkpoint: str,
+    hop: Hop = REFERENCE_HOP,
+    threshold: float | None = None,
+    trigger: dict | None = None,
+    mode: str = "update",
+) -> StreamingQuery:
+    """Score topic to alert topic: every update of a window's mean on Kafka; file topics take
+    ``mode="append"``, the final alerts."""
+    alerts = alert_stream(read_scores(spark, topics), hop, threshold)
+    return topics.write(wire.alert_records(alerts), ALERT_TOPIC, checkpoint, trigger, mode)
+
+
+def start_topology(
+    spark: SparkSession,
+    topics: wire.Topics,
+    checkpoint: str,
+    hop: Hop = REFERENCE_HOP,
+    threshold: float | None = None,
+    trigger: dict | None = None,
+    scorer: Scorer | None = None,
+    mode: str = "update",
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Both stages, side by side: scoring first, then alerting on what it writes."""
+    scoring = start_scoring(spark, topics, f"{checkpoint}/{SCORE_TOPIC}", trigger, scorer)
+    alerting = start_alerting(spark, topics, f"{checkpoint}/{ALERT_TOPIC}", hop, threshold, trigger, mode)
+    return scoring, alerting
+
+
 def _start(alerts: DataFrame, on_batch, checkpoint: str, trigger: dict | None, name: str | None) -> StreamingQuery:
     writer = alerts.writeStream.outputMode("update").foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if name:

@@ -226,13 +226,48 @@ def test_alerts_go_out_under_their_windowed_key(spark):
 def test_file_topic_batch_and_stream(spark, sf_dir, tmp_path):
     from moodtide.sources.tables import chat
 
-    path = str(tmp_path / "chat")
-    topics.write_files(topics.chat_records(chat(spark, sf_dir)), path)
+    kept = topics.FileTopics(str(tmp_path / "kept"), max_files_per_trigger=1)
+    kept.write(topics.chat_records(chat(spark, sf_dir)), "chat-messages")
     n = chat(spark, sf_dir).count()
-    assert topics.chat_messages(topics.read_files(spark, path), mode="strict").count() == n
-    copied = topics.read_files(spark, path, streaming=True, max_files_per_trigger=1)
-    run(topics.write_files(copied, str(tmp_path / "copy"), str(tmp_path / "cp"), streams.ALL_AVAILABLE))
-    assert topics.read_files(spark, str(tmp_path / "copy")).count() == n
+    assert topics.chat_messages(kept.read(spark, "chat-messages"), mode="strict").count() == n
+    run(kept.write(kept.read(spark, "chat-messages", streaming=True), "copy", str(tmp_path / "cp"), streams.ALL_AVAILABLE))
+    assert kept.read(spark, "copy").count() == n
+    with pytest.raises(ValueError):
+        kept.write(kept.read(spark, "chat-messages", streaming=True), "copy")
+
+
+def test_topology_runs_both_stages_side_by_side(spark, tmp_path):
+    """Both queries run at once; a bad record and a null message are left out, a keyless one too."""
+    kept = topics.FileTopics(str(tmp_path / "kept"))
+    for topic in ("chat-messages", "sentiment-scores"):
+        kept.create(spark, topic)
+    scoring, alerting = streams.start_topology(spark, kept, str(tmp_path / "cp"), mode="append")
+    try:
+        when = dt.datetime(2024, 1, 1)
+        first = [("U1", "好", 0), ("U1", "难过", 10), ("U1", None, 11), (None, "好", 12)]
+        for number, rows in enumerate([first, [("U2", "x", 600)]]):
+            batch = spark.createDataFrame(
+                [(u, 5, m, 0, number * 10 + i, when + dt.timedelta(seconds=s)) for i, (u, m, s) in enumerate(rows)],
+                "user_id STRING, timestamp BIGINT, message STRING, partition INT, offset BIGINT, event_time TIMESTAMP",
+            )
+            kept.write(topics.chat_records(batch), "chat-messages")
+            scoring.processAllAvailable()
+            alerting.processAllAvailable()
+        sent = kept.read(spark, "warning-alerts")
+        text, start = split_windowed_key(F.col("key"))
+        rows = sent.select(text, (start - int(when.timestamp()) * 1000) / 1000, F.get_json_object(F.col("value").cast("string"), "$.averageScore"))
+        assert sorted((u, s, round(float(a), 6)) for u, s, a in rows.collect()) == [("U1", -30.0, 0.1), ("U1", 0.0, 0.1)]
+    finally:
+        scoring.stop()
+        alerting.stop()
+
+
+def test_kafka_needs_its_connector(spark):
+    """Without the connector's jar the source is not found; what is asked for is Kafka."""
+    kafka = topics.KafkaTopics("broker:1", read_options={"minPartitions": "64"})
+    with pytest.raises(Exception, match="kafka|Kafka"):
+        kafka.read(spark, "chat-messages")
+    assert not kafka.keeps_time
 
 
 def test_work_dir_follows_the_session(spark):
@@ -248,6 +283,7 @@ def test_table_stream_from_a_folder_of_files(spark, sf_dir, tmp_path):
 
     table(spark, sf_dir, "events").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
     sent = topics.chat_records(chat_stream(spark, str(tmp_path), max_files_per_trigger=1))
-    query = run(topics.write_files(sent, str(tmp_path / "out"), str(tmp_path / "cp"), streams.ALL_AVAILABLE))
+    kept = topics.FileTopics(str(tmp_path / "kept"))
+    query = run(kept.write(sent, "chat-messages", str(tmp_path / "cp"), streams.ALL_AVAILABLE))
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
-    assert topics.read_files(spark, str(tmp_path / "out")).count() == chat(spark, sf_dir).count()
+    assert kept.read(spark, "chat-messages").count() == chat(spark, sf_dir).count()

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 from typing import NamedTuple
+from unicodedata import category
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,35 +32,52 @@ DEFAULT_OTHERWISE = Rule("Neutral", 0.0, ())
 Scorer = Callable[[Column], Column]
 
 
-def lexicon_scorer(rules: Sequence[Rule] = DEFAULT_RULES, otherwise: Rule = DEFAULT_OTHERWISE) -> Scorer:
-    """A scorer: lower-cased text column -> ``struct<score double, label string>``."""
-    if not rules or any(not rule.terms for rule in rules):
-        raise ValueError("every rule needs at least one term")
+@dataclass(frozen=True)
+class Lexicon:
+    """A scorer: text column -> ``struct<score double, label string>``, by the first rule that hits.
 
-    def outcome(rule: Rule) -> Column:
-        return F.struct(F.lit(float(rule.score)).alias("score"), F.lit(rule.label).alias("label"))
+    Terms are matched in the lower-cased text.
+    """
+
+    rules: Sequence[Rule] = DEFAULT_RULES
+    otherwise: Rule = DEFAULT_OTHERWISE
+
+    def __post_init__(self) -> None:
+        if not self.rules or any(not rule.terms for rule in self.rules):
+            raise ValueError("every rule needs at least one term")
 
-    def score(text: Column) -> Column:
+    @property
+    def case_matters(self) -> bool:
+        """Whether lower-casing a text can change what is found in it. It cannot if the terms are
+        made of letters without case: those stay as they are, and none comes out of another."""
+        return any(category(char) != "Lo" for rule in self.rules for term in rule.terms for char in term)
+
+    def __call__(self, text: Column) -> Column:
         branches = None
-        for rule in rules:
+        for rule in self.rules:
             hit = reduce(or_, (text.contains(term) for term in rule.terms))
-            branches = F.when(hit, outcome(rule)) if branches is None else branches.when(hit, outcome(rule))
-        return branches.otherwise(outcome(otherwise))
+            branches = F.when(hit, _outcome(rule)) if branches is None else branches.when(hit, _outcome(rule))
+        return branches.otherwise(_outcome(self.otherwise))
+
 
-    return score
+def _outcome(rule: Rule) -> Column:
+    return F.struct(F.lit(float(rule.score)).alias("score"), F.lit(rule.label).alias("label"))
 
 
 def score_sentiment(df: DataFrame, message_col: str = "message", scorer: Scorer | None = None) -> DataFrame:
     """Add ``sentiment_score`` and ``sentiment_label``; every other column passes through.
 
-    ``scorer`` takes the lower-cased message and returns ``struct<score, label>``: the lexicon
-    by default, or a ``pandas_udf`` around a model. Reject null messages first (the
-    ``quality`` module): they would come out as neutral here. Lower-casing and matching
-    stand in steps of their own, so each runs once per row.
+    ``scorer`` takes the message and returns ``struct<score, label>``: a ``Lexicon``, by default the
+    fixed rules, or a ``pandas_udf`` around a model. Reject null messages first (the ``quality``
+    module): a lexicon finds them neutral. Lower-casing and matching stand in steps of their
+    own, so that each runs once per row; lower-casing only where it can matter, as it takes
+    longer than the matching.
     """
-    scorer = scorer or lexicon_scorer()
+    scorer = scorer or Lexicon()
+    folds = isinstance(scorer, Lexicon) and scorer.case_matters
+    text = F.lower(F.col(message_col)) if folds else F.col(message_col)
     return (
-        df.withColumn("_text", F.lower(F.col(message_col)))
+        df.withColumn("_text", text)
         .withColumn("_mood", scorer(F.col("_text")))
         .withColumns({"sentiment_score": F.col("_mood.score"), "sentiment_label": F.col("_mood.label")})
         .drop("_text", "_mood")

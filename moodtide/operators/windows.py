@@ -66,17 +66,20 @@ def mean_of(total: Column, n: Column) -> Column:
     return F.when(n == 0, F.lit(0.0)).otherwise(F.try_divide(total, n))
 
 
-def _grouped(windowed: DataFrame, keys: Sequence[str]):
-    present = windowed
-    for key in keys:
-        present = present.filter(F.col(key).isNotNull())
-    return present.groupBy(*keys, "window")
+# How a frame names its windows: as the struct of ``assign_windows``, which a stream needs, or flat.
+STRUCT = ("window",)
+FLAT = ("window_start", "window_end")
 
 
-def window_aggregate(windowed: DataFrame, *aggregates: Column, keys: Sequence[str] = ("user_id",)) -> DataFrame:
+def window_aggregate(
+    windowed: DataFrame, *aggregates: Column, keys: Sequence[str] = ("user_id",), window: Sequence[str] = STRUCT
+) -> DataFrame:
     """Any aggregates per key and window; rows without a key do not count (U4). Built-in ones
     fold map-side; a grouped-aggregate ``pandas_udf`` does not, and takes each group whole."""
-    return _grouped(windowed, keys).agg(*aggregates)
+    present = windowed
+    for key in keys:
+        present = present.filter(F.col(key).isNotNull())
+    return present.groupBy(*keys, *window).agg(*aggregates)
 
 
 def window_sum(
@@ -92,12 +95,16 @@ def window_count(windowed: DataFrame, keys: Sequence[str] = ("user_id",)) -> Dat
 
 
 def window_mean(
-    windowed: DataFrame, keys: Sequence[str] = ("user_id",), score_col: str = "sentiment_score"
+    windowed: DataFrame,
+    keys: Sequence[str] = ("user_id",),
+    score_col: str = "sentiment_score",
+    window: Sequence[str] = STRUCT,
 ) -> DataFrame:
     """Sum, count and mean in one aggregation: one shuffle of map-side partial sums, so a key
     that holds much of the input still sends one row per task and window. Batch and streaming.
     """
-    totals = window_aggregate(windowed, F.sum(score_col).alias("score_sum"), F.count("*").alias("n"), keys=keys)
+    both = F.sum(score_col).alias("score_sum"), F.count("*").alias("n")
+    totals = window_aggregate(windowed, *both, keys=keys, window=window)
     return totals.withColumn("average_score", mean_of(F.col("score_sum"), F.col("n")))
 
 

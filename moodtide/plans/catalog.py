@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from moodtide.functions import checks, sentiment
 from moodtide.functions.codec import decode_json, encode_json, windowed_key
-from moodtide.functions.sentiment import DEFAULT_RULES, Rule, lexicon_scorer, score_sentiment
+from moodtide.functions.sentiment import DEFAULT_RULES, Lexicon, Rule, score_sentiment
 from moodtide.operators import alerts, changelog, lateness, quality, windows
 from moodtide.operators.windows import Hop
 from moodtide.plans import pipeline
@@ -120,20 +120,20 @@ def sentiment_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def negation_first_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = pipeline.scores(chat(spark, sf_dir), lexicon_scorer(NEGATION_FIRST))
+    scored = pipeline.scores(chat(spark, sf_dir), Lexicon(NEGATION_FIRST))
     return scored.groupBy("sentiment_label").agg(F.count("*").alias("n"))
 
 
 @query
 def document_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score_sentiment(documents, "text", lexicon_scorer(TEXT_RULES)).drop("text")
+    return score_sentiment(documents, "text", Lexicon(TEXT_RULES)).drop("text")
 
 
 @query
 def conversation_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return score_sentiment(turns, "text", lexicon_scorer(TEXT_RULES)).drop("text")
+    return score_sentiment(turns, "text", Lexicon(TEXT_RULES)).drop("text")
 
 
 @query
@@ -311,6 +311,11 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.select("user_id", "partition", "offset", "window_start", "stream_time")
 
 
+@query
+def late_drop_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _alert_rows(pipeline.replayed_alerts(chat(spark, sf_dir, LATE_EVERY), DAY_HOP))
+
+
 def _updates(updates: DataFrame) -> DataFrame:
     return updates.select("user_id", "window_start", "window_end", "offset", "seq", "n", _six("average_score"))
 

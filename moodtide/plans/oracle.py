@@ -159,11 +159,10 @@ SQL: dict[str, str] = {
     "late_rows": f"""{_REPLAY}
       SELECT user_id, part AS "partition", event_id AS "offset", ws AS window_start, stream_time
       FROM w WHERE we + {_DAY // 2} <= stream_time""",
+    "late_drop_alerts": f"""{_REPLAY}, {_TOTALS.replace("FROM w", "FROM kept")} SELECT {_ALERT_COLUMNS} FROM t""",
     "alert_changelog": f"""{_RUNNING} {_SETTLED}""",
     "alert_changelog_transient": f"""{_RUNNING} {_SETTLED} UNION ALL {_HALFWAY}""",
-    "alert_current": f"""{_REPLAY}, t AS (
-        SELECT user_id, ws, we, sum(score) AS total, count(*) AS n FROM kept GROUP BY user_id, ws, we)
-      SELECT {_MEAN_COLUMNS} FROM t""",
+    "alert_current": f"""{_REPLAY}, {_TOTALS.replace("FROM w", "FROM kept")} SELECT {_MEAN_COLUMNS} FROM t""",
     "alerts_stream_update": f"""{_MEANS} SELECT {_RECORD_COLUMNS} FROM t""",
     "alerts_stream_upsert": f"""{_MEANS} SELECT {_RECORD_COLUMNS} FROM t""",
     "alerts_stream_final": f"""{_MEANS}

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 import pytest
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from moodtide.functions import checks
 from moodtide.functions.codec import decode_json, encode_json, snake_case, split_windowed_key, windowed_key
-from moodtide.functions.sentiment import DEFAULT_RULES, Rule, lexicon_scorer, negative_messages, score_sentiment
+from moodtide.functions.sentiment import DEFAULT_RULES, Lexicon, Rule, negative_messages, score_sentiment
 from moodtide.functions.timecols import epoch_millis, event_time
 from moodtide.schemas import CHAT_MESSAGE, SENTIMENT_SCORE
 
@@ -46,10 +48,10 @@ def test_golden_scores(spark):
 def test_rules_are_a_parameter(spark):
     df = spark.createDataFrame([("不好",), ("好",), ("GOOD",)], "message STRING")
     rules = (Rule("Negative", -0.6, ("不好",)), Rule("Praise", 0.5, ("good",)), *DEFAULT_RULES)
-    got = {r.message: (r.sentiment_label, r.sentiment_score) for r in score_sentiment(df, scorer=lexicon_scorer(rules)).collect()}
+    got = {r.message: (r.sentiment_label, r.sentiment_score) for r in score_sentiment(df, scorer=Lexicon(rules)).collect()}
     assert got == {"不好": ("Negative", -0.6), "好": ("Positive", 0.8), "GOOD": ("Praise", 0.5)}
     with pytest.raises(ValueError):
-        lexicon_scorer([Rule("Positive", 1.0, ())])
+        Lexicon([Rule("Positive", 1.0, ())])
 
 
 def test_scorer_may_be_a_model(spark):
@@ -61,12 +63,26 @@ def test_scorer_may_be_a_model(spark):
     assert score_sentiment(df, scorer=model).first()[1:] == (0.4, "Length")
 
 
+def test_lower_casing_is_left_out_only_where_it_cannot_matter(spark):
+    """No character turns into one of the default terms' when lower-cased, nor do theirs change."""
+    assert not Lexicon().case_matters
+    terms = {char for rule in DEFAULT_RULES for term in rule.terms for char in term}
+    characters = [(i, chr(i)) for i in range(0x110000) if not 0xD800 <= i <= 0xDFFF]
+    df = spark.createDataFrame(pd.DataFrame(characters, columns=["i", "c"])).withColumn("low", F.lower("c"))
+    hits = df.filter(reduce(or_, (F.col("low").contains(t) for t in terms))).collect()
+    assert {r.c for r in hits} == terms and all(r.low == r.c for r in hits)
+    for word in ("Good", "好a", "i\u0307", "ǅ", "好 "):
+        assert Lexicon((Rule("x", 1.0, (word,)),)).case_matters
+
+
 def test_scoring_stays_in_the_jvm(spark, sf_dir):
     from moodtide.sources.tables import chat
 
     plan = score_sentiment(chat(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
-    assert plan.count("lower(") == 1
+    assert plan.count("lower(") == 0
+    cased = Lexicon((Rule("Praise", 0.5, ("good", "great")), Rule("Blame", -0.5, ("bad",))))
+    assert score_sentiment(chat(spark, sf_dir), scorer=cased)._jdf.queryExecution().executedPlan().toString().count("lower(") == 1
     assert "value" not in plan.split("ReadSchema")[1]
 
 

@@ -58,16 +58,30 @@ def metric_columns() -> list[Column]:
     ]
 
 
-def observe_alerts(alerts: DataFrame, name: str = "alerts") -> tuple[DataFrame, Observation | None]:
-    """The same rows with the metrics taken while they pass, without a pass of their own.
+def score_metric_columns() -> list[Column]:
+    """What is counted about scored messages as they pass."""
+    return [F.count("*").alias("messages"), F.count_if(F.col("sentiment_score") < 0).alias("negative_messages")]
+
+
+def observe(df: DataFrame, name: str, metrics: list[Column]) -> tuple[DataFrame, Observation | None]:
+    """The same rows with metrics taken while they pass, without a pass of their own.
 
     Batch: read them off the returned ``Observation`` after the first action. Streaming: they
     arrive in each progress report (``observedMetrics``) under ``name``; no Observation then.
     """
-    if alerts.isStreaming:
-        return alerts.observe(name, *metric_columns()), None
+    if df.isStreaming:
+        return df.observe(name, *metrics), None
     observation = Observation(name)
-    return alerts.observe(observation, *metric_columns()), observation
+    return df.observe(observation, *metrics), observation
+
+
+def observe_alerts(alerts: DataFrame, name: str = "alerts") -> tuple[DataFrame, Observation | None]:
+    return observe(alerts, name, metric_columns())
+
+
+def observe_scores(scored: DataFrame, name: str = "scores") -> tuple[DataFrame, Observation | None]:
+    """Counts of all and of negative messages: the audit count without the audit list."""
+    return observe(scored, name, score_metric_columns())
 
 
 def alert_metrics(alerts: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from moodtide.operators.lateness import spans_buckets
 from moodtide.operators.running import with_running_sums
-from moodtide.operators.windows import REFERENCE_HOP, Hop, mean_of
+from moodtide.operators.windows import DEFAULT_HOP, Hop, mean_of
 
 
-def alert_changelog(in_time: DataFrame, hop: Hop = REFERENCE_HOP, include_transient: bool = False) -> DataFrame:
+def alert_changelog(in_time: DataFrame, hop: Hop = DEFAULT_HOP, include_transient: bool = False) -> DataFrame:
     """One row per update of a (user, window) mean, as record-by-record processing emits them.
 
     Input: ``windowed_in_time`` rows with a ``sentiment_score``. ``offset`` orders the records of a

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodtide.operators.running import BUCKET_BITS, bucket_of
-from moodtide.operators.windows import REFERENCE_HOP, Hop, explode_windows
+from moodtide.operators.windows import DEFAULT_HOP, Hop, explode_windows
 
 
 def with_stream_time(df: DataFrame, bucket_bits: int = BUCKET_BITS) -> DataFrame:
@@ -60,12 +60,12 @@ def spans_buckets() -> Column:
     return (F.col("window_start") <= F.col("earlier_max")) | (F.col("window_end") > F.col("later_min"))
 
 
-def windowed_in_time(df: DataFrame, hop: Hop = REFERENCE_HOP, bucket_bits: int = BUCKET_BITS) -> DataFrame:
+def windowed_in_time(df: DataFrame, hop: Hop = DEFAULT_HOP, bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """The (row, window) pairs that count."""
     return _windowed(df, hop, bucket_bits).filter(~is_late(hop))
 
 
-def windowed_late(df: DataFrame, hop: Hop = REFERENCE_HOP, bucket_bits: int = BUCKET_BITS) -> DataFrame:
+def windowed_late(df: DataFrame, hop: Hop = DEFAULT_HOP, bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """The (row, window) pairs that come too late, with the stream time that closed them."""
     return _windowed(df, hop, bucket_bits).filter(is_late(hop))
 

@@ -31,10 +31,10 @@ class Hop:
         return F.window(time, f"{self.size_ms} milliseconds", f"{self.advance_ms} milliseconds")
 
 
-REFERENCE_HOP = Hop()
+DEFAULT_HOP = Hop()
 
 
-def assign_windows(df: DataFrame, hop: Hop = REFERENCE_HOP, time_col: str = "event_time") -> DataFrame:
+def assign_windows(df: DataFrame, hop: Hop = DEFAULT_HOP, time_col: str = "event_time") -> DataFrame:
     """One row per (row, window): ``[start, end)``, starts at multiples of the advance from the
     epoch. Windows that would start before the epoch do not exist."""
     windowed = df.withColumn("window", hop.column(F.col(time_col)))
@@ -47,7 +47,7 @@ def flatten_window(df: DataFrame) -> DataFrame:
     return df.withColumns(bounds).drop("window")
 
 
-def explode_windows(df: DataFrame, hop: Hop = REFERENCE_HOP, millis_col: str = "timestamp") -> DataFrame:
+def explode_windows(df: DataFrame, hop: Hop = DEFAULT_HOP, millis_col: str = "timestamp") -> DataFrame:
     """The same windows as ``window_start``, ``window_end``, from epoch milliseconds.
 
     For batch work behind a shuffle: ``explode`` keeps the partitioning its input has, which the

@@ -10,7 +10,7 @@ from moodtide.operators.alerts import to_alerts
 from moodtide.operators.changelog import alert_changelog
 from moodtide.operators.lateness import windowed_in_time
 from moodtide.operators.running import BUCKET_BITS
-from moodtide.operators.windows import FLAT, REFERENCE_HOP, Hop, assign_windows, flatten_window, window_mean
+from moodtide.operators.windows import DEFAULT_HOP, FLAT, Hop, assign_windows, flatten_window, window_mean
 
 
 def scores(chat: DataFrame, scorer: Scorer | None = None) -> DataFrame:
@@ -18,33 +18,33 @@ def scores(chat: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     return score_sentiment(chat.filter(F.col("message").isNotNull()), scorer=scorer)
 
 
-def window_means(scored: DataFrame, hop: Hop = REFERENCE_HOP) -> DataFrame:
+def window_means(scored: DataFrame, hop: Hop = DEFAULT_HOP) -> DataFrame:
     """``user_id, window_start, window_end, score_sum, n, average_score``; batch or streaming."""
     return flatten_window(window_mean(assign_windows(scored, hop)))
 
 
 def warning_alerts(
-    chat: DataFrame, hop: Hop = REFERENCE_HOP, threshold: float | None = None, scorer: Scorer | None = None
+    chat: DataFrame, hop: Hop = DEFAULT_HOP, threshold: float | None = None, scorer: Scorer | None = None
 ) -> DataFrame:
     """The alert of every (user, window), all rows counted: one scan, one shuffle."""
     return to_alerts(window_means(scores(chat, scorer), hop), threshold)
 
 
-def replayed_means(scored: DataFrame, hop: Hop = REFERENCE_HOP, bucket_bits: int = BUCKET_BITS) -> DataFrame:
+def replayed_means(scored: DataFrame, hop: Hop = DEFAULT_HOP, bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """``window_means`` of the rows record-by-record processing would not have dropped as late:
     where its update log ends, without working out the log."""
     return window_mean(windowed_in_time(scored, hop, bucket_bits), window=FLAT)
 
 
 def replayed_alerts(
-    chat: DataFrame, hop: Hop = REFERENCE_HOP, threshold: float | None = None, scorer: Scorer | None = None
+    chat: DataFrame, hop: Hop = DEFAULT_HOP, threshold: float | None = None, scorer: Scorer | None = None
 ) -> DataFrame:
     """The last alert of every (user, window), late rows dropped."""
     return to_alerts(replayed_means(scores(chat, scorer), hop), threshold)
 
 
 def replayed_changelog(
-    chat: DataFrame, hop: Hop = REFERENCE_HOP, include_transient: bool = False, bucket_bits: int = BUCKET_BITS
+    chat: DataFrame, hop: Hop = DEFAULT_HOP, include_transient: bool = False, bucket_bits: int = BUCKET_BITS
 ) -> DataFrame:
     """Every update record-by-record processing would emit, late rows dropped as it would."""
     return alert_changelog(windowed_in_time(scores(chat), hop, bucket_bits), hop, include_transient)

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from moodtide.functions.sentiment import Scorer
 from moodtide.operators.alerts import to_alerts, to_records
-from moodtide.operators.windows import REFERENCE_HOP, Hop
+from moodtide.operators.windows import DEFAULT_HOP, Hop
 from moodtide.plans.pipeline import scores, window_means
 from moodtide.schemas import ALERT_TOPIC, CHAT_TOPIC, SCORE_TOPIC
 from moodtide.sources import topics as wire
@@ -39,7 +39,7 @@ __all__ = [
 ]
 
 
-def alert_stream(scored: DataFrame, hop: Hop = REFERENCE_HOP, threshold: float | None = None) -> DataFrame:
+def alert_stream(scored: DataFrame, hop: Hop = DEFAULT_HOP, threshold: float | None = None) -> DataFrame:
     """Streaming scores -> streaming alerts. Sum and count share one stateful aggregation; its
     state is bounded by the watermark: a window leaves once its end plus the grace has passed."""
     return to_alerts(window_means(scored.withWatermark("event_time", hop.grace), hop), threshold)
@@ -111,7 +111,7 @@ def start_alerting(
     spark: SparkSession,
     topics: wire.Topics,
     checkpoint: str,
-    hop: Hop = REFERENCE_HOP,
+    hop: Hop = DEFAULT_HOP,
     threshold: float | None = None,
     trigger: dict | None = None,
     mode: str = "update",
@@ -126,7 +126,7 @@ def start_topology(
     spark: SparkSession,
     topics: wire.Topics,
     checkpoint: str,
-    hop: Hop = REFERENCE_HOP,
+    hop: Hop = DEFAULT_HOP,
     threshold: float | None = None,
     trigger: dict | None = None,
     scorer: Scorer | None = None,

@@ -9,7 +9,7 @@ from simulate import Record, simulate
 
 from moodtide.functions import checks
 from moodtide.operators import quality
-from moodtide.operators.alerts import alert_metrics, observe_alerts, to_alerts, to_records
+from moodtide.operators.alerts import alert_metrics, observe_alerts, observe_scores, to_alerts, to_records
 from moodtide.operators.changelog import alert_changelog, current_table
 from moodtide.operators.lateness import windowed_in_time, windowed_late, with_stream_time
 from moodtide.operators.running import bucket_of, with_running_sums
@@ -231,6 +231,13 @@ def test_observed_metrics_equal_the_table(spark):
     }
 
 
+def test_negative_messages_are_counted_in_passing(spark):
+    records = [Record(0, i, "u", i, score) for i, score in enumerate([0.8, -0.6, -0.6, 0.0])]
+    observed, observation = observe_scores(scored(spark, records))
+    assert observed.count() == 4
+    assert observation.get == {"messages": 4, "negative_messages": 2}
+
+
 # Validation
 
 

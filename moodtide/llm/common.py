@@ -57,3 +57,19 @@ def worked_out(df: DataFrame, **columns: Column) -> DataFrame:
     """
     made = F.struct(*[value.alias(name) for name, value in columns.items()])
     return df.select("*", F.inline(F.array(made)))
+
+
+def held_out(id_col: str = "doc_id") -> Column:
+    """Whether a row may be tested on and never learnt from."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
+
+
+def learnable(rows: DataFrame, labels: DataFrame, label_col: str, limit: int, id_col: str = "doc_id") -> DataFrame:
+    """At most ``limit`` labelled rows that are not held out, by the lowest hashes of their ids, with
+    their ``label`` and ``place`` (the hash). Labels that are null or name no id are not used."""
+    known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
+    # Chosen on the narrow side, so that only chosen rows bring their texts along.
+    chosen = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("label"))
+    chosen = chosen.select("_id", "label", F.xxhash64(F.col("_id").cast("string")).alias("place"))
+    chosen = stored(chosen.orderBy("place", "_id").limit(limit), "learnable")
+    return rows.join(chosen, rows[id_col] == chosen["_id"]).drop("_id")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodtide.llm.common import stored
+from moodtide.llm.common import fresh, stored
 from moodtide.llm.graph import components
 
 RADIUS = 3
@@ -233,6 +233,23 @@ def links_within(prints: DataFrame, chunk: int = CHUNK, blocks: tuple[int, int]
     return longs.mapInArrow(_compare, "a bigint, b bigint")
 
 
+def components_of(prints: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``known, component_id`` of every fingerprint, from ``doc_id, fp``: the smallest id of all
+    documents that its links reach."""
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "print-nodes")
+    roots = stored(components(links_within(nodes.select("fp"), chunk)), "print-roots")
+    joined = nodes.join(roots, nodes.fp == roots.node).groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = roots.join(joined, "root").select(F.col("node").alias("linked"), "component_id")
+    known = nodes.join(named, F.col("fp") == F.col("linked"), "left")
+    return stored(
+        known.select(
+            F.col("fp").alias("known"),
+            F.when(F.col("linked").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        ),
+        "print-components",
+    )
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """``doc_id, fingerprint, component_id``: one row per row of ``docs``.
 
@@ -241,14 +258,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     that is not null, or null if it has none. An empty table gives no rows; other columns are not read.
     """
     prints = stored(fingerprints(docs, id_col, text_col), "prints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "print-nodes")
-    roots = stored(components(links_within(nodes.select("fp"), chunk)), "print-roots")
-    joined = nodes.join(roots, nodes.fp == roots.node).groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = roots.join(joined, "root").select(F.col("node").alias("linked"), "component_id")
-    known = nodes.join(named, F.col("fp") == F.col("linked"), "left").select(
-        F.col("fp").alias("known"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
-    known = stored(known, "print-components")
-    return prints.join(known, F.col("fp") == F.col("known"), "left").select(
+    return prints.join(components_of(prints, chunk), F.col("fp") == F.col("known"), "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+    """``docs`` with one document of each component, the one whose id names it; rows that share that
+    id stay together, and components without any id stay whole. Columns are unchanged.
+
+    Only ids travel: those that go are joined to the documents by id, which Spark splits by size.
+    """
+    prints = stored(fingerprints(docs, id_col, text_col), "prints")
+    judged = prints.join(components_of(prints, chunk), F.col("fp") == F.col("known"), "left")
+    # An id is kept if any of its rows names a component, so that ids are kept or dropped whole.
+    lost = judged.groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("kept"))
+    lost = stored(lost.filter("kept = 0").select(F.col("doc_id").alias("_lost")), "prints-lost")
+    (row,) = fresh(docs.columns, "_row")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
+    kept = whole.join(lost, F.col(row)[id_col].cast("bigint") == F.col("_lost"), "left_anti")
+    return kept.select(*[F.col(row)[c].alias(c) for c in docs.columns])

@@ -3,8 +3,8 @@
 Every word bucket has a fixed sparse random index vector; a word's vector is the sum of the index
 vectors around all its occurrences in the whole corpus. Tasks add up one bounded matrix each
 (buckets x dimensions), Spark sums them, and the result, bounded by the same size, is sent back.
-A document is its words' mean vector, their spread about it and its length, whatever its own
-length. A two-layer network over that is fitted on a bounded sample of labelled rows and its
+A document is its words' mean vector, their spread about it and its length, how alike the vectors of
+neighbours are, and how many words there are. A two-layer network over that is fitted on a bounded sample of labelled rows and its
 temperature on a part of the sample set aside.
 """
 
@@ -111,21 +111,24 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, n
 
 
 def pooled(docs: DataFrame, vectors: np.ndarray, weight: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, features``: mean, spread and length of the mean; zeros for texts without words."""
+    """``doc_id, features``: mean, spread, length of the mean, likeness of neighbours, logarithm of the
+    number of words; zeros for texts without words."""
 
     def one(ids: np.ndarray) -> np.ndarray:
-        total, square, mass = np.zeros(DIM), np.zeros(DIM), 0.0
+        total, square, mass, alike = np.zeros(DIM), np.zeros(DIM), 0.0, 0.0
         for at in range(0, len(ids), TOKENS):
-            part = ids[at : at + TOKENS]
+            part = ids[at : at + TOKENS + 1]
             v, w = vectors[part], weight[part]
+            alike += float(np.einsum("ij,ij->", v[:-1], v[1:]))
+            v, w = v[:TOKENS], w[:TOKENS]
             total += w @ v
             square += w @ (v * v)
             mass += float(w.sum())
         if not mass:
-            return np.zeros(2 * DIM + 1)
+            return np.zeros(2 * DIM + 3)
         mean = total / mass
         spread = np.sqrt(np.maximum(square / mass - mean * mean, 0))
-        return np.concatenate([mean, spread, [np.linalg.norm(mean)]])
+        return np.concatenate([mean, spread, [np.linalg.norm(mean), alike / max(len(ids) - 1, 1), np.log1p(len(ids))]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()

@@ -22,7 +22,7 @@ from moodtide.llm.common import held_out, learnable, stored
 from moodtide.llm.tokens import Hashes, hashed, texts
 
 FEATURES = 1 << 20
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.5, 0.1
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 3.0, 0.1
 PASSES = 2
 SAMPLE = 20_000
 THRESHOLD = 0.5

@@ -23,15 +23,27 @@ def snake_case(name: str) -> str:
     return re.sub(r"(?<=[a-z0-9])([A-Z])", r"_\1", name).lower()
 
 
-def _number(text: Column, kind: T.DataType) -> Column:
-    """A number field as a Java bean reader takes it: absent, null or blank is 0, ``"12"`` is 12,
-    a fraction is cut for an integer field. NULL where the text is no number."""
+# A JSON number, and a whole number in quotes. Java's own suffixes (``12d``) are neither.
+_JSON_NUMBER = r"^-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?$"
+_QUOTED_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+
+
+def _number(text: Column, kind: T.DataType, quoted: Column) -> Column:
+    """A number field as a Java bean reader takes it: absent, null or blank is 0, ``"12"`` is 12, a
+    bare fraction is cut for an integer field but a quoted one is no integer. NULL where the text is
+    no number."""
     parsed = text.try_cast(kind)
     if isinstance(kind, (T.LongType, T.IntegerType)):
-        parsed = F.coalesce(parsed, text.try_cast("double").try_cast(kind))
+        bare = F.when(~quoted & text.rlike(_JSON_NUMBER), text.try_cast("double").try_cast(kind))
+        parsed = F.when(text.rlike(_QUOTED_WHOLE), parsed).otherwise(bare)
     return F.when(text.isNull() | (F.trim(text) == ""), F.lit(0).cast(kind)).otherwise(parsed)
 
 
+def _is_quoted(name: str) -> Column:
+    """Whether the record has this field in quotes. Only asked of numbers that are not whole."""
+    return F.col("_text").rlike(f'"{re.escape(name)}"\\s*:\\s*"')
+
+
 def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value", mode: str = "permissive") -> DataFrame:
     """Replace ``value_col`` by the record's fields (snake-cased) and ``error_code``.
 
@@ -51,7 +63,7 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value", m
     parsed = df.withColumn("_text", text).withColumn("_record", F.from_json("_text", wire, _STRICT_JSON))
 
     fields = {
-        snake_case(f.name): _number(F.col(f"_record.{f.name}"), f.dataType)
+        snake_case(f.name): _number(F.col(f"_record.{f.name}"), f.dataType, _is_quoted(f.name))
         if f.name in numbers
         else F.col(f"_record.{f.name}")
         for f in schema

@@ -36,7 +36,8 @@ Scorer = Callable[[Column], Column]
 class Lexicon:
     """A scorer: text column -> ``struct<score double, label string>``, by the first rule that hits.
 
-    Terms are matched in the lower-cased text.
+    Terms are matched without regard to case: both they and the text are lowered, the text only where
+    that can matter, as it takes longer than the matching.
     """
 
     rules: Sequence[Rule] = DEFAULT_RULES
@@ -45,6 +46,8 @@ class Lexicon:
     def __post_init__(self) -> None:
         if not self.rules or any(not rule.terms for rule in self.rules):
             raise ValueError("every rule needs at least one term")
+        lowered = tuple(rule._replace(terms=tuple(term.lower() for term in rule.terms)) for rule in self.rules)
+        object.__setattr__(self, "rules", lowered)
 
     @property
     def case_matters(self) -> bool:
@@ -52,7 +55,14 @@ class Lexicon:
         made of letters without case: those stay as they are, and none comes out of another."""
         return any(category(char) != "Lo" for rule in self.rules for term in rule.terms for char in term)
 
+    def fold(self, text: Column) -> Column:
+        return F.lower(text) if self.case_matters else text
+
     def __call__(self, text: Column) -> Column:
+        return self.match(self.fold(text))
+
+    def match(self, text: Column) -> Column:
+        """The outcome for a text that is folded already."""
         branches = None
         for rule in self.rules:
             hit = reduce(or_, (text.contains(term) for term in rule.terms))
@@ -69,16 +79,16 @@ def score_sentiment(df: DataFrame, message_col: str = "message", scorer: Scorer
 
     ``scorer`` takes the message and returns ``struct<score, label>``: a ``Lexicon``, by default the
     fixed rules, or a ``pandas_udf`` around a model. Reject null messages first (the ``quality``
-    module): a lexicon finds them neutral. Lower-casing and matching stand in steps of their
-    own, so that each runs once per row; lower-casing only where it can matter, as it takes
-    longer than the matching.
+    module): a lexicon finds them neutral. A lexicon's folding and matching stand in steps of
+    their own, so that each runs once per row.
     """
     scorer = scorer or Lexicon()
-    folds = isinstance(scorer, Lexicon) and scorer.case_matters
-    text = F.lower(F.col(message_col)) if folds else F.col(message_col)
+    text, outcome = F.col(message_col), scorer
+    if isinstance(scorer, Lexicon):
+        text, outcome = scorer.fold(text), scorer.match
     return (
         df.withColumn("_text", text)
-        .withColumn("_mood", scorer(F.col("_text")))
+        .withColumn("_mood", outcome(F.col("_text")))
         .withColumns({"sentiment_score": F.col("_mood.score"), "sentiment_label": F.col("_mood.label")})
         .drop("_text", "_mood")
     )

@@ -43,8 +43,9 @@ def alert_changelog(in_time: DataFrame, hop: Hop = DEFAULT_HOP, include_transien
 
 
 def current_table(changelog: DataFrame) -> DataFrame:
-    """The last update per (user, window). ``max_by`` folds map-side: no sort, one small shuffle."""
-    last = F.max_by(F.struct("window_end", "n", "average_score"), F.struct("offset", "seq"))
-    return changelog.groupBy("user_id", "window_start").agg(last.alias("_last")).select(
-        "user_id", "window_start", "_last.*"
+    """The last update per partition, user and window, folded map-side by hash: the order is one
+    number and every value is one ``max_by``, as a struct would need a sort."""
+    order = F.col("offset") * 2 + F.col("seq")
+    return changelog.groupBy("partition", "user_id", "window_start", "window_end").agg(
+        F.max_by("n", order).alias("n"), F.max_by("average_score", order).alias("average_score")
     )

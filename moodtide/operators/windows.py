@@ -47,13 +47,18 @@ def flatten_window(df: DataFrame) -> DataFrame:
     return df.withColumns(bounds).drop("window")
 
 
-def explode_windows(df: DataFrame, hop: Hop = DEFAULT_HOP, millis_col: str = "timestamp") -> DataFrame:
-    """The same windows as ``window_start``, ``window_end``, from epoch milliseconds.
+def millis_of(df: DataFrame, time_col: str) -> Column:
+    """A time column in epoch milliseconds, whether it is a timestamp or that already."""
+    return F.unix_millis(time_col) if dict(df.dtypes)[time_col] == "timestamp" else F.col(time_col)
+
+
+def explode_windows(df: DataFrame, hop: Hop = DEFAULT_HOP, time_col: str = "event_time") -> DataFrame:
+    """The same windows as ``window_start``, ``window_end``, by exploding.
 
     For batch work behind a shuffle: ``explode`` keeps the partitioning its input has, which the
     ``Expand`` behind ``window`` does not.
     """
-    time = F.col(millis_col)
+    time = millis_of(df, time_col)
     last = time - F.pmod(time, F.lit(hop.advance_ms))
     earlier = F.floor((F.lit(hop.size_ms - 1) - (time - last)) / hop.advance_ms) * hop.advance_ms
     starts = F.sequence(F.greatest(last - earlier, F.lit(0)), last, F.lit(hop.advance_ms).cast("bigint"))

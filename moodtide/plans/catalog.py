@@ -20,10 +20,19 @@ from moodtide.functions.sentiment import DEFAULT_RULES, Lexicon, Rule, score_sen
 from moodtide.operators import alerts, changelog, lateness, quality, windows
 from moodtide.operators.windows import Hop
 from moodtide.plans import pipeline
-from moodtide.schemas import ALERT_TOPIC, CHAT_MESSAGE, CHAT_TOPIC, PARAMETER_INVALID, WARNING_ALERT, record
-from moodtide.session import use_rocksdb_state, work_dir
+from moodtide.schemas import (
+    ALERT_TOPIC,
+    CHAT_MESSAGE,
+    CHAT_TOPIC,
+    PARAMETER_INVALID,
+    REJECTED_TOPIC,
+    SCORE_TOPIC,
+    WARNING_ALERT,
+    record,
+)
+from moodtide.session import work_dir
 from moodtide.sources import records, topics
-from moodtide.sources.tables import DAY_MS, chat, chat_stream, table
+from moodtide.sources.tables import DAY_MS, chat, chat_stream_of, in_files, table
 from moodtide.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +145,16 @@ def conversation_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_sentiment(turns, "text", Lexicon(TEXT_RULES)).drop("text")
 
 
+@query
+def lexicon_any_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lexicon as a bare scorer, its terms in mixed case."""
+    mixed = Lexicon([rule._replace(terms=[term.swapcase() for term in rule.terms]) for rule in TEXT_RULES])
+    mood = table(spark, sf_dir, "conversations").withColumn("mood", mixed(F.upper("text")))
+    return mood.select(
+        "conv_id", "turn", "role", F.col("mood.score").alias("sentiment_score"), F.col("mood.label").alias("sentiment_label")
+    )
+
+
 @query
 def negative_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentiment.negative_messages(_scored(spark, sf_dir))
@@ -335,54 +354,199 @@ def alert_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _means(changelog.current_table(pipeline.replayed_changelog(chat(spark, sf_dir, LATE_EVERY), DAY_HOP)))
 
 
-# Streams: run over what the table folder holds, results read back from where they landed
+# The same over many buckets, whose edges windows cross, with users missing
 
 
-def _alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_rocksdb_state(spark)
-    return streams.alert_stream(pipeline.scores(chat_stream(spark, sf_dir)), DAY_HOP)
+BUCKET_BITS = 6
+NO_USER_EVERY = 11
+
+
+def _some_unnamed(spark: SparkSession, sf_dir: str, hold_back_every: int | None = None) -> DataFrame:
+    rows = chat(spark, sf_dir, hold_back_every)
+    unnamed = F.col("offset") % NO_USER_EVERY == 0
+    return rows.withColumn("user_id", F.when(~unnamed, F.col("user_id")))
 
 
 @query
-def alerts_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = work_dir(spark, "alerts-update")
-    running = streams.start_change_log(
-        _alert_stream(spark, sf_dir), f"{out}/log", f"{out}/checkpoint", streams.ALL_AVAILABLE, CREATED_AT
+def late_drop_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = pipeline.scores(_some_unnamed(spark, sf_dir, LATE_EVERY))
+    kept = lateness.windowed_in_time(scored, DAY_HOP, BUCKET_BITS)
+    return kept.select("user_id", "partition", "offset", "window_start")
+
+
+@query
+def alert_changelog_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _some_unnamed(spark, sf_dir, LATE_EVERY)
+    return _updates(pipeline.replayed_changelog(rows, DAY_HOP, True, BUCKET_BITS))
+
+
+@query
+def alert_changelog_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _updates(pipeline.replayed_changelog(_some_unnamed(spark, sf_dir), DAY_HOP, bucket_bits=BUCKET_BITS))
+
+
+@query
+def alert_current_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _some_unnamed(spark, sf_dir, LATE_EVERY)
+    return _means(changelog.current_table(pipeline.replayed_changelog(rows, DAY_HOP, bucket_bits=BUCKET_BITS)))
+
+
+# Record time and record key, where the payload tells others
+
+
+def _payload_off(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload times missing on every fifth record and a day ahead on the others."""
+    rows = chat(spark, sf_dir, LATE_EVERY)
+    return rows.withColumn("timestamp", F.when(F.col("offset") % 5 != 0, F.col("timestamp") + DAY_MS).otherwise(0))
+
+
+@query
+def late_drop_record_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lateness.windowed_in_time(pipeline.scores(_payload_off(spark, sf_dir)), DAY_HOP)
+    return kept.select("user_id", "partition", "offset", "window_start")
+
+
+@query
+def alert_changelog_record_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _updates(pipeline.replayed_changelog(_payload_off(spark, sf_dir), DAY_HOP))
+
+
+@query
+def alerts_by_record_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose payload names another user than their key, and some without a key."""
+    sent = topics.chat_records(chat(spark, sf_dir).withColumns({"key": F.col("user_id"), "user_id": F.lit("someone")}))
+    unkeyed = F.col("offset") % NO_USER_EVERY == 0
+    read = topics.chat_messages(sent.withColumn("key", F.when(~unkeyed, F.col("key"))))
+    return _alert_rows(pipeline.warning_alerts(read, DAY_HOP))
+
+
+# Topics kept as files
+
+
+@query
+def topic_mixed_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch, a stream and another batch write to one topic."""
+    out = work_dir(spark, "mixed")
+    kept = topics.FileTopics(f"{out}/topics")
+    sent = topics.chat_records(chat(spark, sf_dir))
+    third = F.col("offset") % 3
+    kept.write(sent.filter(third == 0), CHAT_TOPIC)
+    kept.write(sent.filter(third == 1), "source")
+    again = kept.read(spark, "source", streaming=True)
+    kept.write(again, CHAT_TOPIC, f"{out}/checkpoint", streams.wire.ALL_AVAILABLE).awaitTermination()
+    kept.write(sent.filter(third == 2), CHAT_TOPIC)
+    return kept.read(spark, CHAT_TOPIC).groupBy("partition").agg(
+        F.count("*").alias("n"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")
     )
-    running.awaitTermination()
+
+
+@query
+def topic_without_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that come with a payload only take its time along."""
+    kept = topics.FileTopics(work_dir(spark, "plain"))
+    kept.write(topics.chat_records(chat(spark, sf_dir).select("user_id", "timestamp", "message")), CHAT_TOPIC)
+    return _alert_rows(pipeline.warning_alerts(topics.chat_messages(kept.read(spark, CHAT_TOPIC)), DAY_HOP))
+
+
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good records come out of scoring, cut and null ones out beside it, with their code."""
+    out = work_dir(spark, "rejected")
+    kept = topics.FileTopics(f"{out}/topics")
+    sent = topics.chat_records(chat(spark, sf_dir))
+    cut = F.when(F.col("offset") % 11 == 0, F.substring(F.col("value"), 1, 9))
+    broken = cut.when(F.col("offset") % 13 != 0, F.col("value"))
+    kept.write(sent.withColumn("value", broken), CHAT_TOPIC)
+    every = streams.wire.ALL_AVAILABLE
+    streams.start_scoring(spark, kept, f"{out}/scoring", every).awaitTermination()
+    streams.start_rejected(spark, kept, f"{out}/rejected", every).awaitTermination()
+    good = kept.read(spark, SCORE_TOPIC).select("partition", "offset", F.lit(None).cast("string").alias("error_code"))
+    value = F.from_json(F.col("value").cast("string"), "errorCode STRING, value STRING")
+    bad = kept.read(spark, REJECTED_TOPIC).select("partition", "offset", value["errorCode"].alias("error_code"))
+    return good.unionByName(bad)
+
+
+@query
+def observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts taken while the alerts pass to their sink, without a pass of their own."""
+    rows = pipeline.warning_alerts(chat(spark, sf_dir), DAY_HOP)
+    rows, seen = alerts.observe_alerts(rows.withColumn("average_score", _six("average_score")))
+    rows.write.parquet(work_dir(spark, "observed"))
+    kinds = "alerts BIGINT, low_alerts BIGINT, min_average DOUBLE, max_average DOUBLE, last_window_end BIGINT"
+    return spark.createDataFrame([seen.get], kinds)
+
+
+# Streams: run over the whole event table in FILES files, one a micro-batch; results read back from where
+# they landed
+
+
+FILES = 8
+
+
+def _chat_stream(spark: SparkSession, sf_dir: str, out: str, hold_back_every: int | None = None) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return chat_stream_of(spark, events.schema, in_files(events, f"{out}/events", FILES), hold_back_every=hold_back_every)
+
+
+def _alert_stream(spark: SparkSession, sf_dir: str, out: str, hold_back_every: int | None = None) -> DataFrame:
+    return streams.alert_stream(pipeline.scores(_chat_stream(spark, sf_dir, out, hold_back_every)), DAY_HOP)
+
+
+def _logged(spark: SparkSession, stream: DataFrame, out: str) -> DataFrame:
+    every = streams.wire.ALL_AVAILABLE
+    streams.start_change_log(stream, f"{out}/log", f"{out}/checkpoint", every, CREATED_AT).awaitTermination()
     return _record_rows(records.latest_records(records.read_changes(spark, f"{out}/log")))
 
 
+@query
+def alerts_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = work_dir(spark, "alerts-update")
+    return _logged(spark, _alert_stream(spark, sf_dir, out), out)
+
+
+@query
+def alerts_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows later than the watermark that the batch before last left behind do not count."""
+    out = work_dir(spark, "alerts-late")
+    return _logged(spark, _alert_stream(spark, sf_dir, out, LATE_EVERY), out)
+
+
 @query
 def alerts_stream_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "alerts-final")
-    running = streams.start_final(
-        _alert_stream(spark, sf_dir), f"{out}/alerts", f"{out}/checkpoint", streams.ALL_AVAILABLE
-    )
-    running.awaitTermination()
+    stream = _alert_stream(spark, sf_dir, out)
+    streams.start_final(stream, f"{out}/alerts", f"{out}/checkpoint", streams.wire.ALL_AVAILABLE).awaitTermination()
     return _alert_rows(spark.read.parquet(f"{out}/alerts"))
 
 
 @query
 def alerts_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "alerts-upsert")
-    running = streams.start_upsert(
-        _alert_stream(spark, sf_dir), f"{out}/table", f"{out}/checkpoint", streams.ALL_AVAILABLE, CREATED_AT
-    )
-    running.awaitTermination()
+    stream = _alert_stream(spark, sf_dir, out)
+    every = streams.wire.ALL_AVAILABLE
+    streams.start_upsert(stream, f"{out}/table", f"{out}/checkpoint", every, CREATED_AT).awaitTermination()
     return _record_rows(records.read_records(spark, f"{out}/table"))
 
 
 @query
 def alerts_through_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three streams joined by topics kept as files: ingest, scoring, alerting."""
-    use_rocksdb_state(spark)
     out = work_dir(spark, "topics")
-    kept = topics.FileTopics(f"{out}/topics")
-    every = streams.ALL_AVAILABLE
-    ingest = topics.chat_records(chat_stream(spark, sf_dir))
+    kept = topics.FileTopics(f"{out}/topics", max_files_per_trigger=1)
+    every = streams.wire.ALL_AVAILABLE
+    ingest = topics.chat_records(_chat_stream(spark, sf_dir, out))
     kept.write(ingest, CHAT_TOPIC, f"{out}/ingest", every).awaitTermination()
     streams.start_scoring(spark, kept, f"{out}/scoring", every).awaitTermination()
     streams.start_alerting(spark, kept, f"{out}/alerting", DAY_HOP, trigger=every, mode="append").awaitTermination()
-    sent = decode_json(kept.read(spark, ALERT_TOPIC), WARNING_ALERT)
-    return _alert_rows(sent)
+    return _alert_rows(decode_json(kept.read(spark, ALERT_TOPIC), WARNING_ALERT))
+
+
+@query
+def alerts_fused_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat topic to alert topic in one query."""
+    out = work_dir(spark, "fused")
+    kept = topics.FileTopics(f"{out}/topics", max_files_per_trigger=1)
+    every = streams.wire.ALL_AVAILABLE
+    kept.write(topics.chat_records(_chat_stream(spark, sf_dir, out)), CHAT_TOPIC, f"{out}/ingest", every).awaitTermination()
+    streams.start_alerts(spark, kept, f"{out}/alerts", DAY_HOP, trigger=every, mode="append").awaitTermination()
+    return _alert_rows(decode_json(kept.read(spark, ALERT_TOPIC), WARNING_ALERT))

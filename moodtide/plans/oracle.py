@@ -89,6 +89,20 @@ _DOUBTFUL = """d AS (
   FROM d
 )"""
 
+_NAMED = "event_id % 11 <> 0"
+_REPLAY_NAMED = _REPLAY.replace("FROM s\n)", f"FROM s WHERE {_NAMED}\n)")
+_RUNNING_NAMED = _RUNNING.replace(_REPLAY, _REPLAY_NAMED)
+_KEPT_TOTALS = _TOTALS.replace("FROM w", "FROM kept")
+# Eight files by event id, one a micro-batch. A batch drops what the watermark of the batch before last,
+# the highest time so far less the grace, has closed.
+_LATE_STREAM = f"""WITH {_HELD_BACK}, f AS (
+  SELECT s.*, (event_id - first) * 8 // (last - first + 1) AS file
+  FROM s CROSS JOIN (SELECT min(event_id) AS first, max(event_id) AS last FROM events)
+), b AS (SELECT file, max(ms) AS top FROM f GROUP BY file),
+mark AS (SELECT file, max(top) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS mark FROM b),
+{_windows(_DAY, _DAY // 2, "f")},
+kept AS (SELECT w.* FROM w JOIN mark USING (file) WHERE mark IS NULL OR we + {_DAY // 2} > mark), {_KEPT_TOTALS}"""
+
 SQL: dict[str, str] = {
     "src_chat_messages": f"""WITH {_ON_TIME}
       SELECT user_id AS key, part AS "partition", event_id AS "offset", user_id, ms AS "timestamp", message FROM m""",
@@ -169,4 +183,28 @@ SQL: dict[str, str] = {
       SELECT {_ALERT_COLUMNS} FROM t WHERE we + {_DAY // 2} <= (SELECT max(ms) FROM s)""",
     "alerts_through_topics": f"""{_MEANS}
       SELECT {_ALERT_COLUMNS} FROM t WHERE we + {_DAY // 2} <= (SELECT max(ms) FROM s)""",
+    "lexicon_any_case": _text_mood("text", "conv_id, turn, role", "conversations"),
+    "late_drop_bucketed": f"""{_REPLAY_NAMED}
+      SELECT user_id, part AS "partition", event_id AS "offset", ws AS window_start FROM kept""",
+    "alert_changelog_bucketed": f"""{_RUNNING_NAMED} {_SETTLED} UNION ALL {_HALFWAY}""",
+    "alert_changelog_in_order": f"""{_RUNNING_NAMED.replace(_HELD_BACK, _ON_TIME)} {_SETTLED}""",
+    "alert_current_bucketed": f"""{_REPLAY_NAMED}, {_KEPT_TOTALS} SELECT {_MEAN_COLUMNS} FROM t""",
+    "late_drop_record_time": f"""{_REPLAY}
+      SELECT user_id, part AS "partition", event_id AS "offset", ws AS window_start FROM kept""",
+    "alert_changelog_record_time": f"""{_RUNNING} {_SETTLED}""",
+    "alerts_by_record_key": f"""WITH {_DAY_WINDOWS}, {_TOTALS.replace("FROM w", f"FROM w WHERE {_NAMED}")}
+      SELECT {_ALERT_COLUMNS} FROM t""",
+    "topic_mixed_writes": f"""WITH {_ON_TIME}
+      SELECT part AS "partition", count(*) AS n, min(event_id) AS first_offset, max(event_id) AS last_offset
+      FROM m GROUP BY part""",
+    "topic_without_origin": f"""{_MEANS} SELECT {_ALERT_COLUMNS} FROM t""",
+    "stream_quarantine": f"""WITH {_ON_TIME}
+      SELECT part AS "partition", event_id AS "offset", CASE WHEN event_id % 11 = 0 THEN '2002'
+             WHEN event_id % 13 = 0 THEN '3000' END AS error_code FROM m""",
+    "observed_metrics": f"""{_MEANS}, a AS (SELECT {_ALERT_COLUMNS} FROM t)
+      SELECT count(*) AS alerts, count(*) FILTER (average_score < 0) AS low_alerts, min(average_score) AS min_average,
+             max(average_score) AS max_average, max(window_end) AS last_window_end FROM a""",
+    "alerts_stream_late": f"""{_LATE_STREAM} SELECT {_RECORD_COLUMNS} FROM t""",
+    "alerts_fused_stream": f"""{_MEANS}
+      SELECT {_ALERT_COLUMNS} FROM t WHERE we + {_DAY // 2} <= (SELECT max(ms) FROM s)""",
 }

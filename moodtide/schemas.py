@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 CHAT_TOPIC = "chat-messages"
 SCORE_TOPIC = "sentiment-scores"
 ALERT_TOPIC = "warning-alerts"
+# Where records go that a stage cannot use; a choice of this package.
+REJECTED_TOPIC = "rejected-messages"
 
 # Fixed value: the one text every alert carries.
 ALERT_MESSAGE = "用户情绪持续低落"

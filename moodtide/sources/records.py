@@ -3,8 +3,10 @@
 Parquet has no MERGE. The upsert replaces whole date partitions and survives a lost driver at
 any point: a batch's rows are first written down, the merged partitions are staged next to the
 table, a marker names the writer and batch whose stage is complete, and only then are they
-published. A repeated batch that finds its own marker publishes the stage again and never reads
-a half-replaced table. One writer at a time.
+published, which a second marker tells. Whoever comes next, the same writer or another, first
+publishes a complete stage that was not, and so never reads a half-replaced table; a repeated batch
+that is published changes nothing. One writer at a time; a reader may miss parts that are just being
+replaced. Parts are a date and a hash of the user, so that a batch rewrites little of a date.
 """
 
 from __future__ import annotations
@@ -18,7 +20,11 @@ from moodtide.schemas import ALERT_RECORD
 
 KEY = ["user_id", "window_end_ts"]
 DAY_MS = 86_400_000
-_TABLE = T.StructType([*ALERT_RECORD.fields, T.StructField("window_date", T.DateType())])
+# So many parts of a date by a hash of the user.
+PARTS = 16
+_TABLE = T.StructType(
+    [*ALERT_RECORD.fields, T.StructField("window_date", T.DateType()), T.StructField("part", T.IntegerType())]
+)
 
 
 def write_changes(records: DataFrame, path: str, batch_id: int) -> None:
@@ -32,10 +38,29 @@ def read_changes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_records(changes: DataFrame) -> DataFrame:
-    """The last logged record per key: a map-side fold, no sort."""
-    rest = [c for c in ALERT_RECORD.names if c not in KEY]
-    last = F.max_by(F.struct(*rest), "batch_id").alias("_last")
-    return changes.groupBy(*KEY).agg(last).select(*KEY, "_last.*").select(*ALERT_RECORD.names)
+    """The last logged record per key (one a batch): the last batch of each key by a hash fold, then the
+    rows of these."""
+    last = changes.groupBy(*KEY).agg(F.max("batch_id").alias("batch_id"))
+    return changes.join(last, [*KEY, "batch_id"], "left_semi").select(*ALERT_RECORD.names)
+
+
+def compact_changes(spark: SparkSession, path: str, upto: int) -> None:
+    """Replace the log's batches up to ``upto`` by the last record of each key in them, under that
+    number. Run it while no other compaction runs; batches behind ``upto`` may come meanwhile.
+
+    The compacted part is written aside before the batches it stands for go, and a repeat after a crash
+    does the same again: the last record of each key is in one or the other at every moment.
+    """
+    aside = f"{path}/_compacted"
+    old = read_changes(spark, path).filter(F.col("batch_id") <= upto)
+    latest_records(old).write.mode("overwrite").parquet(aside)
+    write_changes(spark.read.schema(ALERT_RECORD).parquet(aside), path, upto)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if name == "_compacted" or name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) < upto:
+            files.delete(status.getPath(), True)
 
 
 def read_records(spark: SparkSession, base: str) -> DataFrame:
@@ -46,38 +71,47 @@ def read_records(spark: SparkSession, base: str) -> DataFrame:
 def upsert_records(spark: SparkSession, records: DataFrame, base: str, writer: str, batch_id: int) -> None:
     """Replace the table's rows that share a key with ``records`` (one row per key) and add the rest.
 
-    ``records`` is evaluated once. Only the dates it touches are read and rewritten. ``writer``
+    ``records`` is evaluated once. Only the parts it touches are rewritten. ``writer``
     tells apart jobs that count their batches separately: a stream's checkpoint folder, say.
     """
     changes_path, stage, marker = f"{base}/changes", f"{base}/stage", f"{base}/staged_batch"
-    if _staged_batch(spark, marker) != (writer, batch_id):
+    staged = _marked(spark, marker)
+    if staged and staged != _marked(spark, f"{base}/published_batch"):
+        _publish(spark, base, *staged)
+    if staged != (writer, batch_id):
         day = F.floor(F.col("window_end_ts") / DAY_MS).cast("int")
-        dated = records.withColumn("window_date", F.date_from_unix_date(day))
+        part = F.pmod(F.xxhash64("user_id"), F.lit(PARTS)).cast("int")
+        dated = records.withColumns({"window_date": F.date_from_unix_date(day), "part": part})
         dated.write.mode("overwrite").parquet(changes_path)
         changes = spark.read.schema(_TABLE).parquet(changes_path)
         span = changes.agg(F.min("window_date").alias("low"), F.max("window_date").alias("high")).first()
         if span.low is None:
             return
-        dates = changes.select("window_date").distinct()
+        touched = changes.select("window_date", "part").distinct()
         kept = (
             _read(spark, f"{base}/records")
             .filter(F.col("window_date").between(span.low, span.high))
-            .join(dates, "window_date", "left_semi")
+            .join(touched, ["window_date", "part"], "left_semi")
             .join(changes, KEY, "left_anti")
         )
-        # In date order, so that a task writes few dates; a date too large for one task is split.
-        merged = kept.unionByName(changes).repartitionByRange("window_date", *KEY)
+        # By what parts are made of: a task writes whole parts, and none is worked out twice.
+        merged = kept.unionByName(changes).repartition("window_date", "part")
         merged.write.mode("overwrite").parquet(stage)
-        done = spark.range(batch_id, batch_id + 1, 1, 1).select(F.lit(writer).alias("writer"), "id")
-        done.write.mode("overwrite").parquet(marker)
-    (
-        spark.read.schema(_TABLE)
-        .parquet(stage)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("window_date")
-        .parquet(f"{base}/records")
-    )
+        _mark(spark, marker, writer, batch_id)
+        _publish(spark, base, writer, batch_id)
+
+
+def _publish(spark: SparkSession, base: str, writer: str, batch_id: int) -> None:
+    """Put the staged parts in place of the table's; may be repeated."""
+    staged = spark.read.schema(_TABLE).parquet(f"{base}/stage").repartition("window_date", "part")
+    parts = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    parts.partitionBy("window_date", "part").parquet(f"{base}/records")
+    _mark(spark, f"{base}/published_batch", writer, batch_id)
+
+
+def _mark(spark: SparkSession, marker: str, writer: str, batch_id: int) -> None:
+    done = spark.range(batch_id, batch_id + 1, 1, 1).select(F.lit(writer).alias("writer"), "id")
+    done.write.mode("overwrite").parquet(marker)
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
@@ -89,7 +123,7 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], _TABLE)
 
 
-def _staged_batch(spark: SparkSession, marker: str) -> tuple[str, int] | None:
+def _marked(spark: SparkSession, marker: str) -> tuple[str, int] | None:
     try:
         row = spark.read.schema("writer STRING, id BIGINT").parquet(marker).first()
     except AnalysisException as missing:
@@ -99,9 +133,7 @@ def _staged_batch(spark: SparkSession, marker: str) -> tuple[str, int] | None:
     return (row.writer, row.id) if row else None
 
 
-def jdbc_options(
-    url: str = "jdbc:postgresql://localhost:5432/streamdb", user: str = "postgres", password: str = "", **extra: str
-) -> dict[str, str]:
+def jdbc_options(url: str, user: str, password: str = "", **extra: str) -> dict[str, str]:
     """Options for ``write.format("jdbc")`` into the alert table. The driver's jar comes with the
     session; Spark's JDBC sink only inserts, so append finals (one row per key) there."""
     return {

@@ -51,6 +51,25 @@ def chat(spark: SparkSession, sf_dir: str, hold_back_every: int | None = None) -
     return events_as_chat(table(spark, sf_dir, "events"), hold_back_every)
 
 
+def in_files(events: DataFrame, path: str, files: int) -> str:
+    """The event table written under ``path`` as that many files, one after the other by event id, so that
+    a stream takes them in event order: file ``n`` holds ids ``i`` with ``(i - first) * files div
+    (last - first + 1) = n``. Each file is one task's work, which bounds how far this scales."""
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    for n in range(files if first is not None else 0):
+        number = F.floor((F.col("event_id") - first) * files / (last - first + 1))
+        events.filter(number == n).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def chat_stream_of(
+    spark: SparkSession, schema, path: str, files_per_trigger: int = 1, hold_back_every: int | None = None
+) -> DataFrame:
+    """A folder of event files as a stream, so many files a micro-batch."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    return events_as_chat(reader.parquet(path), hold_back_every)
+
+
 def chat_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """The event table as a stream, whether it is one file or a folder of files."""
     reader = spark.readStream.schema(table(spark, sf_dir, "events").schema)

@@ -17,26 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from moodtide.functions.sentiment import Scorer
-from moodtide.operators.alerts import to_alerts, to_records
+from moodtide.operators.alerts import observe_alerts, observe_scores, to_alerts, to_records
 from moodtide.operators.windows import DEFAULT_HOP, Hop
 from moodtide.plans.pipeline import scores, window_means
-from moodtide.schemas import ALERT_TOPIC, CHAT_TOPIC, SCORE_TOPIC
+from moodtide.schemas import ALERT_TOPIC, CHAT_TOPIC, REJECTED_TOPIC, SCORE_TOPIC
 from moodtide.sources import topics as wire
 from moodtide.sources.records import upsert_records, write_changes
-from moodtide.sources.topics import ALL_AVAILABLE, EVERY_SECOND
-
-__all__ = [
-    "ALL_AVAILABLE",
-    "EVERY_SECOND",
-    "alert_stream",
-    "read_scores",
-    "start_alerting",
-    "start_change_log",
-    "start_final",
-    "start_scoring",
-    "start_topology",
-    "start_upsert",
-]
+
+# Every batch of an upsert rewrites what it touches: seconds would pile up rewrites.
+EVERY_MINUTES = {"processingTime": "5 minutes"}
 
 
 def alert_stream(scored: DataFrame, hop: Hop = DEFAULT_HOP, threshold: float | None = None) -> DataFrame:
@@ -71,40 +60,64 @@ def start_upsert(
 ) -> StreamingQuery:
     """Update mode: each micro-batch is merged into the alert table by key. The aggregation gives
     one row per key and batch, so a batch needs no dedupe of its own. Each batch rewrites the
-    dates it touches: pick a trigger in minutes for large tables, or log changes instead."""
+    parts of the table that it touches, every five minutes by default; a change log writes less."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         upsert_records(batch.sparkSession, to_records(batch, created_at), base, checkpoint, batch_id)
 
-    return _start(alerts, merge, checkpoint, trigger, name)
+    return _start(alerts, merge, checkpoint, trigger or EVERY_MINUTES, name)
 
 
 def start_final(
     alerts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, name: str | None = None
 ) -> StreamingQuery:
     """Append mode: one final alert per window, written exactly once after the watermark."""
-    writer = alerts.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    if name:
-        writer = writer.queryName(name)
-    return writer.trigger(**(trigger or EVERY_SECOND)).start(path)
+    writer = alerts.writeStream.format("parquet").outputMode("append").option("path", path)
+    return wire.start(writer, checkpoint, trigger, name)
+
+
+def read_chat(spark: SparkSession, topics: wire.Topics) -> DataFrame:
+    """The chat topic as a stream, decoded; bad records with their code and raw value."""
+    return wire.chat_messages(topics.read(spark, CHAT_TOPIC, streaming=True))
+
+
+def _usable(decoded: DataFrame) -> DataFrame:
+    return decoded.filter(F.col("error_code").isNull())
 
 
 def start_scoring(
-    spark: SparkSession, topics: wire.Topics, checkpoint: str, trigger: dict | None = None, scorer: Scorer | None = None
+    spark: SparkSession,
+    topics: wire.Topics,
+    checkpoint: str,
+    trigger: dict | None = None,
+    scorer: Scorer | None = None,
+    name: str | None = SCORE_TOPIC,
+) -> StreamingQuery:
+    """Chat topic to score topic, counts of messages and negative ones in each progress report (metrics
+    ``scores``). Records that do not decode and null messages go to ``start_rejected``."""
+    scored, _ = observe_scores(scores(_usable(read_chat(spark, topics)), scorer))
+    return topics.write(wire.score_records(scored), SCORE_TOPIC, checkpoint, trigger, name=name)
+
+
+def start_rejected(
+    spark: SparkSession, topics: wire.Topics, checkpoint: str, trigger: dict | None = None, name: str | None = REJECTED_TOPIC
 ) -> StreamingQuery:
-    """Chat topic to score topic. Records that do not decode and null messages are left out here:
-    ``topics.chat_messages`` over the same topic gives them with their code."""
-    chat = wire.chat_messages(topics.read(spark, CHAT_TOPIC, streaming=True)).filter(F.col("error_code").isNull())
-    return topics.write(wire.score_records(scores(chat, scorer)), SCORE_TOPIC, checkpoint, trigger)
+    """Chat topic to the topic of what scoring cannot use: together with the scores it is every record."""
+    rejected = wire.rejected_records(read_chat(spark, topics))
+    return topics.write(rejected, REJECTED_TOPIC, checkpoint, trigger, name=name)
 
 
 def read_scores(spark: SparkSession, topics: wire.Topics) -> DataFrame:
     """The score topic as a stream for ``alert_stream``. The user is the record's key."""
-    scored = wire.sentiment_scores(topics.read(spark, SCORE_TOPIC, streaming=True))
-    scored = scored.filter(F.col("error_code").isNull())
-    if not topics.keeps_time:
-        scored = wire.with_payload_time(scored)
-    return scored.drop("user_id").withColumnRenamed("key", "user_id")
+    return _usable(wire.sentiment_scores(topics.read(spark, SCORE_TOPIC, streaming=True)))
+
+
+def _alert_topic(
+    scored: DataFrame, topics: wire.Topics, checkpoint: str, hop: Hop, threshold: float | None,
+    trigger: dict | None, mode: str, name: str | None,
+) -> StreamingQuery:
+    alerts, _ = observe_alerts(alert_stream(scored, hop, threshold))
+    return topics.write(wire.alert_records(alerts), ALERT_TOPIC, checkpoint, trigger, mode, name)
 
 
 def start_alerting(
@@ -115,11 +128,28 @@ def start_alerting(
     threshold: float | None = None,
     trigger: dict | None = None,
     mode: str = "update",
+    name: str | None = ALERT_TOPIC,
+) -> StreamingQuery:
+    """Score topic to alert topic: every update of a window's mean, or with ``mode="append"`` the final
+    alerts. Counts come with each progress report (metrics ``alerts``)."""
+    return _alert_topic(read_scores(spark, topics), topics, checkpoint, hop, threshold, trigger, mode, name)
+
+
+def start_alerts(
+    spark: SparkSession,
+    topics: wire.Topics,
+    checkpoint: str,
+    hop: Hop = DEFAULT_HOP,
+    threshold: float | None = None,
+    trigger: dict | None = None,
+    scorer: Scorer | None = None,
+    mode: str = "update",
+    name: str | None = f"{CHAT_TOPIC}-to-{ALERT_TOPIC}",
 ) -> StreamingQuery:
-    """Score topic to alert topic: every update of a window's mean on Kafka; file topics take
-    ``mode="append"``, the final alerts."""
-    alerts = alert_stream(read_scores(spark, topics), hop, threshold)
-    return topics.write(wire.alert_records(alerts), ALERT_TOPIC, checkpoint, trigger, mode)
+    """The whole dataflow as one query, chat topic to alert topic: no score topic, one hop less, and
+    record time kept on any topics."""
+    scored, _ = observe_scores(scores(_usable(read_chat(spark, topics)), scorer))
+    return _alert_topic(scored, topics, checkpoint, hop, threshold, trigger, mode, name)
 
 
 def start_topology(
@@ -131,15 +161,24 @@ def start_topology(
     trigger: dict | None = None,
     scorer: Scorer | None = None,
     mode: str = "update",
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Both stages, side by side: scoring first, then alerting on what it writes."""
-    scoring = start_scoring(spark, topics, f"{checkpoint}/{SCORE_TOPIC}", trigger, scorer)
-    alerting = start_alerting(spark, topics, f"{checkpoint}/{ALERT_TOPIC}", hop, threshold, trigger, mode)
-    return scoring, alerting
+) -> tuple[StreamingQuery, StreamingQuery, StreamingQuery]:
+    """All stages, side by side: scoring, what it rejects, and alerting on what it writes. If one cannot
+    start, those started before it are stopped."""
+    if mode not in topics.modes:
+        raise ValueError(f"{type(topics).__name__} take {', '.join(topics.modes)}, not {mode}")
+    started: list[StreamingQuery] = []
+    try:
+        started.append(start_scoring(spark, topics, f"{checkpoint}/{SCORE_TOPIC}", trigger, scorer))
+        started.append(start_rejected(spark, topics, f"{checkpoint}/{REJECTED_TOPIC}", trigger))
+        started.append(
+            start_alerting(spark, topics, f"{checkpoint}/{ALERT_TOPIC}", hop, threshold, trigger, mode)
+        )
+    except Exception:
+        for query in started:
+            query.stop()
+        raise
+    return tuple(started)
 
 
 def _start(alerts: DataFrame, on_batch, checkpoint: str, trigger: dict | None, name: str | None) -> StreamingQuery:
-    writer = alerts.writeStream.outputMode("update").foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    if name:
-        writer = writer.queryName(name)
-    return writer.trigger(**(trigger or EVERY_SECOND)).start()
+    return wire.start(alerts.writeStream.outputMode("update").foreachBatch(on_batch), checkpoint, trigger, name)

@@ -14,8 +14,13 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = local_session(8, shuffle_partitions=4, app="moodtide-tests")
+    if not session.conf.get("spark.checkpoint.dir", None):
+        # The setting is fixed for a session's life.
+        session.stop()
+        shared = str(tmp_path_factory.mktemp("shared"))
+        session = local_session(8, shuffle_partitions=4, app="moodtide-tests", checkpoint_dir=shared)
     yield session
     session.stop()
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from moodtide.functions.codec import split_windowed_key
 from moodtide.operators.alerts import observe_alerts
 from moodtide.plans import pipeline
-from moodtide.session import ROCKSDB_PROVIDER, use_rocksdb_state, work_dir
+from moodtide.session import work_dir
 from moodtide.sources import records, topics
 from moodtide.streaming import queries as streams
 
@@ -55,12 +56,12 @@ def relative(row):
 
 def test_updates_and_late_rows_batch_by_batch(spark, folder):
     """The late rows of the last batch count only where their window is still open."""
-    use_rocksdb_state(spark)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     for number, rows in enumerate(BATCHES):
         write_batch(folder / "in", number, rows)
     alerts = streams.alert_stream(score_stream(spark, folder / "in"))
     out = str(folder / "log")
-    query = run(streams.start_change_log(alerts, out, str(folder / "cp"), streams.ALL_AVAILABLE, MADE))
+    query = run(streams.start_change_log(alerts, out, str(folder / "cp"), topics.ALL_AVAILABLE, MADE))
 
     changes = records.read_changes(spark, out)
     got = {}
@@ -76,7 +77,8 @@ def test_updates_and_late_rows_batch_by_batch(spark, folder):
     assert dropped == 3
     state = query.recentProgress[0]["stateOperators"][0]["customMetrics"]
     assert any(name.startswith("rocksdb") for name in state)
-    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == ROCKSDB_PROVIDER
+    # The query took RocksDB along, the session keeps what it had.
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
 
 
 def test_late_filter_lags_one_batch(spark, folder):
@@ -85,7 +87,7 @@ def test_late_filter_lags_one_batch(spark, folder):
         write_batch(folder / "in", number, rows)
     alerts = streams.alert_stream(score_stream(spark, folder / "in"))
     out = str(folder / "log")
-    run(streams.start_change_log(alerts, out, str(folder / "cp"), streams.ALL_AVAILABLE, MADE))
+    run(streams.start_change_log(alerts, out, str(folder / "cp"), topics.ALL_AVAILABLE, MADE))
     last = {relative(r) for r in records.read_changes(spark, out).filter("batch_id = 2").collect()}
     assert {end for end, _ in last} >= {30, 60, 90}
 
@@ -95,13 +97,13 @@ def test_final_alerts_once_per_closed_window(spark, folder):
         write_batch(folder / "in", number, rows)
     alerts = streams.alert_stream(score_stream(spark, folder / "in"))
     out, checkpoint = str(folder / "final"), str(folder / "cp")
-    run(streams.start_final(alerts, out, checkpoint, streams.ALL_AVAILABLE, name="final"))
+    run(streams.start_final(alerts, out, checkpoint, topics.ALL_AVAILABLE, name="final"))
     closed = {((r.window_end - BASE) // 1000, round(r.average_score, 6)) for r in spark.read.parquet(out).collect()}
     assert closed == {(30, 0.1), (60, 0.1)}
 
     # More input under the same checkpoint goes on where the last run stopped.
     write_batch(folder / "in", 9, [(400, 0.8)])
-    run(streams.start_final(alerts, out, checkpoint, streams.ALL_AVAILABLE))
+    run(streams.start_final(alerts, out, checkpoint, topics.ALL_AVAILABLE))
     rows = spark.read.parquet(out).collect()
     ends = sorted((r.window_end - BASE) // 1000 for r in rows)
     assert ends == [30, 60, 120, 150, 180]
@@ -112,7 +114,7 @@ def test_upsert_keeps_the_last_mean_per_key(spark, folder):
         write_batch(folder / "in", number, rows)
     alerts = streams.alert_stream(score_stream(spark, folder / "in"))
     base = str(folder / "table")
-    run(streams.start_upsert(alerts, base, str(folder / "cp"), streams.ALL_AVAILABLE, MADE))
+    run(streams.start_upsert(alerts, base, str(folder / "cp"), topics.ALL_AVAILABLE, MADE))
     got = {relative(r) for r in records.read_records(spark, base).collect()}
     assert got == {(30, 0.1), (60, 0.066667), (90, 0.0)}
 
@@ -131,27 +133,69 @@ def test_upsert_touches_only_its_dates_and_writers_do_not_collide(spark, tmp_pat
     base = str(tmp_path / "table")
     assert table(spark, base) == set()
     records.upsert_records(spark, alert_rows(spark, ("a", 1, "x"), ("b", 1, "x"), ("a", 2, "x"), ("c", 3, "x")), base, "w", 0)
-    untouched = os.stat(tmp_path / "table/records/window_date=1970-01-03").st_mtime_ns
+    day = tmp_path / "table/records/window_date=1970-01-03"
+    modified = lambda: {name: os.stat(day / name).st_mtime_ns for name in os.listdir(day)}
+    untouched = modified()
     records.upsert_records(spark, alert_rows(spark, ("a", 1, "y"), ("d", 3, "y")), base, "w", 1)
     expected = {("a", 1, "y"), ("b", 1, "x"), ("a", 2, "x"), ("c", 3, "x"), ("d", 3, "y")}
     assert table(spark, base) == expected
-    assert os.stat(tmp_path / "table/records/window_date=1970-01-03").st_mtime_ns == untouched
+    assert modified() == untouched
     # The same batch number from another writer is another batch; an empty batch changes nothing.
     records.upsert_records(spark, alert_rows(spark, ("e", 2, "z")), base, "other", 1)
     records.upsert_records(spark, alert_rows(spark), base, "other", 2)
     assert table(spark, base) == expected | {("e", 2, "z")}
 
 
-def test_upsert_repeated_after_a_crash_while_publishing(spark, tmp_path):
-    """A half-published batch, its partition already gone, comes out whole when repeated."""
+def lose(folder):
+    """What a driver leaves that dies while it replaces parts."""
+    for path in folder.rglob("*"):
+        if path.is_file():
+            path.unlink()
+
+
+@pytest.mark.parametrize("step", ["changes", "stage", "publish"])
+@pytest.mark.parametrize("writer", ["w", "other"])
+def test_upsert_after_a_crash_at_every_step(spark, tmp_path, monkeypatch, step, writer):
+    """Whoever comes next, the same writer with the same batch or another with its own, nothing is lost."""
     base = str(tmp_path / "table")
-    records.upsert_records(spark, alert_rows(spark, ("a", 1, "x"), ("b", 1, "x")), base, "w", 0)
+    monkeypatch.setattr(records, "PARTS", 1)
+    records.upsert_records(spark, alert_rows(spark, ("a", 1, "x"), ("b", 1, "x"), ("a", 2, "x")), base, "w", 0)
     batch = alert_rows(spark, ("a", 1, "y"))
-    records.upsert_records(spark, batch, base, "w", 1)
-    for name in os.listdir(tmp_path / "table/records/window_date=1970-01-02"):
-        (tmp_path / "table/records/window_date=1970-01-02" / name).unlink()
-    records.upsert_records(spark, batch, base, "w", 1)
-    assert table(spark, base) == {("a", 1, "y"), ("b", 1, "x")}
+
+    def die(*args):
+        if step == "publish":
+            lose(tmp_path / "table/records/window_date=1970-01-02")
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as broken:
+        if step == "changes":
+            broken.setattr(records, "_read", die)
+        elif step == "stage":
+            broken.setattr(records, "_mark", die)
+        else:
+            broken.setattr(records, "_publish", die)
+        with pytest.raises(KeyboardInterrupt):
+            records.upsert_records(spark, batch, base, "w", 1)
+
+    expected = {("b", 1, "x"), ("a", 2, "x")}
+    if writer == "w":
+        records.upsert_records(spark, batch, base, "w", 1)
+        expected |= {("a", 1, "y")}
+    else:
+        records.upsert_records(spark, alert_rows(spark, ("c", 3, "z")), base, "other", 1)
+        expected |= {("a", 1, "y" if step == "publish" else "x"), ("c", 3, "z")}
+    assert table(spark, base) == expected
+
+
+def test_compacted_log_reads_as_before(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for batch, rows in enumerate([(("a", 1, "x"), ("b", 1, "x")), (("a", 1, "y"),), (("c", 1, "x"),), (("b", 1, "z"),)]):
+        records.write_changes(alert_rows(spark, *rows), path, batch)
+    before = sorted(map(str, records.latest_records(records.read_changes(spark, path)).collect()))
+    for _ in range(2):
+        records.compact_changes(spark, path, 2)
+        assert sorted(map(str, records.latest_records(records.read_changes(spark, path)).collect())) == before
+    assert sorted(os.listdir(path)) == ["batch_id=2", "batch_id=3"]
 
 
 def test_change_log_is_idempotent_and_keeps_the_latest(spark, tmp_path):
@@ -168,7 +212,7 @@ def test_stream_metrics_arrive_with_the_progress(spark, folder):
     write_batch(folder / "in", 0, BATCHES[0])
     observed, observation = observe_alerts(streams.alert_stream(score_stream(spark, folder / "in")), "mood")
     assert observation is None
-    query = run(streams.start_change_log(observed, str(folder / "log"), str(folder / "cp"), streams.ALL_AVAILABLE, MADE))
+    query = run(streams.start_change_log(observed, str(folder / "log"), str(folder / "cp"), topics.ALL_AVAILABLE, MADE))
     metrics = query.recentProgress[0].observedMetrics["mood"]
     assert metrics.alerts == 2 and metrics.low_alerts == 0
 
@@ -178,7 +222,7 @@ def test_one_batch_stream_equals_batch(spark, sf_dir, folder):
     from moodtide.sources.tables import chat, chat_stream
 
     alerts = streams.alert_stream(pipeline.scores(chat_stream(spark, sf_dir, max_files_per_trigger=1)), DAY_HOP, threshold=0.2)
-    run(streams.start_change_log(alerts, str(folder / "log"), str(folder / "cp"), streams.ALL_AVAILABLE, MADE))
+    run(streams.start_change_log(alerts, str(folder / "log"), str(folder / "cp"), topics.ALL_AVAILABLE, MADE))
     streamed = records.read_changes(spark, str(folder / "log")).select("user_id", "window_end_ts")
     batch = pipeline.warning_alerts(chat(spark, sf_dir), DAY_HOP, threshold=0.2).select("user_id", "window_end")
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
@@ -191,12 +235,29 @@ def test_kafka_options():
     source = topics.source_options("chat-messages", minPartitions="64")
     assert source == {
         "kafka.bootstrap.servers": "localhost:9092", "subscribe": "chat-messages",
-        "startingOffsets": "earliest", "minPartitions": "64",
+        "startingOffsets": "earliest", "minPartitions": "64", "includeHeaders": "true",
+        "maxOffsetsPerTrigger": str(topics.MAX_OFFSETS),
     }
+    replay = topics.replay_options("chat-messages", '{"chat-messages":{"0":9}}')
+    assert replay["endingOffsets"] == '{"chat-messages":{"0":9}}' and "maxOffsetsPerTrigger" not in replay
+    with pytest.raises(ValueError):
+        topics.replay_options("chat-messages", "latest")
     sink = topics.sink_options("warning-alerts", "broker:1")
     assert sink["kafka.bootstrap.servers"] == "broker:1" and sink["topic"] == "warning-alerts"
     assert sink["kafka.acks"] == "1" and sink["kafka.compression.type"] == "snappy" and len(sink) == 9
-    assert records.jdbc_options(password="x", batchsize="5")["dbtable"] == "alert_record"
+    assert records.jdbc_options("jdbc:x", "me", batchsize="5")["dbtable"] == "alert_record"
+    with pytest.raises(TypeError):
+        records.jdbc_options()
+
+
+def test_record_time_goes_over_a_broker_in_a_header(spark):
+    sent, brokered = dt.datetime(2024, 1, 1, 0, 0, 1), dt.datetime(2024, 5, 5)
+    rows = spark.createDataFrame([(b"k", b"v", sent), (b"l", b"w", None)], "key BINARY, value BINARY, timestamp TIMESTAMP")
+    wire = topics.to_wire(rows)
+    assert wire.columns == ["key", "value", "headers"]
+    got = wire.withColumns({"timestamp": F.lit(brokered), "partition": F.lit(0), "offset": F.lit(1).cast("bigint")})
+    times = {bytes(r.key): r.timestamp for r in topics.from_wire(got).collect()}
+    assert times == {b"k": sent, b"l": brokered}
 
 
 def test_records_carry_key_origin_and_time(spark):
@@ -230,7 +291,7 @@ def test_file_topic_batch_and_stream(spark, sf_dir, tmp_path):
     kept.write(topics.chat_records(chat(spark, sf_dir)), "chat-messages")
     n = chat(spark, sf_dir).count()
     assert topics.chat_messages(kept.read(spark, "chat-messages"), mode="strict").count() == n
-    run(kept.write(kept.read(spark, "chat-messages", streaming=True), "copy", str(tmp_path / "cp"), streams.ALL_AVAILABLE))
+    run(kept.write(kept.read(spark, "chat-messages", streaming=True), "copy", str(tmp_path / "cp"), topics.ALL_AVAILABLE))
     assert kept.read(spark, "copy").count() == n
     with pytest.raises(ValueError):
         kept.write(kept.read(spark, "chat-messages", streaming=True), "copy")
@@ -241,7 +302,8 @@ def test_topology_runs_both_stages_side_by_side(spark, tmp_path):
     kept = topics.FileTopics(str(tmp_path / "kept"))
     for topic in ("chat-messages", "sentiment-scores"):
         kept.create(spark, topic)
-    scoring, alerting = streams.start_topology(spark, kept, str(tmp_path / "cp"), mode="append")
+    scoring, rejecting, alerting = streams.start_topology(spark, kept, str(tmp_path / "cp"), mode="append")
+    assert [q.name for q in (scoring, rejecting, alerting)] == ["sentiment-scores", "rejected-messages", "warning-alerts"]
     try:
         when = dt.datetime(2024, 1, 1)
         first = [("U1", "好", 0), ("U1", "难过", 10), ("U1", None, 11), (None, "好", 12)]
@@ -252,14 +314,94 @@ def test_topology_runs_both_stages_side_by_side(spark, tmp_path):
             )
             kept.write(topics.chat_records(batch), "chat-messages")
             scoring.processAllAvailable()
+            rejecting.processAllAvailable()
             alerting.processAllAvailable()
         sent = kept.read(spark, "warning-alerts")
         text, start = split_windowed_key(F.col("key"))
         rows = sent.select(text, (start - int(when.timestamp()) * 1000) / 1000, F.get_json_object(F.col("value").cast("string"), "$.averageScore"))
         assert sorted((u, s, round(float(a), 6)) for u, s, a in rows.collect()) == [("U1", -30.0, 0.1), ("U1", 0.0, 0.1)]
+        code = F.get_json_object(F.col("value").cast("string"), "$.errorCode")
+        assert [tuple(r) for r in kept.read(spark, "rejected-messages").select("offset", code).collect()] == [(2, "3000")]
+        counted = [p.observedMetrics["scores"].messages for p in scoring.recentProgress if "scores" in p.observedMetrics]
+        assert sum(counted) == 4
+        assert any("alerts" in p.observedMetrics for p in alerting.recentProgress)
+        state = [s for p in alerting.recentProgress for s in p["stateOperators"]]
+        assert any(name.startswith("rocksdb") for s in state for name in s["customMetrics"])
     finally:
-        scoring.stop()
-        alerting.stop()
+        for query in (scoring, rejecting, alerting):
+            query.stop()
+
+
+def test_topology_that_cannot_start_leaves_nothing_running(spark, tmp_path, monkeypatch):
+    kept = topics.FileTopics(str(tmp_path / "kept"))
+    with pytest.raises(ValueError, match="append, update, complete"):
+        streams.start_topology(spark, kept, str(tmp_path / "cp"), mode="upsert")
+    kept.create(spark, "chat-messages")
+
+    def fail(*args):
+        raise RuntimeError("cannot start")
+
+    monkeypatch.setattr(streams, "start_alerting", fail)
+    with pytest.raises(RuntimeError, match="cannot start"):
+        streams.start_topology(spark, kept, str(tmp_path / "cp"))
+    assert not spark.streams.active
+
+
+@pytest.mark.parametrize("order", ["bsb", "sbs", "ssb"])
+def test_topic_keeps_every_row_whatever_the_order_of_writes(spark, sf_dir, tmp_path, order):
+    from moodtide.sources.tables import chat
+
+    kept = topics.FileTopics(str(tmp_path / "kept"))
+    sent = topics.chat_records(chat(spark, sf_dir).limit(20))
+    kept.write(sent, "source")
+    for number, kind in enumerate(order):
+        if kind == "b":
+            kept.write(sent, "topic")
+        else:
+            again = kept.read(spark, "source", streaming=True)
+            run(kept.write(again, "topic", str(tmp_path / f"cp{number}"), topics.ALL_AVAILABLE))
+        assert kept.read(spark, "topic").count() == 20 * (number + 1)
+
+
+def test_repeated_micro_batch_is_written_once(spark, sf_dir, tmp_path):
+    from moodtide.sources.tables import chat
+
+    kept = topics.FileTopics(str(tmp_path / "kept"))
+    kept.write(topics.chat_records(chat(spark, sf_dir).limit(20)), "source")
+    for _ in range(2):
+        again = kept.read(spark, "source", streaming=True)
+        run(kept.write(again, "topic", str(tmp_path / "cp"), topics.ALL_AVAILABLE))
+        # As if the driver had died between the write and its commit.
+        for name in os.listdir(tmp_path / "cp/commits"):
+            os.unlink(tmp_path / "cp/commits" / name)
+    assert kept.read(spark, "topic").count() == 20
+
+
+def test_replay_needs_every_records_origin(spark):
+    rows = spark.createDataFrame([("u", 5, "好")], "user_id STRING, timestamp BIGINT, message STRING")
+    read = topics.chat_messages(topics.chat_records(rows).withColumns({"partition": F.lit(None).cast("int"), "offset": F.lit(None).cast("bigint")}))
+    assert pipeline.warning_alerts(read).count() == 1
+    with pytest.raises(Exception, match="replay needs"):
+        pipeline.replayed_alerts(read).collect()
+
+
+def test_batch_replay_and_stream_group_by_key_and_record_time(spark, tmp_path):
+    when = dt.datetime(2024, 1, 1)
+    rows = [("K", 1, 0), (None, 2, 40), ("K", 3, 80)]
+    sent = spark.createDataFrame(
+        [(k, b'{"userId":"P","message":"\xe5\xa5\xbd"}', 0, o, when + dt.timedelta(seconds=s)) for k, o, s in rows],
+        "key STRING, value BINARY, partition INT, offset BIGINT, timestamp TIMESTAMP",
+    ).withColumn("key", F.col("key").cast("binary"))
+    kept = topics.FileTopics(str(tmp_path / "kept"))
+    kept.write(sent, "chat-messages")
+    read = topics.chat_messages(kept.read(spark, "chat-messages"))
+    batch = {(r.user_id, r.window_end) for r in pipeline.warning_alerts(read).collect()}
+    assert {user for user, _ in batch} == {"K"} and len(batch) == 4
+    assert {(r.user_id, r.window_end) for r in pipeline.replayed_alerts(read).collect()} == batch
+    run(streams.start_alerts(spark, kept, str(tmp_path / "cp"), trigger=topics.ALL_AVAILABLE))
+    text, start = split_windowed_key(F.col("key"))
+    got = kept.read(spark, "warning-alerts").select(text, start + 60_000).distinct().collect()
+    assert set(map(tuple, got)) == batch
 
 
 def test_kafka_needs_its_connector(spark):
@@ -267,15 +409,16 @@ def test_kafka_needs_its_connector(spark):
     kafka = topics.KafkaTopics("broker:1", read_options={"minPartitions": "64"})
     with pytest.raises(Exception, match="kafka|Kafka"):
         kafka.read(spark, "chat-messages")
-    assert not kafka.keeps_time
 
 
 def test_work_dir_follows_the_session(spark):
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir")
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
-    assert first != second
-    if shared:
-        assert first.startswith(f"{shared}/x-")
+    assert first != second and first.startswith(f"{shared}/x-")
+    # The setting is fixed for a session's life: one without it is imitated.
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(unset, "x")
 
 
 def test_table_stream_from_a_folder_of_files(spark, sf_dir, tmp_path):
@@ -284,6 +427,6 @@ def test_table_stream_from_a_folder_of_files(spark, sf_dir, tmp_path):
     table(spark, sf_dir, "events").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
     sent = topics.chat_records(chat_stream(spark, str(tmp_path), max_files_per_trigger=1))
     kept = topics.FileTopics(str(tmp_path / "kept"))
-    query = run(kept.write(sent, "chat-messages", str(tmp_path / "cp"), streams.ALL_AVAILABLE))
+    query = run(kept.write(sent, "chat-messages", str(tmp_path / "cp"), topics.ALL_AVAILABLE))
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
     assert kept.read(spark, "chat-messages").count() == chat(spark, sf_dir).count()

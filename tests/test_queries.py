@@ -6,6 +6,8 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_points
+from moodtide.plans.catalog import QUERIES
+from moodtide.plans.oracle import SQL
 
 TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "int": "INTEGER", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
 
@@ -16,12 +18,13 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert QUERIES.items() <= entry_points.queries().items() and SQL.items() <= entry_points.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, con, name):
-    df, sql = entry_points.queries()[name](spark, sf_dir), entry_points.oracle_sql()[name]
+    df, sql = QUERIES[name](spark, sf_dir), SQL[name]
     assert {c: TYPES[t] for c, t in df.dtypes} == oracle.duckdb_columns(con, sql)
     rows = oracle.spark_rows(df)
     assert rows
@@ -40,7 +43,7 @@ def test_session_zone_does_not_matter(spark, sf_dir, con, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         for name in ("src_chat_messages", "warning_alerts", "alert_current", "alerts_stream_upsert"):
-            df = entry_points.queries()[name](spark, sf_dir)
-            assert oracle.spark_rows(df) == oracle.duckdb_rows(con, entry_points.oracle_sql()[name]), name
+            df = QUERIES[name](spark, sf_dir)
+            assert oracle.spark_rows(df) == oracle.duckdb_rows(con, SQL[name]), name
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)

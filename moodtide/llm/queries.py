@@ -19,6 +19,9 @@ from moodtide.llm import (
     toxicity,
 )
 from moodtide.llm.common import table
+from moodtide.llm.oracle import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 
 def piece_model(name: str = pieces.MODEL) -> str:
@@ -73,4 +76,3 @@ QUERIES = {
         op7_quality_rules, op8_sentencepiece, op9_html_text, op10_embedding_dedup,
     )
 }
-SQL: dict[str, str] = {}

@@ -42,6 +42,13 @@ def widened(spark: SparkSession, sf_dir: str, factor: int) -> DataFrame:
     )
 
 
+def digest(updates: DataFrame) -> tuple[int, int]:
+    """How many rows, and a sum of their hashes that does not depend on their order."""
+    mean = F.round("average_score", 6)
+    hashed = F.xxhash64("partition", "offset", "user_id", "window_start", "seq", "n", mean).cast("decimal(38, 0)")
+    return tuple(updates.agg(F.count("*"), F.sum(hashed)).first())
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -56,6 +63,10 @@ def main() -> None:
             job(spark.read.parquet(path)).write.format("noop").mode("overwrite").save()
             seconds = time.perf_counter() - start
             print(f"{rows:>11,} rows  {name:<24} {seconds:7.2f} s  {rows / seconds:>12,.0f} rows/s", flush=True)
+        # Many small buckets and few large ones give the same log.
+        few, many = (digest(pipeline.replayed_changelog(spark.read.parquet(path), bucket_bits=bits)) for bits in (20, 12))
+        assert few == many, (few, many)
+        print(f"{rows:>11,} rows  {few[0]:,} updates, the same with buckets of 2**12 and 2**20 offsets", flush=True)
     spark.stop()
 
 

@@ -72,4 +72,5 @@ def learnable(rows: DataFrame, labels: DataFrame, label_col: str, limit: int, id
     chosen = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("label"))
     chosen = chosen.select("_id", "label", F.xxhash64(F.col("_id").cast("string")).alias("place"))
     chosen = stored(chosen.orderBy("place", "_id").limit(limit), "learnable")
-    return rows.join(chosen, rows[id_col] == chosen["_id"]).drop("_id")
+    # At most ``limit`` rows of three numbers, so that no text is shuffled to find the few chosen ones.
+    return rows.join(F.broadcast(chosen), rows[id_col] == chosen["_id"]).drop("_id")

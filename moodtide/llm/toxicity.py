@@ -88,7 +88,9 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fitted(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, sample: int = SAMPLE) -> DataFrame:
     """``place, weight`` of every weight that is not zero; none without labels."""
     texts_by_id = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = stored(learnable(texts_by_id, labels, label_col, sample), "toxicity-sample").limit(sample)
+    # Rows that share an id share its label, and give one text.
+    rows = stored(learnable(texts_by_id, labels, label_col, sample), "toxicity-sample")
+    rows = rows.groupBy("doc_id", "label", "place").agg(F.min("text").alias("text"))
     passes = F.explode(F.sequence(F.lit(1), F.lit(PASSES))).alias("pass")
     # One task by intent: at most ``sample`` documents, read one by one.
     ordered = rows.select("*", passes).repartition(1).sortWithinPartitions("pass", "place", "doc_id")

@@ -58,22 +58,27 @@ ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]
 # Words of a class, id or role that name what is no main text.
 NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumbs?|footer|"
-    r"site-header|page-header|masthead|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|comments?|disqus|replies|respond|"
-    r"related|recommend\w*|share|sharing|social|newsletter|subscribe|signup|login|search|toolbar|pagination|pager|skip-link|"
-    r"widget|complementary|contentinfo|navigation|hidden)(?:$|[\s_-])",
+    r"site-header|page-header|masthead|cookies?|consent|gdpr|notices?|notifications?|announcement|disclaimer|alert|popup|modal|"
+    r"overlay|comments?|commentlist|discussion|disqus|replies|respond|reviews|related|recommend\w*|teasers?|share|sharing|social|"
+    r"newsletter|subscribe|signup|login|search|toolbar|topbar|pagination|pager|skip-link|widget|complementary|contentinfo|"
+    r"hidden)(?:$|[\s_-])",
     re.I,
 )
-MAIN = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story)(?:$|[\s_-])", re.I)
+# Those of what is a header outside the main text, and of the main text.
+HEADING = re.compile(r"(?:^|[\s_-])(?:header|top|logo|brand|tagline|copyright|legal)(?:$|[\s_-])", re.I)
+MAIN = re.compile(r"(?:^|[\s_-])(?:article|articlebody|main|content|post|entry|story)(?:$|[\s_-])", re.I)
+UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|$)|display\s*:\s*none", re.I)
+IN_HEAD = frozenset("title meta link script style base noscript template".split())
 
 
 class Page:
     """The blocks of a page, in order: text, the container they lie in, whether what they lie in is named as no
-    main text, whether it is named as the main one, and how many characters are linked."""
+    main text, how surely it is named as the main one (0 to 2), and how many characters are linked."""
 
     def __init__(self, source: str | None) -> None:
-        self.blocks: list[tuple[str, str, bool, bool, int]] = []
+        self.blocks: list[tuple[str, str, bool, int, int]] = []
         self.containers: dict[str, int] = {}
-        self.stack: list[tuple[str, str, bool, bool]] = []
+        self.stack: list[tuple[str, str, bool, int]] = []
         self.text: list[str] = []
         self.linked: list[str] = []
         self.in_link = False
@@ -119,18 +124,25 @@ class Page:
         self._flush()
         if name in VOID:
             return
+        if name not in IN_HEAD and any(above == "head" for above, *_ in self.stack):
+            # A head that nothing closed ends where the body begins.
+            del self.stack[next(i for i, above in enumerate(self.stack) if above[0] == "head") :]
         closed = CLOSES.get(name, ())
         while self.stack and (self.stack[-1][0] in closed or self.stack[-1][0] == "p" and name in BLOCKS):
             self.stack.pop()
         named = {key.lower(): a or b or c for key, a, b, c in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
-        called = " ".join(named.get(key, "") for key in ("class", "id", "role"))
-        _, above, dropped, main = self.stack[-1] if self.stack else ("", "", False, False)
-        dropped = dropped or name in DROPPED or "hidden" in attributes and bool(re.search(r"\bhidden\b(?!=)", attributes))
-        # A header outside the main text is the site's; body and html name the page, not a part of it.
+        called = " ".join(named.get(key, "") for key in ("class", "id", "role", "itemprop"))
+        _, above, dropped, main = self.stack[-1] if self.stack else ("", "", False, 0)
+        dropped = dropped or name in DROPPED or bool(UNSEEN.search(attributes))
+        # A header outside the main text is the site's; body, html and main name the page, not a part of it.
         dropped = dropped or name == "header" and not main
-        if called.strip() and name not in ("html", "body", "article", "main"):
-            dropped = dropped or bool(NAMED.search(called))
-        here = name in ("article", "main") or bool(called.strip()) and name in ("div", "section", "td") and bool(MAIN.search(called))
+        if called.strip() and name not in ("html", "body", "main"):
+            dropped = dropped or bool(NAMED.search(called)) or not main and bool(HEADING.search(called))
+        # An article says more than what is called main or content.
+        if name == "article":
+            main = 2
+        elif not main and (name == "main" or called.strip() and name in ("div", "section", "td") and MAIN.search(called)):
+            main = 1
         path = f"{above}>{name}"
         if called.strip():
             path += "." + ".".join(sorted(re.sub(r"[0-9]+", "0", called).split()))
@@ -138,7 +150,7 @@ class Page:
         container = path if name not in ("p", "li", "tr", "td", "th", "dt", "dd", "blockquote", "pre") and not re.fullmatch("h[1-6]", name) else above
         if container != above:
             self.containers[container] = self.containers.get(container, 0) + 1
-        self.stack.append((name, container, dropped, main or here))
+        self.stack.append((name, container, dropped, main))
 
     def _close(self, name: str) -> None:
         if name == "a":
@@ -157,7 +169,7 @@ class Page:
         if self.text:
             text = " ".join(html.unescape("".join(self.text)).split())
             if text:
-                _, container, dropped, main = self.stack[-1] if self.stack else ("", "", False, False)
+                _, container, dropped, main = self.stack[-1] if self.stack else ("", "", False, 0)
                 self.blocks.append((text, container, dropped, main, len("".join(self.linked))))
             self.text, self.linked = [], []
 
@@ -263,7 +275,8 @@ def main_text(source: str | None, slots: list[str], notices: set[int]) -> str:
     main slots are empty gives its container with the most text that is not linked."""
     kept = [block for block in Page(source).blocks if not block[2]]
     kept = [b for b in kept if b[0].count(" ") >= NOTICE_WORDS or token_id(b[1], b[0]) not in notices]
-    named = [block for block in kept if block[3]]
+    surest = max((block[3] for block in kept), default=0)
+    named = [block for block in kept if surest and block[3] == surest]
     if not named:
         named = [b for b in kept if any(b[1] == slot or b[1].startswith(slot + ">") for slot in slots)]
     if not named:

@@ -110,6 +110,10 @@ DECODED = [
     ('{"userId":"U1","timestamp":true}', "2002"),
     ('{"userId":"U1","timestamp":99999999999999999999}', "2002"),
     ('{"userId":"cut', "2002"),
+    ('{"userId":"U1","timestamp":"12d"}', "2002"),
+    ('{"userId":"U1","timestamp":"1.9"}', "2002"),
+    ('{"userId":"U1","timestamp":1.9}', ("U1", 1, None, None)),
+    ('{"userId":"U1","timestamp":" 12 "}', ("U1", 12, None, None)),
     (None, "3000"),
     ("null", "3000"),
 ]
@@ -210,3 +214,11 @@ def test_epoch_millis_in_any_zone(spark, zone):
         assert [r[0] for r in df.select(F.unix_millis(event_time(F.col("ms")))).collect()] == expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_lexicon_is_a_scorer_that_ignores_case(spark):
+    mixed = Lexicon((Rule("Up", 1.0, ("GrEaT",)), Rule("Down", -1.0, ("sad",))))
+    rows = spark.createDataFrame([("it is GREAT",), ("so Sad",), ("x",)], "message STRING")
+    bare = rows.select(mixed(F.col("message"))["label"]).collect()
+    scored = score_sentiment(rows, scorer=mixed).select("sentiment_label").collect()
+    assert [r[0] for r in bare] == [r[0] for r in scored] == ["Up", "Down", "Neutral"]

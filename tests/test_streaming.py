@@ -228,6 +228,21 @@ def test_one_batch_stream_equals_batch(spark, sf_dir, folder):
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_event_files_are_taken_one_a_batch_in_order(spark, sf_dir, folder):
+    from moodtide.plans.catalog import DAY_HOP
+    from moodtide.sources.tables import chat_stream_of, in_files, table
+
+    events = table(spark, sf_dir, "events")
+    stream = chat_stream_of(spark, events.schema, in_files(events, str(folder / "events"), 8))
+    alerts = streams.alert_stream(pipeline.scores(stream), DAY_HOP)
+    query = run(streams.start_change_log(alerts, str(folder / "log"), str(folder / "cp"), topics.ALL_AVAILABLE, MADE, "mood"))
+    batches = [p for p in query.recentProgress if p["numInputRows"]]
+    assert [p["numInputRows"] for p in batches] == [events.count() // 8] * 8 and query.name == "mood"
+    times = [p["eventTime"]["max"] for p in batches]
+    assert times == sorted(times)
+    assert any(name.startswith("rocksdb") for name in batches[0]["stateOperators"][0]["customMetrics"])
+
+
 # Topics
 
 

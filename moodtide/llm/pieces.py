@@ -14,6 +14,7 @@ Characters that no piece holds become their UTF-8 bytes. Decoding puts bytes tog
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,14 +24,14 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 SPACE = "▁"
 BETWEEN = "\x00"
 # Characters of texts that a task encodes at a time, and units and pairs that it remembers.
-CHARS = 1 << 22
+CHARS = 1 << 20
 UNITS = 1 << 19
-PAIRS = 1 << 20
+PAIRS = 1 << 19
 NEVER = float("-inf")
 MODEL = "piece_bpe_32k.model"
 
@@ -139,6 +140,7 @@ class Encoder:
         self.pieces = np.zeros((len(vocabulary.whole), vocabulary.longest), dtype=np.uint32)
         for i, name in enumerate(vocabulary.whole):
             self.pieces[i, : len(name)] = [ord(c) for c in name]
+        self.lengths = (self.pieces > 0).sum(axis=1)
         alone = re.escape(vocabulary.alone)
         rest = f"[^{SPACE}{alone}]"
         self.cut = re.compile(f"{SPACE}+{rest}*|{rest}+|[{alone}]" if alone else f"{SPACE}+{rest}*|{rest}+")
@@ -214,12 +216,16 @@ class Encoder:
         place = np.arange(len(text)) - begin[unit]
 
         suffixes = suffix_array(text, self.vocabulary.longest)
-        low, high = ranges(text, suffixes, self.pieces)
+        # A piece with a character that is nowhere in the text need not be looked for.
+        there = np.zeros(max(int(text.max()), int(self.pieces.max())) + 1, dtype=bool)
+        there[text] = there[0] = True
+        some = there[self.pieces].all(axis=1)
+        low, high = ranges(text, suffixes, self.pieces[some])
         times = high - low
         inside = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
         start = suffixes[np.repeat(low, times) + inside]
-        piece = np.repeat(self.piece_ids, times)
-        length = np.repeat((self.pieces > 0).sum(axis=1), times)
+        piece = np.repeat(self.piece_ids[some], times)
+        length = np.repeat(self.lengths[some], times)
         covered = np.zeros(len(text), dtype=bool)
         covered[start[length == 1]] = True
         bare = np.flatnonzero(~covered & (text != 0) | (text == 0) & (place < size[unit]))
@@ -340,15 +346,35 @@ def piece_counts(
     docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """``doc_id``, the columns to ``keep``, ``n_pieces, ids_sha256, round_trip``: one row per row of ``docs``.
-    A text comes back as it was, but for U+2581, which is how the model writes a space, and null, which
-    comes back empty."""
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
-    both = decoded(encoded(narrow, model), model)
-    expected = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " ")
-    return both.select(
-        "doc_id",
-        *keep,
-        F.size("ids").cast("bigint").alias("n_pieces"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        (F.col("decoded") == expected).alias("round_trip"),
+    The digest is of the ids as 4-byte numbers, the lowest byte first. A text comes back as it was, but for
+    U+2581, which is how the model writes a space, and null, which comes back empty."""
+    vocabulary = Vocabulary.load(model)
+    text = F.col(text_col).cast("string").alias("_text")
+    narrow = docs.select(F.col(id_col).alias("doc_id"), *keep, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Both ways in one task, so that no ids travel between processes.
+        encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            for a, b in _groups(texts):
+                ids = encoder.encode(texts[a:b])
+                digests = [hashlib.sha256(some.astype("<i4").tobytes()).hexdigest() for some in ids]
+                same = [
+                    decoder.decode(some.tolist()) == (text or "").replace(SPACE, " ")
+                    for some, text in zip(ids, texts[a:b], strict=True)
+                ]
+                counts = pa.array([len(some) for some in ids], pa.int64())
+                kept = batch.slice(a, b - a).columns[:-1]
+                yield pa.RecordBatch.from_arrays([*kept, counts, pa.array(digests), pa.array(same)], names=names)
+
+    schema = StructType(
+        [
+            *narrow.schema.fields[:-1],
+            StructField("n_pieces", LongType()),
+            StructField("ids_sha256", StringType()),
+            StructField("round_trip", BooleanType()),
+        ]
     )
+    names = schema.names
+    return narrow.mapInArrow(run, schema)

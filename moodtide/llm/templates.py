@@ -2,14 +2,19 @@
 
 A page is a row of tokens: the containers on its way (an element with its class and id, under those
 above it) and its short texts under their container. A token's occurrence vector says how often it
-occurs on each page of the host. Tokens with equal vectors form an equivalence class; large classes
-that most pages share are the template, and nest by their containers: what lies in a template
-container and is no token of a large class fills a slot.
+occurs on each page of the host. Tokens with equal vectors form an equivalence class. Classes of
+``MIN_CLASS`` tokens or more, on enough pages, may be of the template.
 
 A vector as long as a host has pages would not fit, so a token keeps what its class is told by and
 what adds up map-side: on how many pages it occurs, how often, and the exclusive-or of a hash of every
 (page, count) pair. Tokens with all three equal are one class.
 
+Pages are then read again with their host's classes. Of every two members a bit says which comes first
+and another whether one holds the other, and-ed and or-ed over all pages and repetitions: where the two
+differ, order or nesting do not agree. Members are taken out, the most contradicted first, until all
+agree; a class that is too small then is rejected. What is left is the template: its containers nest by
+their paths, and a text fills the slot of the innermost one around it.
+
 A slot's kind comes from what fills it on all pages: menus are links, notices the same short text
 everywhere, the article is the most text that is not linked. Each page then keeps what fills the main
 slots, without what its elements name as menus, notices, forms, comments and the like.
@@ -28,8 +33,12 @@ from pyspark.sql import functions as F
 
 from moodtide.llm.common import stored
 
-# A class is of the template if over half of a host's pages have it; a text only on hosts with MIN_PAGES
-# pages or more, and only if it is short.
+# A class has at least so many tokens; a container of it is on so many pages and on this part of the host's at
+# least, a text on over half of them.
+MIN_CLASS = 3
+MIN_SUPPORT = 3
+SUPPORT_PART = 0.1
+# A repeated text is a notice only on hosts with MIN_PAGES pages or more, and only if it is short.
 MIN_PAGES = 8
 NOTICE_WORDS = 25
 # A slot is one of the main ones with at least this part of the main text of the host's best slot, and at
@@ -78,12 +87,18 @@ class Page:
     def __init__(self, source: str | None) -> None:
         self.blocks: list[tuple[str, str, bool, int, int]] = []
         self.containers: dict[str, int] = {}
+        # Where each container begins and ends, and where each block stands, in one count of both.
+        self.spans: list[list] = []
+        self.places: list[int] = []
+        self.clock = 0
         self.stack: list[tuple[str, str, bool, int]] = []
+        self.opened: list[list | None] = []
         self.text: list[str] = []
         self.linked: list[str] = []
         self.in_link = False
         self._read(source or "")
         self._flush()
+        self._leave(0)
 
     def _read(self, source: str) -> None:
         at, end, lower = 0, len(source), None
@@ -126,10 +141,10 @@ class Page:
             return
         if name not in IN_HEAD and any(above == "head" for above, *_ in self.stack):
             # A head that nothing closed ends where the body begins.
-            del self.stack[next(i for i, above in enumerate(self.stack) if above[0] == "head") :]
+            self._leave(next(i for i, above in enumerate(self.stack) if above[0] == "head"))
         closed = CLOSES.get(name, ())
         while self.stack and (self.stack[-1][0] in closed or self.stack[-1][0] == "p" and name in BLOCKS):
-            self.stack.pop()
+            self._leave(len(self.stack) - 1)
         named = {key.lower(): a or b or c for key, a, b, c in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
         called = " ".join(named.get(key, "") for key in ("class", "id", "role", "itemprop"))
         _, above, dropped, main = self.stack[-1] if self.stack else ("", "", False, 0)
@@ -145,12 +160,28 @@ class Page:
             main = 1
         path = f"{above}>{name}"
         if called.strip():
-            path += "." + ".".join(sorted(re.sub(r"[0-9]+", "0", called).split()))
+            path += "." + ".".join(sorted(re.sub(r"[0-9]+", "0", called.replace(">", " ")).split()))
         # Blocks of running text are no containers: they take their container's place.
         container = path if name not in ("p", "li", "tr", "td", "th", "dt", "dd", "blockquote", "pre") and not re.fullmatch("h[1-6]", name) else above
+        span = None
         if container != above:
             self.containers[container] = self.containers.get(container, 0) + 1
+            span = [container, self._tick(), 0]
+            self.spans.append(span)
         self.stack.append((name, container, dropped, main))
+        self.opened.append(span)
+
+    def _tick(self) -> int:
+        self.clock += 1
+        return self.clock
+
+    def _leave(self, depth: int) -> None:
+        """Ends the elements below ``depth``, the innermost first."""
+        while len(self.stack) > depth:
+            self.stack.pop()
+            span = self.opened.pop()
+            if span:
+                span[2] = self._tick()
 
     def _close(self, name: str) -> None:
         if name == "a":
@@ -160,7 +191,7 @@ class Page:
         self._flush()
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == name:
-                del self.stack[i:]
+                self._leave(i)
                 return
             if self.stack[i][0] in LISTS and name in CLOSES:
                 return
@@ -171,13 +202,14 @@ class Page:
             if text:
                 _, container, dropped, main = self.stack[-1] if self.stack else ("", "", False, 0)
                 self.blocks.append((text, container, dropped, main, len("".join(self.linked))))
+                self.places.append(self._tick())
             self.text, self.linked = [], []
 
-    def notices(self) -> Iterator[tuple[str, str]]:
-        """The short texts with their containers."""
-        for text, container, dropped, _, _ in self.blocks:
+    def notices(self) -> Iterator[tuple[str, str, int]]:
+        """The short texts with their containers and places."""
+        for (text, container, dropped, _, _), place in zip(self.blocks, self.places, strict=True):
             if not dropped and text.count(" ") < NOTICE_WORDS:
-                yield container, text
+                yield container, text, place
 
 
 def host_of(url: str | None) -> str:
@@ -190,95 +222,246 @@ def token_id(*parts: str) -> int:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["host", "token", "container", "pages", "times", "vector", "chars", "linked"]
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS):
             part = batch.slice(at, ROWS)
             found: dict[tuple[str, int, str | None], list[int]] = {}
 
-            def add(host: str, page: str, token: int, container: str | None, times: int, chars: int, linked: int, found=found) -> None:
-                row = found.setdefault((host, token, container), [0, 0, 0, 0, 0])
+            def add(host: str, page: str, token: int, container: str | None, times: int, found=found) -> None:
+                row = found.setdefault((host, token, container), [0, 0, 0])
                 row[0] += 1
                 row[1] += times
                 row[2] ^= token_id(page, str(times))
-                row[3] += chars
-                row[4] += linked
 
             for page_id, url, source in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
                 host, page, read = host_of(url), f"{page_id} {url}", Page(source)
-                add(host, page, 0, "", 1, 0, 0)
-                chars: dict[str, list[int]] = {}
-                for text, container, dropped, _, linked in read.blocks:
-                    if not dropped:
-                        sums = chars.setdefault(container, [0, 0])
-                        sums[0] += len(text)
-                        sums[1] += linked
+                add(host, page, 0, "", 1)
                 for container, times in read.containers.items():
-                    add(host, page, token_id(container), container, times, *chars.get(container, (0, 0)))
+                    add(host, page, token_id(container), container, times)
                 texts: dict[int, int] = {}
-                for container, text in read.notices():
+                for container, text, _ in read.notices():
                     token = token_id(container, text)
                     texts[token] = texts.get(token, 0) + 1
                 for token, times in texts.items():
-                    add(host, page, token, None, times, 0, 0)
-            columns = zip(*((*key, *row) for key, row in found.items()), strict=True)
-            types = [pa.string(), pa.int64(), pa.string(), *[pa.int64()] * 5]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(map(list, columns), types, strict=True)], names=names
-            )
+                    add(host, page, token, None, times)
+            yield _batch(((*key, *row) for key, row in found.items()), TOKENS)
+
+
+TOKENS = {"host": pa.string(), "token": pa.int64(), "container": pa.string(), "pages": pa.int64(), "times": pa.int64(), "vector": pa.int64()}
+FACTS = {"host": pa.string(), "kind": pa.string(), "token": pa.int64(), "word": pa.int64(), "every": pa.int64(), "some": pa.int64(),
+         "chars": pa.int64(), "linked": pa.int64()}
+
+
+def _batch(rows, types: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = [list(column) for column in zip(*rows, strict=True)] or [[] for _ in types]
+    arrays = [pa.array(column, kind) for column, kind in zip(columns, types.values(), strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=list(types))
+
+
+def _ddl(types: dict[str, pa.DataType]) -> str:
+    return ", ".join(f"{name} {'string' if kind == pa.string() else 'bigint'}" for name, kind in types.items())
+
+
+def relations(found: list[list[tuple[int, int]]]) -> list[tuple[int, int]]:
+    """Of each member of a class, from where each begins and ends on a page: the members that come before it
+    (a bit each) and those that hold it (as many bits on), at all of its repetitions and at some."""
+    size = len(found)
+    full = (1 << 2 * size) - 1
+    times = {len(places) for places in found}
+    if len(times) != 1:
+        return [(0, full)] * size
+    every, some, last = [full] * size, [0] * size, []
+    for n in range(times.pop()):
+        unit = sorted((*places[n], j) for j, places in enumerate(found))
+        before, around = 0, []
+        for begin, end, j in unit:
+            while around and around[-1][0] < begin:
+                around.pop()
+            mask = before
+            for _, holder in around:
+                mask |= 1 << size + holder
+            every[j] &= mask
+            some[j] |= mask
+            # What begins before the last repetition is over stands in no order to what begins after it there.
+            if last and begin < last[-1][0]:
+                for other, _, i in last:
+                    if other > begin:
+                        every[j] &= ~(1 << i)
+                        some[j] |= 1 << i
+            before |= 1 << j
+            around.append((end, j))
+        last = unit
+    return list(zip(every, some, strict=True))
+
+
+def agreeing(relation: list[tuple[int, int]], first: list[bool]) -> list[int]:
+    """The members left when the most contradicted are taken out until order and nesting agree on all
+    pages; of those contradicted alike one that is ``first`` goes."""
+    size = len(relation)
+    against = [{j for j in range(size) if ((e ^ s) >> j | (e ^ s) >> size + j) & 1} for e, s in relation]
+    for j, others in enumerate(against):
+        others.discard(j)
+        for i in others:
+            against[i].add(j)
+    left = set(range(size))
+    while left:
+        worst = max(left, key=lambda j: (len(against[j]), first[j], j))
+        if not against[worst]:
+            break
+        left.remove(worst)
+        for i in against[worst]:
+            against[i].discard(worst)
+    return sorted(left)
+
+
+def holders(container: str) -> Iterator[str]:
+    """A container and those around it, the page itself last."""
+    while container:
+        yield container
+        container = container[: container.rfind(">")]
+    yield ""
+
+
+def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            part = batch.slice(at, ROWS)
+            masks: dict[tuple[str, int], tuple[int, int]] = {}
+            sums: dict[tuple[str, int], list[int]] = {}
+            ids: dict[str, int] = {"": 0}
+            sizes: dict[tuple[str, int], int] = {}
+            for host, source, classes in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                page = Page(source)
+                wanted = {token for tokens in classes for token in tokens}
+                found: dict[int, list[tuple[int, int]]] = {}
+                for container, begin, end in page.spans:
+                    token = ids.get(container) or ids.setdefault(container, token_id(container))
+                    if token in wanted:
+                        found.setdefault(token, []).append((begin, end))
+                for text, container, dropped, _, linked in page.blocks:
+                    if not dropped:
+                        slot = next(t for t in (ids[c] for c in holders(container)) if t in wanted or not t)
+                        row = sums.setdefault((host, slot), [0, 0])
+                        row[0] += len(text)
+                        row[1] += linked
+                for container, text, place in page.notices():
+                    token = token_id(container, text)
+                    if token in wanted:
+                        found.setdefault(token, []).append((place, place))
+                for tokens in classes:
+                    if any(token in found for token in tokens):
+                        related = relations([found.get(token, []) for token in tokens])
+                        for token, (every, some) in zip(tokens, related, strict=True):
+                            sizes[host, token] = len(tokens)
+                            e, s = masks.get((host, token), (every, some))
+                            masks[host, token] = e & every, s | some
+            rows = [(host, "slot", slot, 0, 0, 0, *row) for (host, slot), row in sums.items()]
+            for (host, token), (every, some) in masks.items():
+                for word in range((2 * sizes[host, token] + 31) // 32):
+                    low = [x >> 32 * word & 0xFFFFFFFF for x in (every, some)]
+                    rows.append((host, "order", token, word, *low, 0, 0))
+            yield _batch(rows, FACTS)
+
+
+def main_slots(slots: dict[str, tuple[int, int, int]]) -> set[str]:
+    """The main ones of some slots: a container each with the pages it is on, characters and linked ones."""
+    free = {slot: (chars - linked) / pages for slot, (pages, chars, linked) in slots.items() if chars and linked <= LINKED * chars}
+    most = max(free.values(), default=0)
+    return {slot for slot, chars in free.items() if chars >= MAIN_PART * most}
+
+
+def _template(rows: pa.Table) -> pa.Table:
+    """One host's template from its candidates' members (kind ``member``, class in ``word``), what is known
+    of their order, and what fills their slots."""
+    facts = rows.to_pylist()
+    host, of = facts[0]["host"], facts[0]["of"]
+    members = {r["token"]: r for r in facts if r["kind"] == "member"}
+    masks: dict[int, list[int]] = {}
+    for r in facts:
+        if r["kind"] == "order":
+            mask = masks.setdefault(r["token"], [0, 0])
+            mask[0] |= r["every"] << 32 * r["word"]
+            mask[1] |= r["some"] << 32 * r["word"]
+    classes: dict[int, list[int]] = {}
+    for token in sorted(members):
+        classes.setdefault(members[token]["word"], []).append(token)
+    template: set[int] = set()
+    for tokens in classes.values():
+        left = agreeing([tuple(masks[t]) for t in tokens], [members[t]["container"] is None for t in tokens])
+        if len(left) >= MIN_CLASS:
+            template.update(tokens[j] for j in left)
+    known = {"": (0, of)} | {members[t]["container"]: (t, members[t]["pages"]) for t in template if members[t]["container"]}
+    fill = {slot: [0, 0] for slot in known}
+    for r in facts:
+        if r["kind"] == "slot":
+            # What filled a container that was taken out fills the slot around it.
+            at = next(c for c in holders(members[r["token"]]["container"] if r["token"] else "") if c in known)
+            fill[at][0] += r["chars"]
+            fill[at][1] += r["linked"]
+    main = main_slots({slot: (known[slot][1], *sums) for slot, sums in fill.items()}) if len(known) > 1 else set()
+    notices = [t for t in template if members[t]["container"] is None and of >= MIN_PAGES]
+    made = {"host": [host], "template": [sorted(t for t, _ in known.values())], "slots": [sorted(known[c][0] for c in main)],
+            "notices": [sorted(notices)]}
+    tokens = pa.list_(pa.int64())
+    return pa.table(made, pa.schema([("host", pa.string()), ("template", tokens), ("slots", tokens), ("notices", tokens)]))
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``host, slots, notices``: a host's main slots and its repeated short texts, from ``page_id, url, html``.
+    """``host, template, slots, notices``: the tokens of a host's template containers (0 the page itself), which
+    of them are main slots, and its repeated short texts, from ``page_id, url, html``. Hosts without a class
+    that is large enough have no row.
 
-    A host's rows are as many as its template has tokens, which its pages' size bounds.
+    A host's rows are as many as its template has tokens (and their order's bits by its square), which its
+    pages' size bounds.
     """
-    schema = "host string, token bigint, container string, pages bigint, times bigint, vector bigint, chars bigint, linked bigint"
-    tokens = pages.mapInArrow(_tokens, schema).groupBy("host", "token", "container").agg(
+    spark = pages.sparkSession
+    tokens = pages.mapInArrow(_tokens, _ddl(TOKENS)).groupBy("host", "token", "container").agg(
         F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.expr("bit_xor(vector)").alias("vector"),
-        F.sum("chars").alias("chars"), F.sum("linked").alias("linked"),
     )
-    return pages.sparkSession.sql(
+    classes = spark.sql(
         f"""
         WITH hosts AS (SELECT host, pages AS of FROM {{tokens}} WHERE token = 0 AND container = ''),
         frequent AS (
           SELECT t.*, h.of FROM {{tokens}} t JOIN hosts h ON t.host = h.host
-          WHERE 2 * t.pages > h.of AND NOT (t.token = 0 AND t.container = '')
-        ),
-        classes AS (
-          SELECT host, pages, times, vector, collect_list(struct(token, container, chars, linked)) AS members,
-                 max(of) AS of
-          FROM frequent GROUP BY host, pages, times, vector
-        ),
-        members AS (SELECT host, of, inline(members) FROM classes),
-        slots AS (
-          SELECT *, max(CASE WHEN linked <= {LINKED} * chars THEN chars - linked END) OVER (PARTITION BY host) AS most
-          FROM members WHERE container IS NOT NULL AND chars > 0
-        ),
-        main AS (
-          SELECT host, collect_set(container) AS slots FROM slots
-          WHERE linked <= {LINKED} * chars AND chars - linked >= {MAIN_PART} * most GROUP BY host
-        ),
-        notices AS (
-          SELECT host, collect_set(token) AS notices FROM members
-          WHERE container IS NULL AND of >= {MIN_PAGES} GROUP BY host
+          WHERE t.pages >= {MIN_SUPPORT} AND t.pages >= h.of * CASE WHEN container IS NULL THEN 0.5 ELSE {SUPPORT_PART} END
+            AND (container IS NOT NULL OR 2 * t.pages > h.of) AND NOT (t.token = 0 AND t.container = '')
         )
-        SELECT h.host, coalesce(slots, array()) AS slots, coalesce(notices, array()) AS notices
-        FROM hosts h LEFT JOIN main m ON h.host = m.host LEFT JOIN notices n ON h.host = n.host
+        SELECT host, pages, max(of) AS of, sort_array(collect_list(token)) AS tokens,
+               collect_list(struct(token, container)) AS members
+        FROM frequent GROUP BY host, pages, times, vector HAVING count(*) >= {MIN_CLASS}
         """,
-        tokens=stored(tokens.filter("pages > 1 OR container IS NOT NULL"), "page-tokens"),
+        tokens=stored(tokens.filter("pages > 1 OR token = 0"), "page-tokens"),
     )
+    classes = stored(classes, "page-classes")
+    wanted = stored(classes.groupBy(F.col("host").alias("_of")).agg(F.sort_array(F.collect_list("tokens")).alias("classes")), "page-wanted")
+    rows = pages.withColumn("host", _host("url")).join(wanted, F.col("host") == F.col("_of")).select("host", "html", "classes")
+    facts = rows.mapInArrow(_facts, _ddl(FACTS)).groupBy("host", "kind", "token", "word").agg(
+        F.expr("bit_and(every)").alias("every"), F.expr("bit_or(some)").alias("some"), F.sum("chars").alias("chars"),
+        F.sum("linked").alias("linked"),
+    )
+    members = classes.select("host", "pages", "of", F.xxhash64("tokens").alias("word"), F.inline("members"))
+    members = members.withColumn("kind", F.lit("member"))
+    both = members.unionByName(facts, allowMissingColumns=True)
+    of = members.groupBy(F.col("host").alias("_of")).agg(F.max("of").alias("_pages"))
+    both = both.join(of, F.col("host") == F.col("_of")).withColumn("of", F.col("_pages")).drop("_of", "_pages")
+    return both.groupBy("host").applyInArrow(_template, "host string, template array<bigint>, slots array<bigint>, notices array<bigint>")
 
 
-def main_text(source: str | None, slots: list[str], notices: set[int]) -> str:
+def _host(url: str):
+    return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
+
+
+def main_text(source: str | None, slots: list[int], notices: set[int], template: list[int] | None = None) -> str:
     """What fills a page's main slots. A page that names its main text is taken at its word; one whose
     main slots are empty gives its container with the most text that is not linked."""
     kept = [block for block in Page(source).blocks if not block[2]]
     kept = [b for b in kept if b[0].count(" ") >= NOTICE_WORDS or token_id(b[1], b[0]) not in notices]
     surest = max((block[3] for block in kept), default=0)
     named = [block for block in kept if surest and block[3] == surest]
-    if not named:
-        named = [b for b in kept if any(b[1] == slot or b[1].startswith(slot + ">") for slot in slots)]
+    if not named and slots:
+        known, main = {0, *(template or ())}, set(slots)
+        ids = {"": 0} | {c: token_id(c) for b in kept for c in holders(b[1]) if c}
+        named = [b for b in kept if next(t for t in map(ids.get, holders(b[1])) if t in known) in main]
     if not named:
         free: dict[str, int] = {}
         for text, container, _, _, linked in kept:
@@ -300,16 +483,15 @@ def page_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.col(html_col).cast("string").alias("html"),
     )
     known = stored(templates(narrow), "page-templates").withColumnRenamed("host", "of")
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = narrow.withColumn("host", host)
-    rows = rows.join(known, rows.host == known.of, "left").select("page_id", "url", "html", "slots", "notices")
+    rows = narrow.withColumn("host", _host("url"))
+    rows = rows.join(known, rows.host == known.of, "left").select("page_id", "url", "html", "slots", "notices", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                columns = zip(*(part.column(i).to_pylist() for i in (2, 3, 4)), strict=True)
-                texts = [main_text(source, slots or [], set(notices or [])) for source, slots, notices in columns]
+                columns = zip(*(part.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True)
+                texts = [main_text(source, slots or [], set(notices or []), known) for source, slots, notices, known in columns]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
                 )

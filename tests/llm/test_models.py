@@ -140,6 +140,28 @@ def test_pages_of_the_table(spark, sf_dir):
         assert texts[row.page_id].split("\n\n")[-1].split("&")[0].split("<")[0][:20] in " ".join(inside.replace("&amp;", "&").split())
 
 
+def test_class_members_agree_in_order_and_nesting():
+    # A holds B, then C, on one page; on the other B stands after A: only A and C, or B and C, agree.
+    one, two = templates.relations([[(1, 4)], [(2, 3)], [(5, 6)]]), templates.relations([[(1, 2)], [(3, 4)], [(5, 6)]])
+    both = lambda *pages: [(a[0] & b[0], a[1] | b[1]) for a, b in zip(*pages, strict=True)]
+    assert templates.agreeing(both(one, one), [False] * 3) == [0, 1, 2]
+    assert len(templates.agreeing(both(one, two), [False] * 3)) == 2
+    # Repeated members have to take turns.
+    assert templates.agreeing(templates.relations([[(1, 2), (5, 6)], [(3, 4), (7, 8)]]), [False] * 2) == [0, 1]
+    assert len(templates.agreeing(templates.relations([[(1, 2), (3, 4)], [(5, 6), (7, 8)]]), [False] * 2)) == 1
+
+
+def test_small_and_disordered_classes_are_no_template(spark):
+    parts = ["<div class='a'><p>x y</p></div>", "<div class='b'><p>z {0}</p></div>", "<div class='c'><p>own words {0} of this page</p></div>"]
+    turned = [[0, 1, 2], [2, 1, 0], [1, 0, 2]]
+    body = lambda i: "".join(parts[k] for k in turned[i % 3]).format(i) + ("<div class='few'><p>once</p></div>" if i % 2 else "")
+    pages = spark.createDataFrame([page(i, body(i)) for i in range(18)], "page_id bigint, url string, html string")
+    [found] = templates.templates(pages).collect()
+    ids = {name: templates.token_id(f">html>body>div.{name}") for name in ("a", "b", "c", "few", "ad")}
+    assert ids["ad"] in found.template and ids["few"] not in found.template
+    assert sum(ids[name] in found.template for name in "abc") == 1
+
+
 def check_vectors(vectors, chunk):
     rows = vectors.collect()
     usable = [r.label is not None and r.embedding and all(x is not None and np.isfinite(x) for x in r.embedding) and any(r.embedding) for r in rows]

@@ -16,8 +16,9 @@ agree; a class that is too small then is rejected. What is left is the template:
 their paths, and a text fills the slot of the innermost one around it.
 
 A slot's kind comes from what fills it on all pages: menus are links, notices the same short text
-everywhere, the article is the most text that is not linked. Each page then keeps what fills the main
-slots, without what its elements name as menus, notices, forms, comments and the like.
+everywhere, the article is the most text that is not linked; names like article or main are evidence
+within that. Each page then keeps what fills the main slots, without what its elements name as menus,
+notices, forms, comments and the like.
 """
 
 from __future__ import annotations
@@ -41,8 +42,8 @@ SUPPORT_PART = 0.1
 # A repeated text is a notice only on hosts with MIN_PAGES pages or more, and only if it is short.
 MIN_PAGES = 8
 NOTICE_WORDS = 25
-# A slot is one of the main ones with at least this part of the main text of the host's best slot, and at
-# most so much of it linked.
+# A slot is one of the main ones with at least this part of the main text of the host's best slot (less if it
+# is named as main), and at most so much of it linked.
 MAIN_PART = 0.3
 LINKED = 0.5
 ROWS = 256
@@ -363,11 +364,40 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(rows, FACTS)
 
 
+def named_main(container: str) -> tuple[int, str]:
+    """How surely a container is named as the main text (2 an article), and the outermost one that is, if any."""
+    level, outermost = 0, ""
+    for inner in reversed(list(holders(container))[:-1]):
+        name, _, called = inner[inner.rfind(">") + 1 :].partition(".")
+        if name == "article" or name == "main" or name in ("div", "section", "td") and MAIN.search(called.replace(".", " ")):
+            outermost = outermost or inner
+            level = max(level, 2 if name == "article" else 1)
+    return level, outermost
+
+
 def main_slots(slots: dict[str, tuple[int, int, int]]) -> set[str]:
-    """The main ones of some slots: a container each with the pages it is on, characters and linked ones."""
-    free = {slot: (chars - linked) / pages for slot, (pages, chars, linked) in slots.items() if chars and linked <= LINKED * chars}
+    """The main ones of some slots: a container each with the pages it is on, characters and linked ones.
+
+    How much unlinked text a slot gets decides; names count as evidence: a named slot needs less text, one named as
+    an article is no menu, and what lies in the same named element as a main slot is main too. So is what
+    nests in a main slot, unless that is a mere wrapper of another with more text.
+    """
+    names = {slot: named_main(slot) for slot in slots}
+    menus = {slot for slot, (_, chars, linked) in slots.items() if linked > LINKED * chars and names[slot][0] < 2}
+    text = {slot: (chars - linked * (names[slot][0] < 2)) / pages for slot, (pages, chars, linked) in slots.items() if chars}
+    free = {slot: chars for slot, chars in text.items() if slot not in menus} or {slot: slots[slot][1] for slot in text}
     most = max(free.values(), default=0)
-    return {slot for slot, chars in free.items() if chars >= MAIN_PART * most}
+    main = {slot for slot, chars in free.items() if chars * (1 + names[slot][0]) >= MAIN_PART * most}
+    parts = {names[slot][1] for slot in main} - {""}
+    whole = {
+        slot for slot in main
+        if slot[slot.rfind(">") + 1 :].partition(".")[0] not in ("", "html", "body")
+        and not any(other.startswith(slot + ">") and free[other] > free[slot] for other in main)
+    }
+    return main | {
+        slot for slot in slots
+        if slot not in menus and (names[slot][1] in parts or any(slot.startswith(outer + ">") for outer in whole))
+    }
 
 
 def _template(rows: pa.Table) -> pa.Table:
@@ -452,23 +482,25 @@ def _host(url: str):
 
 
 def main_text(source: str | None, slots: list[int], notices: set[int], template: list[int] | None = None) -> str:
-    """What fills a page's main slots. A page that names its main text is taken at its word; one whose
-    main slots are empty gives its container with the most text that is not linked."""
+    """What fills a page's main slots. A page of another kind than its host's, with most of its unlinked text in
+    other places, or of a host without a template, gives the main ones of its own containers too."""
     kept = [block for block in Page(source).blocks if not block[2]]
     kept = [b for b in kept if b[0].count(" ") >= NOTICE_WORDS or token_id(b[1], b[0]) not in notices]
-    surest = max((block[3] for block in kept), default=0)
-    named = [block for block in kept if surest and block[3] == surest]
-    if not named and slots:
+    around = {b[1]: list(holders(b[1])) for b in kept}
+    chosen: set[str] = set()
+    if slots:
         known, main = {0, *(template or ())}, set(slots)
-        ids = {"": 0} | {c: token_id(c) for b in kept for c in holders(b[1]) if c}
-        named = [b for b in kept if next(t for t in map(ids.get, holders(b[1])) if t in known) in main]
-    if not named:
-        free: dict[str, int] = {}
+        ids = {"": 0} | {c: token_id(c) for above in around.values() for c in above if c}
+        chosen = {c for c, above in around.items() if next(t for t in map(ids.get, above) if t in known) in main}
+    free = [(len(b[0]) - b[4] * (b[3] < 2), b[1] in chosen) for b in kept]
+    if not chosen or sum(n for n, main in free if main) < MAIN_PART * sum(n for n, _ in free):
+        sums: dict[str, list[int]] = {}
         for text, container, _, _, linked in kept:
-            free[container] = free.get(container, 0) + len(text) - 2 * linked
-        best = max(free, key=free.get, default=None)
-        named = [b for b in kept if b[1] == best or b[1].startswith(f"{best}>")]
-    return "\n\n".join(block[0] for block in named)
+            row = sums.setdefault(container, [1, 0, 0])
+            row[1] += len(text)
+            row[2] += linked
+        chosen |= main_slots({container: tuple(row) for container, row in sums.items()})
+    return "\n\n".join(block[0] for block in kept if block[1] in chosen)
 
 
 def page_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -162,6 +162,32 @@ def test_small_and_disordered_classes_are_no_template(spark):
     assert sum(ids[name] in found.template for name in "abc") == 1
 
 
+def test_main_text_beside_an_article_stays(spark):
+    lead, own, more = (lambda i, w=w: f"{w} of page {i} with some words" for w in ("lead", "own text" + " again" * 20, "more"))
+    body = lambda i: (
+        f"<main><h1>title {i}</h1><div class='lead'><p>{lead(i)}</div><article><p>{own(i)}</article><section><p>{more(i)}</section></main>"
+        f"<div class='box'><p>tip {i}</div>"
+    )
+    pages = spark.createDataFrame([page(i, body(i)) for i in range(12)], "page_id bigint, url string, html string")
+    want = lambda i: [f"title {i}", lead(i), own(i), more(i)]
+    assert [row.slots for row in templates.templates(pages).collect()] != [[]]
+    for row in templates.page_texts(pages).collect():
+        assert row.text.split("\n\n") == want(row.page_id)
+    assert templates.main_text(page(1, body(1))[2], [], set()).split("\n\n") == want(1)
+
+
+def test_slots_choose_against_names(spark):
+    own = lambda i: f"own text of page {i} " * 30
+    body = lambda i: f"<div class='col'><p>{own(i)}</div><article><p>card {i}</article>"
+    pages = spark.createDataFrame([page(i, body(i)) for i in range(12)], "page_id bigint, url string, html string")
+    for row in templates.page_texts(pages).collect():
+        assert row.text.split("\n\n")[0] == own(row.page_id).strip()
+    # A page of another kind than its host's.
+    odd = spark.createDataFrame([page(99, f"<div class='other'><p>{own(99)}</div><div class='col'><p>short</div>")], pages.schema)
+    texts = {row.page_id: row.text for row in templates.page_texts(pages.union(odd)).collect()}
+    assert own(99).strip() in texts[99]
+
+
 def check_vectors(vectors, chunk):
     rows = vectors.collect()
     usable = [r.label is not None and r.embedding and all(x is not None and np.isfinite(x) for x in r.embedding) and any(r.embedding) for r in rows]

@@ -16,7 +16,7 @@ agree; a class that is too small then is rejected. What is left is the template:
 their paths, and a text fills the slot of the innermost one around it.
 
 A slot's kind comes from what fills it on all pages: menus are links, notices the same short text
-everywhere, the article is the most text that is not linked; names like article or main are evidence
+everywhere (in a class with containers, on most of the distinct main texts), the article is the most text that is not linked; names like article or main are evidence
 within that. Each page then keeps what fills the main slots, without what its elements name as menus,
 notices, forms, comments and the like.
 """
@@ -39,7 +39,7 @@ from moodtide.llm.common import stored
 MIN_CLASS = 3
 MIN_SUPPORT = 3
 SUPPORT_PART = 0.1
-# A repeated text is a notice only on hosts with MIN_PAGES pages or more, and only if it is short.
+# A repeated text is a notice only if it is short and on over half of a host's distinct main texts, MIN_PAGES at least.
 MIN_PAGES = 8
 NOTICE_WORDS = 25
 # A slot is one of the main ones with at least this part of the main text of the host's best slot (less if it
@@ -65,6 +65,8 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# Elements of a text's own structure, which are no notices however often they repeat.
+LASTING = frozenset("h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption summary legend blockquote pre".split())
 # Words of a class, id or role that name what is no main text.
 NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumbs?|footer|"
@@ -83,10 +85,10 @@ IN_HEAD = frozenset("title meta link script style base noscript template".split(
 
 class Page:
     """The blocks of a page, in order: text, the container they lie in, whether what they lie in is named as no
-    main text, how surely it is named as the main one (0 to 2), and how many characters are linked."""
+    main text, how surely it is named as the main one (0 to 2), how many characters are linked, and the element."""
 
     def __init__(self, source: str | None) -> None:
-        self.blocks: list[tuple[str, str, bool, int, int]] = []
+        self.blocks: list[tuple[str, str, bool, int, int, str]] = []
         self.containers: dict[str, int] = {}
         # Where each container begins and ends, and where each block stands, in one count of both.
         self.spans: list[list] = []
@@ -201,14 +203,14 @@ class Page:
         if self.text:
             text = " ".join(html.unescape("".join(self.text)).split())
             if text:
-                _, container, dropped, main = self.stack[-1] if self.stack else ("", "", False, 0)
-                self.blocks.append((text, container, dropped, main, len("".join(self.linked))))
+                element, container, dropped, main = self.stack[-1] if self.stack else ("", "", False, 0)
+                self.blocks.append((text, container, dropped, main, len("".join(self.linked)), element))
                 self.places.append(self._tick())
             self.text, self.linked = [], []
 
     def notices(self) -> Iterator[tuple[str, str, int]]:
         """The short texts with their containers and places."""
-        for (text, container, dropped, _, _), place in zip(self.blocks, self.places, strict=True):
+        for (text, container, dropped, *_), place in zip(self.blocks, self.places, strict=True):
             if not dropped and text.count(" ") < NOTICE_WORDS:
                 yield container, text, place
 
@@ -331,6 +333,8 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums: dict[tuple[str, int], list[int]] = {}
             ids: dict[str, int] = {"": 0}
             sizes: dict[tuple[str, int], int] = {}
+            # Copies of a text are told by its longest part.
+            texts: set[tuple[str, int, int]] = set()
             for host, source, classes in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
                 page = Page(source)
                 wanted = {token for tokens in classes for token in tokens}
@@ -339,8 +343,10 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     token = ids.get(container) or ids.setdefault(container, token_id(container))
                     if token in wanted:
                         found.setdefault(token, []).append((begin, end))
-                for text, container, dropped, _, linked in page.blocks:
+                longest = ""
+                for text, container, dropped, _, linked, _ in page.blocks:
                     if not dropped:
+                        longest = text if not linked and len(text) > len(longest) else longest
                         slot = next(t for t in (ids[c] for c in holders(container)) if t in wanted or not t)
                         row = sums.setdefault((host, slot), [0, 0])
                         row[0] += len(text)
@@ -349,6 +355,8 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     token = token_id(container, text)
                     if token in wanted:
                         found.setdefault(token, []).append((place, place))
+                        texts.add((host, token, token_id(longest)))
+                texts.add((host, 0, token_id(longest)))
                 for tokens in classes:
                     if any(token in found for token in tokens):
                         related = relations([found.get(token, []) for token in tokens])
@@ -357,6 +365,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             e, s = masks.get((host, token), (every, some))
                             masks[host, token] = e & every, s | some
             rows = [(host, "slot", slot, 0, 0, 0, *row) for (host, slot), row in sums.items()]
+            rows += [(host, "text", token, text, 0, 0, 0, 0) for host, token, text in texts]
             for (host, token), (every, some) in masks.items():
                 for word in range((2 * sizes[host, token] + 31) // 32):
                     low = [x >> 32 * word & 0xFFFFFFFF for x in (every, some)]
@@ -415,11 +424,17 @@ def _template(rows: pa.Table) -> pa.Table:
     classes: dict[int, list[int]] = {}
     for token in sorted(members):
         classes.setdefault(members[token]["word"], []).append(token)
+    texts = {r["token"]: r["n"] for r in facts if r["kind"] == "text"}
     template: set[int] = set()
+    notices: list[int] = []
     for tokens in classes.values():
         left = agreeing([tuple(masks[t]) for t in tokens], [members[t]["container"] is None for t in tokens])
         if len(left) >= MIN_CLASS:
             template.update(tokens[j] for j in left)
+            # Only what comes as often as a part of the page, whatever the page's text is, is no part of that text.
+            if any(members[tokens[j]]["container"] for j in left) and texts[0] >= MIN_PAGES:
+                repeated = (tokens[j] for j in left if members[tokens[j]]["container"] is None)
+                notices += [t for t in repeated if 2 * texts.get(t, 0) > texts[0]]
     known = {"": (0, of)} | {members[t]["container"]: (t, members[t]["pages"]) for t in template if members[t]["container"]}
     fill = {slot: [0, 0] for slot in known}
     for r in facts:
@@ -429,7 +444,6 @@ def _template(rows: pa.Table) -> pa.Table:
             fill[at][0] += r["chars"]
             fill[at][1] += r["linked"]
     main = main_slots({slot: (known[slot][1], *sums) for slot, sums in fill.items()}) if len(known) > 1 else set()
-    notices = [t for t in template if members[t]["container"] is None and of >= MIN_PAGES]
     made = {"host": [host], "template": [sorted(t for t, _ in known.values())], "slots": [sorted(known[c][0] for c in main)],
             "notices": [sorted(notices)]}
     tokens = pa.list_(pa.int64())
@@ -469,6 +483,11 @@ def templates(pages: DataFrame) -> DataFrame:
         F.expr("bit_and(every)").alias("every"), F.expr("bit_or(some)").alias("some"), F.sum("chars").alias("chars"),
         F.sum("linked").alias("linked"),
     )
+    # The texts that a token stands beside are one row each up to here, and counted now.
+    facts = facts.groupBy("host", "kind", "token", F.when(F.col("kind") != "text", F.col("word")).alias("word")).agg(
+        F.count("*").alias("n"), F.max("every").alias("every"), F.max("some").alias("some"), F.max("chars").alias("chars"),
+        F.max("linked").alias("linked"),
+    )
     members = classes.select("host", "pages", "of", F.xxhash64("tokens").alias("word"), F.inline("members"))
     members = members.withColumn("kind", F.lit("member"))
     both = members.unionByName(facts, allowMissingColumns=True)
@@ -481,11 +500,17 @@ def _host(url: str):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def _notice_like(block: tuple) -> bool:
+    """Whether a block may be a notice: short, not in what is named as the main text, no heading, no item."""
+    text, _, _, main, _, element = block
+    return not main and text.count(" ") < NOTICE_WORDS and element not in LASTING
+
+
 def main_text(source: str | None, slots: list[int], notices: set[int], template: list[int] | None = None) -> str:
     """What fills a page's main slots. A page of another kind than its host's, with most of its unlinked text in
     other places, or of a host without a template, gives the main ones of its own containers too."""
     kept = [block for block in Page(source).blocks if not block[2]]
-    kept = [b for b in kept if b[0].count(" ") >= NOTICE_WORDS or token_id(b[1], b[0]) not in notices]
+    kept = [b for b in kept if not _notice_like(b) or token_id(b[1], b[0]) not in notices]
     around = {b[1]: list(holders(b[1])) for b in kept}
     chosen: set[str] = set()
     if slots:
@@ -495,7 +520,7 @@ def main_text(source: str | None, slots: list[int], notices: set[int], template:
     free = [(len(b[0]) - b[4] * (b[3] < 2), b[1] in chosen) for b in kept]
     if not chosen or sum(n for n, main in free if main) < MAIN_PART * sum(n for n, _ in free):
         sums: dict[str, list[int]] = {}
-        for text, container, _, _, linked in kept:
+        for text, container, _, _, linked, _ in kept:
             row = sums.setdefault(container, [1, 0, 0])
             row[1] += len(text)
             row[2] += linked

@@ -188,6 +188,27 @@ def test_slots_choose_against_names(spark):
     assert own(99).strip() in texts[99]
 
 
+def test_repeated_texts_of_the_main_text_stay(spark):
+    own = lambda i: f"own text of page {i} " * 30
+    said = lambda row: row.text.split("\n\n")
+    schema = "page_id bigint, url string, html string"
+    # Fixed headings, items and short parts of a named main text, or headings of one without a name.
+    fixed = lambda i: f"<h2>Background</h2><p>{own(i)}<ul><li>one item</ul><h2>Summary</h2>"
+    for around in ("<article>{}<p>The end</article>", "<div class='col'>{}</div>"):
+        pages = spark.createDataFrame([page(i, around.format(fixed(i))) for i in range(12)], schema)
+        for row in templates.page_texts(pages).collect():
+            end = ["The end"] if "article" in around else []
+            assert said(row) == ["Background", own(row.page_id).strip(), "one item", "Summary", *end]
+    # Copies of one text are most pages, or all.
+    copy = lambda i: f"<div class='col'><p>First</p><p>{own(i)}</p><p>Second</p><p>Third</p></div>"
+    for copies in (9, 12):
+        pages = spark.createDataFrame(
+            [page(i, copy(0) if i < copies else f"<div class='col'><p>{own(i)}</p></div>") for i in range(12)], schema
+        )
+        for row in templates.page_texts(pages).collect():
+            assert said(row) == (["First", own(0).strip(), "Second", "Third"] if row.page_id < copies else [own(row.page_id).strip()])
+
+
 def check_vectors(vectors, chunk):
     rows = vectors.collect()
     usable = [r.label is not None and r.embedding and all(x is not None and np.isfinite(x) for x in r.embedding) and any(r.embedding) for r in rows]

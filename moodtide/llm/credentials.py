@@ -5,8 +5,9 @@ name, a password-like value, a random-looking token or an address of a service s
 such weak parts are reported only where a part that complements them lies within ``SCOPE`` code points.
 
 The parts' positions, without texts, are shuffled by document; the join of each part with the
-interval around it is a range window, which counts what lies there and makes no pairs. A window's
-group is one document's parts, so its size is bounded by a text's, and rows alike are told once.
+interval around it makes no pairs: near are those that begin by its end and ``SCOPE`` more, less those that
+end over ``SCOPE`` before it, and both are running counts in range windows over the parts' ends, each part
+standing there twice. A window's group is one document's parts, so its size is bounded by a text's, and rows alike are told once.
 """
 
 from __future__ import annotations
@@ -75,12 +76,22 @@ def detected(rows: DataFrame, text_col: str) -> DataFrame:
 
 
 def linked(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Weak parts with a complement in scope, from ``keys, start, rank, kind, end``."""
+    """Weak parts with a complement at most ``SCOPE`` code points before or after them, from ``keys, start, rank, kind, end``."""
     role = F.create_map(*[F.lit(x) for pair in ROLE.items() for x in pair])[F.col("kind")]
     rows = parts.distinct().withColumn("role", role)
-    scope = Window.partitionBy(*keys).orderBy("start").rangeBetween(-SCOPE, SCOPE)
-    near = {r: F.sum((F.col("role") == r).cast("int")).over(scope) for r in COMPLEMENT}
-    rows = rows.withColumns({f"_near_{r}": n for r, n in near.items()})
+    # Each part at its start (``_side`` 0) and at its end.
+    sides = rows.select("*", F.posexplode(F.array("start", "end")).alias("_side", "_at"))
+    upto = Window.partitionBy(*keys).orderBy("_at")
+    begun = upto.rangeBetween(Window.unboundedPreceding, SCOPE)
+    over = upto.rangeBetween(Window.unboundedPreceding, -SCOPE - 1)
+    is_of = lambda r, side: ((F.col("role") == r) & (F.col("_side") == side)).cast("int")
+    counts = {
+        f"_near_{r}": F.when(F.col("_side") == 1, F.sum(is_of(r, 0)).over(begun))
+        .otherwise(-F.coalesce(F.sum(is_of(r, 1)).over(over), F.lit(0)))
+        for r in COMPLEMENT
+    }
+    told = sides.withColumns(counts)
+    rows = told.groupBy(*parts.columns, "role").agg(*[F.sum(name).alias(name) for name in counts])
     fits = F.lit(False)
     for r, groups in COMPLEMENT.items():
         every = F.col("role") == r

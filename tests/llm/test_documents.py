@@ -240,6 +240,21 @@ def test_exact_spans(spark, documents, odd, none, family, find):
     assert rows(find(none)) == []
 
 
+@pytest.mark.parametrize("gap", [0, 1, credentials.SCOPE - 1, credentials.SCOPE, credentials.SCOPE + 1])
+def test_parts_longer_than_scope_are_linked(spark, gap):
+    long = 3 * credentials.SCOPE
+    parts = [
+        # One after the other, either first; one inside the other; and a short pair.
+        (1, 0, 3, "identifier", long), (1, long + gap, 4, "credential", long + gap + 9),
+        (2, 0, 4, "credential", 9), (2, 9 + gap, 3, "identifier", 9 + gap + long),
+        (3, 0, 6, "endpoint", 2 * long), (3, long, 3, "identifier", long + 9), (3, long + 20, 4, "credential", long + 30),
+        (4, 5, 3, "identifier", 9), (4, 9 + gap, 4, "credential", 20 + gap),
+    ]
+    rows = spark.createDataFrame(parts, "doc int, start int, rank int, kind string, end int")
+    got = sorted(tuple(row) for row in credentials.linked(rows, ["doc"]).collect())
+    assert got == sorted(p for p in parts if p[0] == 3 or gap <= credentials.SCOPE)
+
+
 def test_weak_parts_are_told_only_together(spark):
     texts = {
         1: "user=admin pwd=hunter2hunter2", 2: "user=admin alone", 3: "pwd=hunter2hunter2 https://db.example.com/x",

@@ -95,4 +95,64 @@ counted AS (SELECT a, count(*) AS n FROM link GROUP BY a)
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
 FROM v JOIN component ON component.a = v.row LEFT JOIN counted ON counted.a = v.row"""
 
-SQL: dict[str, str] = {"op7_quality_rules": QUALITY, "op10_embedding_dedup": VECTORS}
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS terms FROM documents
+), i AS MATERIALIZED (
+  SELECT row_number() OVER () AS item, item_id, list_distinct({_TERMS}) AS terms FROM benchmark
+), wanted AS (SELECT item, item_id, unnest(terms) AS term FROM i),
+sizes AS (SELECT row, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+corpus AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS length FROM sizes),
+counts AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) GROUP BY row, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * documents + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts CROSS JOIN corpus GROUP BY term, documents
+), scored AS (
+  SELECT item, item_id, doc_id, row,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * documents) // length)))) AS BIGINT) AS score
+  FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN sizes USING (row) CROSS JOIN corpus
+  GROUP BY item, item_id, doc_id, row
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10"""
+
+_WHOLE = """
+  SELECT row_number() OVER () AS row, vec_id, {label} AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+_MOVED = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+_SCORE = "CAST(list_dot_product({a}.v, {b}.v) AS BIGINT)"
+
+NEGATIVES = f"""
+WITH e AS MATERIALIZED ({_WHOLE.format(label=_MOVED)} AND label IS NOT NULL),
+p AS (
+  SELECT a.vec_id AS anchor_id, a.row AS anchor, a.label, a.v, b.vec_id AS positive_id, {_SCORE.format(a="a", b="b")} AS positive_score,
+         row_number() OVER (PARTITION BY a.row ORDER BY {_SCORE.format(a="a", b="b")} DESC, b.vec_id) AS nth
+  FROM e a JOIN e b ON a.label = b.label AND a.row <> b.row AND len(a.v) = len(b.v)
+  WHERE a.vec_id % 100 = 0 QUALIFY nth <= 5
+), n AS (
+  SELECT anchor_id, anchor, nth, positive_id, positive_score, e.vec_id AS negative_id, {_SCORE.format(a="p", b="e")} AS negative_score
+  FROM p JOIN e ON p.label <> e.label AND len(p.v) = len(e.v)
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor, nth ORDER BY negative_score DESC, negative_id) AS INTEGER) AS rank,
+       negative_id, positive_score, negative_score
+FROM n WHERE 80 * positive_score <= 100 * negative_score AND 100 * negative_score <= 100 * positive_score QUALIFY rank <= 5"""
+
+NEAREST = f"""
+WITH e AS MATERIALIZED ({_WHOLE.format(label="0")})
+SELECT q.vec_id AS query_id,
+       CAST(row_number() OVER (PARTITION BY q.row ORDER BY {_SCORE.format(a="q", b="c")} DESC, c.vec_id) AS INTEGER) AS rank,
+       c.vec_id, {_SCORE.format(a="q", b="c")} AS score
+FROM e q JOIN e c ON q.row <> c.row AND len(q.v) = len(c.v)
+WHERE q.vec_id % 50 = 0 QUALIFY rank <= 5"""
+
+SQL: dict[str, str] = {
+    "op7_quality_rules": QUALITY,
+    "op10_embedding_dedup": VECTORS,
+    "op11_ranked_search": RANKED,
+    "op12_hard_negatives": NEGATIVES,
+    "op13_exact_top_k": NEAREST,
+}

@@ -5,18 +5,22 @@ from __future__ import annotations
 import importlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from moodtide.llm import (
     credentials,
     mixing,
+    mtree,
     neighbours,
     pieces,
     pii,
     quality_model,
+    reversed_search,
     rules,
     simhash,
     templates,
     toxicity,
+    zones,
 )
 from moodtide.llm.common import table
 from moodtide.llm.oracle import SQL
@@ -69,10 +73,24 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return zones.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pii, op2_quality_classifier, op3_source_mix, op4_secret_scan, op5_toxicity, op6_simhash_dedup,
         op7_quality_rules, op8_sentencepiece, op9_html_text, op10_embedding_dedup,
+        op11_ranked_search, op12_hard_negatives, op13_exact_top_k,
     )
 }

@@ -16,7 +16,7 @@ from moodtide.llm.queries import QUERIES, SQL, piece_model
 def test_every_corpus_query_is_registered():
     named = entry_points.queries()
     assert all(name in named for name in QUERIES) and named["pipeline"] is corpus_pipeline.run
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -29,10 +29,12 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 SPACE = "▁"
 BETWEEN = "\x00"
 # Characters of texts that a task encodes at a time, and units and pairs that it remembers.
-CHARS = 1 << 20
+CHARS = 1 << 22
 UNITS = 1 << 19
 PAIRS = 1 << 19
 NEVER = float("-inf")
+# Bits of the table that tells which runs of three characters a text has.
+TRIPLES = 22
 MODEL = "piece_bpe_32k.model"
 
 
@@ -130,6 +132,24 @@ def ranges(text: np.ndarray, suffixes: np.ndarray, pieces: np.ndarray) -> tuple[
     return bound(False), bound(True)
 
 
+def triples(text: np.ndarray) -> np.ndarray:
+    """A number below ``2**TRIPLES`` for every three characters in a row (along the last axis)."""
+    wide = text.astype(np.uint64)
+    mixed = (wide[..., :-2] * np.uint64(0x9E3779B97F4A7C15) + wide[..., 1:-1]) * np.uint64(0x9E3779B97F4A7C15) + wide[..., 2:]
+    return ((mixed * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TRIPLES)).astype(np.int64)
+
+
+class Stays(dict):
+    """Whether two pieces, as one number, stay side by side; works out and remembers what it is asked for."""
+
+    def __init__(self, found) -> None:
+        self.found = found
+
+    def __missing__(self, pair: int) -> bool:
+        value = self[pair] = self.found(pair)
+        return value
+
+
 class Encoder:
     """Encodes texts, remembering the units and pairs that it has met."""
 
@@ -141,6 +161,10 @@ class Encoder:
         for i, name in enumerate(vocabulary.whole):
             self.pieces[i, : len(name)] = [ord(c) for c in name]
         self.lengths = (self.pieces > 0).sum(axis=1)
+        # Where a piece has no three characters left, the first three stand for them; short ones have none.
+        inside = np.arange(self.pieces.shape[1] - 2) + 3 <= self.lengths[:, None]
+        self.triples = np.where(inside, triples(self.pieces), triples(self.pieces)[:, :1])
+        self.short = self.lengths < 3
         alone = re.escape(vocabulary.alone)
         rest = f"[^{SPACE}{alone}]"
         self.cut = re.compile(f"{SPACE}+{rest}*|{rest}+|[{alone}]" if alone else f"{SPACE}+{rest}*|{rest}+")
@@ -152,19 +176,13 @@ class Encoder:
     def forget(self) -> None:
         self.steps: dict[str, list[tuple[float, str, str]]] = {}
         self.units: dict[str, int] = {}
-        self.stay: dict[int, bool] = {}
+        self.stay = Stays(self._stays)
         self.first = np.zeros(1, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.int32)
 
-    def stays(self, pair: int) -> bool:
-        """Whether two pieces stay side by side."""
+    def _stays(self, pair: int) -> bool:
         left, right = divmod(pair, self.start + 1)
-        if left >= self.other or right >= self.other:
-            return True
-        known = self.stay.get(pair)
-        if known is None:
-            known = self.stay[pair] = self._apart(self.names[left], self.names[right])
-        return known
+        return left >= self.other or right >= self.other or self._apart(self.names[left], self.names[right])
 
     def _steps(self, name: str) -> list[tuple[float, str, str]]:
         steps = self.steps.get(name)
@@ -196,9 +214,9 @@ class Encoder:
         if len(self.units) > UNITS or len(self.stay) > PAIRS:
             self.forget()
         found = [self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
-        fresh = dict.fromkeys(unit for units in found for unit in units if unit not in self.units)
+        fresh = set().union(*found) - self.units.keys()
         if fresh:
-            self._learn(list(fresh))
+            self._learn(sorted(fresh))
         out = []
         for units in found:
             at = np.fromiter(map(self.units.__getitem__, units), np.int64, len(units))
@@ -220,6 +238,10 @@ class Encoder:
         there = np.zeros(max(int(text.max()), int(self.pieces.max())) + 1, dtype=bool)
         there[text] = there[0] = True
         some = there[self.pieces].all(axis=1)
+        # Nor one with three characters in a row that are nowhere.
+        met = np.zeros(1 << TRIPLES, dtype=bool)
+        met[triples(text)] = True
+        some &= self.short | met[self.triples].all(axis=1)
         low, high = ranges(text, suffixes, self.pieces[some])
         times = high - low
         inside = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
@@ -247,7 +269,7 @@ class Encoder:
             reached = last[s] >= 0
             s, p, n = s[reached], p[reached], n[reached]
             pairs, which = np.unique(last[s] * (self.start + 1) + p, return_inverse=True)
-            good = np.fromiter(map(self.stays, pairs.tolist()), bool, len(pairs))[which]
+            good = np.fromiter(map(self.stay.__getitem__, pairs.tolist()), bool, len(pairs))[which]
             last[s[good] + n[good]], back[s[good] + n[good]] = p[good], s[good]
 
         at, who, tokens, owners, turns, turn = begin + size, np.arange(len(units)), [], [], [], 0

@@ -10,7 +10,7 @@ The tree's first level are ``CELLS`` routing objects from a bounded sample, whic
 sorted by cell and distance to its object and cut into chunks; each chunk is a subtree, made and
 searched by one task: nodes of ``FAN`` children, pages of at most ``PAGE`` vectors, all of them rows of one table.
 
-A query is searched in its own chunk first, where the vectors like it are. The score that it then has
+A block of queries goes through a subtree together, each for itself. A query is searched in its own chunk first, where the vectors like it are. The score that it then has
 to beat goes with it to those chunks that may hold better ones, by the bound above on their distances to
 the cell's object. Scores are whole numbers, compared exactly; equal ones by the smaller id.
 """
@@ -34,7 +34,9 @@ CELLS = 32
 CHUNK = 1 << 15
 PAGE = 256
 FAN = 8
-SEED = 13
+# Queries that go through a subtree together.
+BLOCK = 256
+HIGHEST = (1 << 63) - 1
 # Kinds of rows of a chunk, in the order in which a task needs them.
 NODE, ENTRY, QUERY = 0, 1, 2
 
@@ -137,58 +139,78 @@ class Tree:
         self.firsts = np.array([some[0] for some in self.ids], dtype=np.int64)
         return self
 
-    def search(self, query: np.ndarray, top: int, floor: list[int] | None, same: int = -1) -> list[tuple[int, int, bool]]:
-        """The ``top`` best ``score, id``, and whether of row ``same``, that beat ``floor``; in no order."""
-        wide = query.astype(np.float64)
-        own = float(wide @ wide)
-        best: list[tuple[int, int, bool]] = []  # score, -id
-        score, last = floor if floor else (None, None)
-
-        def hopeless(limit: float, least: int) -> bool:
-            return score is not None and (limit < score or limit == score and least > last)
-
-        queue: list[tuple[float, int, int, bool]] = [(-np.inf, self.lowest[0], 0, False)]
+    def search(
+        self, queries: np.ndarray, top: int, floors: list[list[int] | None], same: np.ndarray | None = None
+    ) -> list[list[tuple[int, int, bool]]]:
+        """For each query the ``top`` best ``score, id``, and whether of its row in ``same``, that beat its floor; in no order.
+
+        A block of queries goes through the tree together: the node that promises any of them the most is
+        next, and only those take part that it still promises something to.
+        """
+        wide = queries.astype(np.float64)
+        own = (wide * wide).sum(1)
+        # The score and id to beat: those of the floor, later those of the last of the best.
+        score = np.array([floor[0] if floor else -np.inf for floor in floors])
+        last = np.array([floor[1] if floor else HIGHEST for floor in floors], dtype=np.int64)
+        best: list[list[tuple[int, int, bool]]] = [[] for _ in floors]  # score, -id
+
+        def open_(limit: np.ndarray, who: np.ndarray, node: int) -> np.ndarray:
+            return (limit > score[who]) | ((limit == score[who]) & (self.lowest[node] < last[who]))
+
+        queue = [(-np.inf, 0)]
+        held = {0: (np.arange(len(wide)), np.full(len(wide), np.inf))}
         while queue:
-            limit, least, node, known = heapq.heappop(queue)
-            if score is not None and -limit < score:
-                break
-            if hopeless(-limit, least):
+            _, node = heapq.heappop(queue)
+            who, limit = held.pop(node)
+            who = who[open_(limit, who, node)]
+            away = np.sqrt(_squares(wide[who], self.center[node][None])[:, 0])
+            limit = bound(own[who], self.tops[node], np.maximum(0, away - self.reach[node]))
+            some = open_(limit, who, node)
+            who, away = who[some], away[some]
+            if not len(who):
                 continue
-            away = float(np.sqrt(((wide - self.center[node]) ** 2).sum()))
-            if not known:
-                limit = bound(own, self.tops[node], max(0.0, away - self.reach[node]))
-                if hopeless(limit, least):
-                    continue
-                if queue and -limit > queue[0][0]:
-                    heapq.heappush(queue, (-limit, least, node, True))
-                    continue
             kids = self.kids[node]
             if len(kids):
                 # Before any distance to a child: by its stored distance to this node's object.
-                lo = np.maximum(np.abs(away - self.parted[kids]) - self.reach[kids], 0)
-                for kid, high in zip(kids.tolist(), bound(own, self.tops[kids], lo).tolist(), strict=True):
-                    if not hopeless(high, self.lowest[kid]):
-                        heapq.heappush(queue, (-high, self.lowest[kid], kid, False))
+                lo = np.maximum(np.abs(away[:, None] - self.parted[kids]) - self.reach[kids], 0)
+                for kid, limit in zip(kids.tolist(), bound(own[who, None], self.tops[kids], lo).T, strict=True):
+                    some = open_(limit, who, kid)
+                    if some.any():
+                        held[kid] = who[some], limit[some]
+                        heapq.heappush(queue, (-float(limit[some].max()), kid))
                 continue
-            rows = self.rows[node]
-            if score is not None:
-                rows = rows[bound(own, self.squares[rows], np.abs(away - self.near[rows])) >= score]
-            scores = products(self.vectors[rows], query[None])[:, 0]
-            order = np.lexsort((self.firsts[rows], -scores))[: top]
-            for row, value in zip(rows[order].tolist(), scores[order].tolist(), strict=True):
-                for key in self.ids[row]:
-                    entry = (value, -key, row == same)
-                    if floor and entry[:2] <= (floor[0], -floor[1]):
-                        break
-                    if len(best) < top:
-                        heapq.heappush(best, entry)
-                    elif entry[:2] > best[0][:2]:
-                        heapq.heapreplace(best, entry)
-                    else:
-                        break
-                if len(best) == top:
-                    score, last = best[0][0], -best[0][1]
-        return [(value, -key, own_row) for value, key, own_row in best]
+            self._visit(self.rows[node], wide, own, who, away, score, last, best, top, floors, same)
+        return [[(value, -key, own_row) for value, key, own_row in some] for some in best]
+
+    def _visit(self, rows, wide, own, who, away, score, last, best, top, floors, same) -> None:
+        """Compare queries with a page, except where its vectors' stored distances rule it out."""
+        limit = bound(own[who, None], self.squares[rows], np.abs(away[:, None] - self.near[rows]))
+        near = limit >= score[who, None]
+        asked, there = near.any(1), near.any(0)
+        who, rows, near = who[asked], rows[there], near[asked][:, there]
+        if not len(who):
+            return
+        scores = products(self.vectors[rows], wide[who].astype(np.int64)).T
+        near &= (scores > score[who, None]) | ((scores == score[who, None]) & (self.firsts[rows] < last[who, None]))
+        if len(rows) > top:
+            near &= scores >= np.partition(scores, len(rows) - top, axis=1)[:, len(rows) - top, None]
+        at, row = np.nonzero(near)
+        order = np.lexsort((self.firsts[rows[row]], -scores[at, row], at))
+        for i, value, row_ in zip(at[order].tolist(), scores[at, row][order].tolist(), rows[row[order]].tolist(), strict=True):
+            query = int(who[i])
+            heap, floor = best[query], floors[query]
+            for key in self.ids[row_]:
+                entry = (value, -key, same is not None and row_ == same[query])
+                if floor and entry[:2] <= (floor[0], -floor[1]):
+                    break
+                if len(heap) < top:
+                    heapq.heappush(heap, entry)
+                elif entry[:2] > heap[0][:2]:
+                    heapq.heapreplace(heap, entry)
+                else:
+                    break
+            if len(heap) == top:
+                score[query], last[query] = heap[0][0], -heap[0][1]
 
 
 _FOUND = "array<struct<score: bigint, vec_id: bigint, same: boolean>>"
@@ -238,11 +260,12 @@ def _build(objects: dict[int, np.ndarray], top: int, most: int):
         away, found = [None] * n, [None] * n
         if len(asks):
             far = np.sqrt(_squares(vectors[asks], objects.get(size, np.zeros((1, size)))))
-            for row, distances in zip(asks.tolist(), far, strict=True):
-                away[nodes + row] = distances.tolist()
-                found[nodes + row] = [
-                    {"score": s, "vec_id": i, "same": same} for s, i, same in tree.search(vectors[row], top, None, row)
-                ]
+            for at in range(0, len(asks), BLOCK):
+                some = asks[at : at + BLOCK]
+                results = tree.search(vectors[some], top, [None] * len(some), some)
+                for row, distances, best in zip(some.tolist(), far[at : at + BLOCK], results, strict=True):
+                    away[nodes + row] = distances.tolist()
+                    found[nodes + row] = [{"score": s, "vec_id": i, "same": same} for s, i, same in best]
         none, zeros = [None] * nodes, np.zeros(nodes)
         values = np.concatenate([np.array(tree.center, dtype=np.int64).reshape(nodes, -1), vectors])
         lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), pa.array(values.ravel()))
@@ -307,16 +330,15 @@ def _search(top: int):
             if first == len(kind):
                 continue
             tree = tree or loaded(pa.Table.from_batches(parts))
-            asks = some.slice(first)
-            out = []
-            for query, floor, k1, k2 in zip(
-                matrix(asks.column(4)), *(asks.column(i).to_pylist() for i in (9, 10, 11)), strict=True
-            ):
-                out += [(k1, k2, s, i) for s, i, _ in tree.search(query, top, floor)]
-            columns = zip(*out, strict=True) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), pa.int64()) for c in columns], names=["k1", "k2", "score", "vec_id"]
-            )
+            for at in range(first, some.num_rows, BLOCK):
+                asks = some.slice(at, BLOCK)
+                floors, k1, k2 = (asks.column(i).to_pylist() for i in (9, 10, 11))
+                results = tree.search(matrix(asks.column(4)), top, floors)
+                out = [(a, b, s, i) for a, b, best in zip(k1, k2, results, strict=True) for s, i, _ in best]
+                columns = zip(*out, strict=True) if out else [[]] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), pa.int64()) for c in columns], names=["k1", "k2", "score", "vec_id"]
+                )
 
     return run
 
@@ -340,7 +362,7 @@ def nearest(
     Components count as the floor of 256 times them. Rows without an id, and those whose vector is null, empty or
     holds a null or non-finite component, take no part; vectors of different length are not compared. Rows may repeat
     and share ids: a query's own row is left out once, and equal id and vector ask once. Inner products and squared
-    lengths have to fit 64 bits. An empty table gives no rows; other columns are not read.
+    lengths have to stay below 2**53. An empty table gives no rows; other columns are not read.
     """
     rows = whole(vectors, id_col, vec_col, asks.alias("_asks"))
     asking = rows.filter("_asks").select("vec_id", "k1", "k2")

@@ -63,6 +63,14 @@ def score_metric_columns() -> list[Column]:
     return [F.count("*").alias("messages"), F.count_if(F.col("sentiment_score") < 0).alias("negative_messages")]
 
 
+def record_metric_columns(decoded: DataFrame) -> list[Column]:
+    """What is counted about decoded records before any is left out: all, and those that no stage can use."""
+    bad = F.col("error_code").isNotNull()
+    if "message" in decoded.columns:
+        bad |= F.col("message").isNull()
+    return [F.count("*").alias("records"), F.count_if(bad).alias("rejected")]
+
+
 def observe(df: DataFrame, name: str, metrics: list[Column]) -> tuple[DataFrame, Observation | None]:
     """The same rows with metrics taken while they pass, without a pass of their own.
 
@@ -84,6 +92,11 @@ def observe_scores(scored: DataFrame, name: str = "scores") -> tuple[DataFrame,
     return observe(scored, name, score_metric_columns())
 
 
+def observe_records(decoded: DataFrame, name: str = "records") -> tuple[DataFrame, Observation | None]:
+    """Counts of all decoded records and of rejected ones."""
+    return observe(decoded, name, record_metric_columns(decoded))
+
+
 def alert_metrics(alerts: DataFrame) -> DataFrame:
     """The metrics as a one-row table."""
     return alerts.agg(*metric_columns())

@@ -24,12 +24,15 @@ def _required(df: DataFrame, column: str) -> Column:
     return F.coalesce(F.col(column), missing.cast(dict(df.dtypes)[column]))
 
 
-def with_stream_time(df: DataFrame, bucket_bits: int = BUCKET_BITS, time_col: str = "event_time") -> DataFrame:
+def with_stream_time(
+    df: DataFrame, bucket_bits: int = BUCKET_BITS, time_col: str = "event_time", carried: DataFrame | None = None
+) -> DataFrame:
     """Add ``stream_time`` (ms) to ``partition, offset, user_id, ...``, and what tells how far a row's
     bucket overlaps others in time: ``bucket``, ``earlier_max`` and ``later_min``, the highest event
     time of the partition's earlier buckets and the lowest of its later ones.
 
     Rows without a key are dropped, by rule; one without partition, offset or time fails the job.
+    ``carried`` has the ``partition, stream_time`` that records before these left, a row per partition.
     """
     keyed = df.filter(F.col("user_id").isNotNull())
     placed = keyed.withColumns({name: _required(df, name) for name in ("partition", "offset", time_col)})
@@ -51,6 +54,9 @@ def with_stream_time(df: DataFrame, bucket_bits: int = BUCKET_BITS, time_col: st
         F.max("_max").over(before).alias("earlier_max"),
         F.min("_min").over(after).alias("later_min"),
     )
+    if carried is not None:
+        left = carried.select("partition", F.col("stream_time").alias("_left"))
+        bounds = bounds.join(left, "partition", "left").withColumn("earlier_max", F.greatest("earlier_max", "_left")).drop("_left")
     inside = Window.partitionBy("partition", "bucket").orderBy("offset")
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = rows.withColumn("_here", F.max("_millis").over(inside))
@@ -84,5 +90,20 @@ def windowed_late(
     return _windowed(df, hop, bucket_bits, time_col).filter(is_late(hop))
 
 
+def windowed_with_lateness(
+    df: DataFrame, hop: Hop = DEFAULT_HOP, bucket_bits: int = BUCKET_BITS, time_col: str = "event_time", carried: DataFrame | None = None
+) -> DataFrame:
+    """All (row, window) pairs, with ``late``. ``carried`` as in ``with_stream_time``."""
+    pairs = explode_windows(with_stream_time(df, bucket_bits, time_col, carried), hop, time_col)
+    return pairs.withColumn("late", is_late(hop))
+
+
+def stream_times(df: DataFrame, time_col: str = "event_time", carried: DataFrame | None = None) -> DataFrame:
+    """``partition, stream_time`` after these records: a map-side maximum, a row per partition."""
+    times = df.filter(F.col("user_id").isNotNull()).select("partition", millis_of(df, time_col).alias("stream_time"))
+    times = times if carried is None else times.unionByName(carried.select("partition", "stream_time"))
+    return times.groupBy("partition").agg(F.max("stream_time").alias("stream_time"))
+
+
 def _windowed(df: DataFrame, hop: Hop, bucket_bits: int, time_col: str) -> DataFrame:
     return explode_windows(with_stream_time(df, bucket_bits, time_col), hop, time_col)

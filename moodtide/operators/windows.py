@@ -88,15 +88,18 @@ def window_aggregate(
 
 
 def window_sum(
-    windowed: DataFrame, keys: Sequence[str] = ("user_id",), score_col: str = "sentiment_score"
+    windowed: DataFrame,
+    keys: Sequence[str] = ("user_id",),
+    score_col: str = "sentiment_score",
+    window: Sequence[str] = STRUCT,
 ) -> DataFrame:
     """Score total per key and window."""
-    return window_aggregate(windowed, F.sum(score_col).alias("score_sum"), keys=keys)
+    return window_aggregate(windowed, F.sum(score_col).alias("score_sum"), keys=keys, window=window)
 
 
-def window_count(windowed: DataFrame, keys: Sequence[str] = ("user_id",)) -> DataFrame:
+def window_count(windowed: DataFrame, keys: Sequence[str] = ("user_id",), window: Sequence[str] = STRUCT) -> DataFrame:
     """Rows per key and window."""
-    return window_aggregate(windowed, F.count("*").alias("n"), keys=keys)
+    return window_aggregate(windowed, F.count("*").alias("n"), keys=keys, window=window)
 
 
 def window_mean(
@@ -113,9 +116,11 @@ def window_mean(
     return totals.withColumn("average_score", mean_of(F.col("score_sum"), F.col("n")))
 
 
-def join_sum_count(sums: DataFrame, counts: DataFrame, keys: Sequence[str] = ("user_id",)) -> DataFrame:
+def join_sum_count(
+    sums: DataFrame, counts: DataFrame, keys: Sequence[str] = ("user_id",), window: Sequence[str] = STRUCT
+) -> DataFrame:
     """The mean as a join of two keyed tables. Both sides hold one row per (key, window) and are
     already partitioned on the join columns. ``window_mean`` gives the same with one aggregation
-    and also works on a stream in update mode, where this join does not."""
-    joined = sums.join(counts, [*keys, "window"], "inner")
+    and also works on a stream in update mode; this join works on streams in append mode."""
+    joined = sums.join(counts, [*keys, *window], "inner")
     return joined.withColumn("average_score", mean_of(F.col("score_sum"), F.col("n")))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from moodtide.functions import checks, sentiment
 from moodtide.functions.codec import decode_json, encode_json, windowed_key
 from moodtide.functions.sentiment import DEFAULT_RULES, Lexicon, Rule, score_sentiment
-from moodtide.operators import alerts, changelog, lateness, quality, windows
+from moodtide.operators import alerts, changelog, duplicates, folds, lateness, lexicon, quality, windows
 from moodtide.operators.windows import Hop
 from moodtide.plans import pipeline
 from moodtide.schemas import (
@@ -31,8 +31,9 @@ from moodtide.schemas import (
     record,
 )
 from moodtide.session import work_dir
-from moodtide.sources import records, topics
-from moodtide.sources.tables import DAY_MS, chat, chat_stream_of, in_files, table
+from moodtide.sources import keyed, records, topics
+from moodtide.sources.tables import DAY_MS, chat, chat_stream_of, in_slices, table
+from moodtide.streaming import exact, metrics, state
 from moodtide.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -476,16 +477,17 @@ def observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([seen.get], kinds)
 
 
-# Streams: run over the whole event table in FILES files, one a micro-batch; results read back from where
+# Streams: run over the whole event table in SLICES slices, one a micro-batch; results read back from where
 # they landed
 
 
-FILES = 8
+SLICES = 8
 
 
-def _chat_stream(spark: SparkSession, sf_dir: str, out: str, hold_back_every: int | None = None) -> DataFrame:
+def _chat_stream(spark: SparkSession, sf_dir: str, out: str, hold_back_every: int | None = None, repeats: int = 0) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    return chat_stream_of(spark, events.schema, in_files(events, f"{out}/events", FILES), hold_back_every=hold_back_every)
+    each = in_slices(events, f"{out}/events", SLICES, repeats)
+    return chat_stream_of(spark, events.schema, f"{out}/events", each, hold_back_every)
 
 
 def _alert_stream(spark: SparkSession, sf_dir: str, out: str, hold_back_every: int | None = None) -> DataFrame:
@@ -550,3 +552,198 @@ def alerts_fused_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept.write(topics.chat_records(_chat_stream(spark, sf_dir, out)), CHAT_TOPIC, f"{out}/ingest", every).awaitTermination()
     streams.start_alerts(spark, kept, f"{out}/alerts", DAY_HOP, trigger=every, mode="append").awaitTermination()
     return _alert_rows(decode_json(kept.read(spark, ALERT_TOPIC), WARNING_ALERT))
+
+
+# Streams as exact as replay
+
+
+def _exact_updates(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
+    every = streams.wire.ALL_AVAILABLE
+    scored = pipeline.scores(_chat_stream(spark, sf_dir, out, LATE_EVERY))
+    exact.start_pairs(scored, f"{out}/marked", f"{out}/marking", DAY_HOP, trigger=every, bucket_bits=BUCKET_BITS).awaitTermination()
+    pairs = exact.read_pairs(spark, f"{out}/marked", streaming=True)
+    exact.start_updates(pairs, f"{out}/updates", f"{out}/updating", DAY_HOP, every).awaitTermination()
+    return spark.read.schema(exact.UPDATES).parquet(f"{out}/updates")
+
+
+@query
+def alert_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One update per record out of the state store, late records dropped by exact stream time."""
+    return _updates(_exact_updates(spark, sf_dir, work_dir(spark, "changelog-stream")))
+
+
+@query
+def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream drops, with the stream time that closed it."""
+    out = work_dir(spark, "late-stream")
+    scored = pipeline.scores(_chat_stream(spark, sf_dir, out, LATE_EVERY))
+    every = streams.wire.ALL_AVAILABLE
+    exact.start_pairs(scored, f"{out}/marked", f"{out}/marking", DAY_HOP, trigger=every).awaitTermination()
+    late = exact.read_pairs(spark, f"{out}/marked", late=True)
+    return late.select("user_id", "partition", "offset", "window_start", "stream_time")
+
+
+@query
+def late_drop_alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the stream's update log ends."""
+    log = _exact_updates(spark, sf_dir, work_dir(spark, "late-alerts-stream"))
+    return _alert_rows(alerts.to_alerts(changelog.current_table(log)))
+
+
+# Joined tables, repeated records and the state store
+
+
+def _final(spark: SparkSession, stream: DataFrame, out: str) -> DataFrame:
+    streams.start_final(stream, f"{out}/alerts", f"{out}/checkpoint", streams.wire.ALL_AVAILABLE).awaitTermination()
+    return _alert_rows(spark.read.parquet(f"{out}/alerts"))
+
+
+@query
+def alerts_stream_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and counts aggregated apart and joined, in one query."""
+    out = work_dir(spark, "alerts-joined")
+    return _final(spark, streams.joined_alert_stream(pipeline.scores(_chat_stream(spark, sf_dir, out)), DAY_HOP), out)
+
+
+@query
+def alerts_stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record comes twice, the second time a micro-batch later, and counts once."""
+    out = work_dir(spark, "alerts-once")
+    twice = pipeline.scores(_chat_stream(spark, sf_dir, out, repeats=1))
+    return _final(spark, streams.alert_stream_once(twice, DAY_HOP), out)
+
+
+@query
+def alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch form: a topic that holds every record twice."""
+    rows = chat(spark, sf_dir)
+    return _alert_rows(pipeline.warning_alerts(duplicates.once(rows.unionByName(rows), DAY_HOP.grace), DAY_HOP))
+
+
+EARLIER = 4
+
+
+def _state_of(spark: SparkSession, sf_dir: str, batch_id: int | None) -> DataFrame:
+    out = work_dir(spark, "state")
+    _logged(spark, _alert_stream(spark, sf_dir, out), out)
+    return _means(state.open_means(spark, f"{out}/checkpoint", batch_id))
+
+
+@query
+def alert_state_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that the stopped query still holds open, out of its checkpoint."""
+    return _state_of(spark, sf_dir, None)
+
+
+@query
+def alert_state_earlier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after an earlier micro-batch."""
+    return _state_of(spark, sf_dir, EARLIER)
+
+
+# Own aggregates, keyed storage, large lexicons
+
+
+@query
+def hopping_decayed_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fold of the user's own: scores count half as much for every quarter of a day before the window's end."""
+    pairs = windows.explode_windows(_scored(spark, sf_dir), DAY_HOP)
+    pairs = pairs.withColumn("age", F.col("window_end") - F.unix_millis("event_time"))
+    mean = folds.decayed_mean(DAY_MS // 4)
+    decayed = folds.folded(pairs, ["user_id", "window_start", "window_end"], ["sentiment_score", "age"], mean)
+    return decayed.withColumn("decayed_score", F.round("decayed_score", 6))
+
+
+def _kept_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "by-user")
+    name = f"scores_{path[-32:]}"
+    return keyed.store_by_user(_scored(spark, sf_dir), name, SLICES, path)
+
+
+@query
+def hopping_avg_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means over scores stored by user: no exchange behind the table."""
+    return _means(keyed.keyed_means(_kept_by_user(spark, sf_dir), DAY_HOP))
+
+
+@query
+def sum_count_join_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and counts over them, joined: no exchange either."""
+    return _means(keyed.keyed_join(_kept_by_user(spark, sf_dir), DAY_HOP))
+
+
+def _large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run of five letters or more in the documents as a term, the first in the alphabet first; longer than eight
+    letters they are positive."""
+    found = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))
+    terms = table(spark, sf_dir, "documents").select(F.explode(found).alias("term")).distinct()
+    good = F.length("term") > 8
+    ranked = terms.select(
+        "term",
+        # The first eight letters as a number; terms that share them share score or not by their whole length.
+        F.conv(F.hex(F.rpad(F.substring("term", 1, 7), 7, "\x00")), 16, 10).cast("bigint").alias("place"),
+        F.when(good, F.lit(0.8)).otherwise(F.lit(-0.6)).alias("score"),
+        F.when(good, F.lit("Positive")).otherwise(F.lit("Negative")).alias("label"),
+    ).select("term", (F.col("place") * 2 + (~good).cast("int")).alias("rank"), "score", "label")
+    path = work_dir(spark, "lexicon")
+    ranked.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query
+def document_sentiment_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by a lexicon of tens of thousands of terms."""
+    documents = table(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    return lexicon.score_by_lexicon(documents, ["doc_id"], _large_lexicon(spark, sf_dir), "text")
+
+
+@query
+def conversation_sentiment_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return lexicon.score_by_lexicon(turns, ["conv_id", "turn", "role"], _large_lexicon(spark, sf_dir), "text")
+
+
+# Nothing vanishes: what streams counted, and what they left out
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sent = topics.chat_records(chat(spark, sf_dir))
+    cut = F.when(F.col("offset") % 11 == 0, F.substring(F.col("value"), 1, 9))
+    return sent.withColumn("value", cut.when(F.col("offset") % 13 != 0, F.col("value")))
+
+
+@query
+def fused_stream_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one-query form over a damaged topic: what it counted, from the table of metrics, and what was kept beside it."""
+    out = work_dir(spark, "accounts")
+    kept = topics.FileTopics(f"{out}/topics")
+    kept.write(_damaged(spark, sf_dir), CHAT_TOPIC)
+    log, every = metrics.MetricsLog(spark, f"{out}/metrics"), streams.wire.ALL_AVAILABLE
+    spark.streams.addListener(log)
+    try:
+        alerting = streams.start_alerts(spark, kept, f"{out}/alerts", DAY_HOP, trigger=every, mode="append")
+        alerting.awaitTermination()
+        log.wait_for(alerting)
+    finally:
+        spark.streams.removeListener(log)
+    streams.start_rejected(spark, kept, f"{out}/rejected", every).awaitTermination()
+    counted = metrics.read_metrics(spark, f"{out}/metrics")
+    total = lambda name: F.sum(F.when(F.col("metric") == name, F.col("value"))).cast("bigint").alias(name)
+    sums = counted.agg(total("records"), total("rejected"), total("messages"), total("negative_messages"))
+    return sums.crossJoin(kept.read(spark, REJECTED_TOPIC).agg(F.count("*").alias("kept")))
+
+
+@query
+def score_topic_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A damaged score topic: what alerting takes and what is kept beside it are every record."""
+    out = work_dir(spark, "score-rejected")
+    kept = topics.FileTopics(f"{out}/topics")
+    sent = topics.score_records(_scored(spark, sf_dir))
+    cut = F.when(F.col("offset") % 11 == 0, F.substring(F.col("value"), 1, 9)).otherwise(F.col("value"))
+    kept.write(sent.withColumn("value", cut), SCORE_TOPIC)
+    every = streams.wire.ALL_AVAILABLE
+    streams.start_rejected(spark, kept, f"{out}/rejected", every, source=SCORE_TOPIC).awaitTermination()
+    good = topics.sentiment_scores(kept.read(spark, SCORE_TOPIC)).filter("error_code IS NULL")
+    value = F.from_json(F.col("value").cast("string"), "errorCode STRING, value STRING")
+    bad = kept.read(spark, REJECTED_TOPIC).select("partition", "offset", value["errorCode"].alias("error_code"))
+    return good.select("partition", "offset", "error_code").unionByName(bad)

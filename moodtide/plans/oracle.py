@@ -75,6 +75,26 @@ def _text_mood(text: str, columns: str, source: str) -> str:
         ELSE 'Neutral' END AS label FROM {source})"""
 
 
+def _large(columns: str, source: str) -> str:
+    """The first in the alphabet of all runs of five letters or more in the documents that a text holds; of those with
+    the same seven letters at the beginning, the long ones first. Such a term lies within a run of the text, so
+    it is looked for once in every different run."""
+    return f"""WITH terms AS (
+        SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{5,}}')) AS term FROM documents
+      ), texts AS MATERIALIZED (
+        SELECT row_number() OVER () AS row, {columns}, list_distinct(regexp_extract_all(lower(text), '[a-z]{{5,}}')) AS runs
+        FROM {source} WHERE text IS NOT NULL
+      ), held AS (SELECT row, unnest(runs) AS run FROM texts),
+      places AS (SELECT run, unnest(range(1, length(run) - 3)) AS place FROM (SELECT DISTINCT run FROM held)),
+      best AS (
+        SELECT run, min(left(term, 7) || CASE WHEN length(term) > 8 THEN '+' ELSE '-' END) AS first
+        FROM places JOIN terms ON substr(run, place, 5) = left(term, 5) AND substr(run, place, length(term)) = term GROUP BY run
+      ), hits AS (SELECT row, min(first) AS first FROM held JOIN best USING (run) GROUP BY row)
+      SELECT {columns}, CASE right(first, 1) WHEN '+' THEN 0.8::DOUBLE WHEN '-' THEN -0.6::DOUBLE ELSE 0::DOUBLE END AS sentiment_score,
+             CASE right(first, 1) WHEN '+' THEN 'Positive' WHEN '-' THEN 'Negative' ELSE 'Neutral' END AS sentiment_label
+      FROM texts LEFT JOIN hits USING (row)"""
+
+
 _DOUBTFUL = """d AS (
   SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id,
          CASE WHEN event_id % 5 = 0 THEN '' WHEN event_id % 7 <> 0 THEN event_type END AS message,
@@ -103,6 +123,19 @@ mark AS (SELECT file, max(top) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECED
 {_windows(_DAY, _DAY // 2, "f")},
 kept AS (SELECT w.* FROM w JOIN mark USING (file) WHERE mark IS NULL OR we + {_DAY // 2} > mark), {_KEPT_TOTALS}"""
 
+# The windows that a stream's state still holds after a micro-batch: of the rows up to it, those that the watermark
+# left by the files up to another has not closed.
+_SLICED = f"""WITH {_ON_TIME}, f AS (
+  SELECT s.*, (event_id - first) * 8 // (last - first + 1) AS file
+  FROM s CROSS JOIN (SELECT min(event_id) AS first, max(event_id) AS last FROM events)
+), {_windows(_DAY, _DAY // 2, "f")}"""
+
+
+def _open(upto: int, closed_by: int) -> str:
+    kept = f"kept AS (SELECT * FROM w WHERE file <= {upto} AND we + {_DAY // 2} > (SELECT max(ms) FROM f WHERE file <= {closed_by}))"
+    return f"{_SLICED}, {kept}, {_KEPT_TOTALS} SELECT {_MEAN_COLUMNS} FROM t"
+
+
 SQL: dict[str, str] = {
     "src_chat_messages": f"""WITH {_ON_TIME}
       SELECT user_id AS key, part AS "partition", event_id AS "offset", user_id, ms AS "timestamp", message FROM m""",
@@ -207,4 +240,29 @@ SQL: dict[str, str] = {
     "alerts_stream_late": f"""{_LATE_STREAM} SELECT {_RECORD_COLUMNS} FROM t""",
     "alerts_fused_stream": f"""{_MEANS}
       SELECT {_ALERT_COLUMNS} FROM t WHERE we + {_DAY // 2} <= (SELECT max(ms) FROM s)""",
+    "alert_changelog_stream": f"""{_RUNNING} {_SETTLED}""",
+    "late_rows_stream": f"""{_REPLAY}
+      SELECT user_id, part AS "partition", event_id AS "offset", ws AS window_start, stream_time
+      FROM w WHERE we + {_DAY // 2} <= stream_time""",
+    "late_drop_alerts_stream": f"""{_REPLAY}, {_KEPT_TOTALS} SELECT {_ALERT_COLUMNS} FROM t""",
+    "alerts_stream_joined": f"""{_MEANS}
+      SELECT {_ALERT_COLUMNS} FROM t WHERE we + {_DAY // 2} <= (SELECT max(ms) FROM s)""",
+    "alerts_stream_once": f"""{_MEANS}
+      SELECT {_ALERT_COLUMNS} FROM t WHERE we + {_DAY // 2} <= (SELECT max(ms) FROM s)""",
+    "alerts_once": f"""{_MEANS} SELECT {_ALERT_COLUMNS} FROM t""",
+    "alert_state_current": _open(7, 7),
+    "alert_state_earlier": _open(4, 3),
+    "hopping_decayed_avg": f"""WITH {_DAY_WINDOWS}, a AS (SELECT *, pow(0.5::DOUBLE, (we - ms) / {_DAY // 4}) AS worth FROM w)
+      SELECT user_id, ws AS window_start, we AS window_end, {_round('sum(score * worth) / sum(worth)')} AS decayed_score
+      FROM a GROUP BY user_id, ws, we""",
+    "hopping_avg_keyed": f"""{_MEANS} SELECT {_MEAN_COLUMNS} FROM t""",
+    "sum_count_join_keyed": f"""{_MEANS} SELECT {_MEAN_COLUMNS} FROM t""",
+    "document_sentiment_large": _large("doc_id", "documents"),
+    "conversation_sentiment_large": _large("conv_id, turn, role", "conversations"),
+    "fused_stream_accounts": f"""WITH {_ON_TIME}
+      SELECT count(*) AS records, count(*) FILTER (bad) AS rejected, count(*) FILTER (NOT bad) AS messages,
+             count(*) FILTER (NOT bad AND score < 0) AS negative_messages, count(*) FILTER (bad) AS kept
+      FROM (SELECT *, event_id % 11 = 0 OR event_id % 13 = 0 AS bad FROM s)""",
+    "score_topic_quarantine": f"""WITH {_ON_TIME}
+      SELECT part AS "partition", event_id AS "offset", CASE WHEN event_id % 11 = 0 THEN '2002' END AS error_code FROM m""",
 }

@@ -51,15 +51,26 @@ def chat(spark: SparkSession, sf_dir: str, hold_back_every: int | None = None) -
     return events_as_chat(table(spark, sf_dir, "events"), hold_back_every)
 
 
-def in_files(events: DataFrame, path: str, files: int) -> str:
-    """The event table written under ``path`` as that many files, one after the other by event id, so that
-    a stream takes them in event order: file ``n`` holds ids ``i`` with ``(i - first) * files div
-    (last - first + 1) = n``. Each file is one task's work, which bounds how far this scales."""
+# Rows of a slice of the event table that one file, and so one task, takes at most.
+ROWS_PER_FILE = 1 << 20
+
+
+def in_slices(events: DataFrame, path: str, slices: int, repeats: int = 0) -> int:
+    """The event table written under ``path`` as that many slices, one after the other by event id, so that a
+    stream takes them in event order: slice ``n`` holds ids ``i`` with ``(i - first) * slices div
+    (last - first + 1) = n``, and the first one those without an id. With ``repeats`` each holds the rows of so
+    many slices before it again, as a source does that delivers twice. Gives the files of a slice, as many for
+    each as the largest needs: what a stream has to take a micro-batch to get them one by one."""
     first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
-    for n in range(files if first is not None else 0):
-        number = F.floor((F.col("event_id") - first) * files / (last - first + 1))
-        events.filter(number == n).coalesce(1).write.mode("append").parquet(path)
-    return path
+    slice_of = F.coalesce(F.floor((F.col("event_id") - first) * slices / (last - first + 1)), F.lit(0)) if first is not None else F.lit(0)
+    sizes = events.groupBy(slice_of.alias("slice")).count().agg(F.max("count")).first()[0] or 0
+    each = max(1, -(-sizes * (1 + repeats) // ROWS_PER_FILE))
+    for n in range(slices):
+        some = events.filter(slice_of.between(n - repeats, n))
+        # An empty partition gives no file: rows are dealt evenly, and there are more rows than files.
+        some = some.coalesce(1) if each == 1 else some.repartition(each)
+        some.write.mode("append").parquet(path)
+    return each
 
 
 def chat_stream_of(

@@ -17,12 +17,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from moodtide.functions.sentiment import Scorer
-from moodtide.operators.alerts import observe_alerts, observe_scores, to_alerts, to_records
-from moodtide.operators.windows import DEFAULT_HOP, Hop
+from moodtide.operators.alerts import observe_alerts, observe_records, observe_scores, to_alerts, to_records
+from moodtide.operators.duplicates import once
+from moodtide.operators.windows import (
+    DEFAULT_HOP,
+    Hop,
+    assign_windows,
+    flatten_window,
+    join_sum_count,
+    window_count,
+    window_sum,
+)
 from moodtide.plans.pipeline import scores, window_means
 from moodtide.schemas import ALERT_TOPIC, CHAT_TOPIC, REJECTED_TOPIC, SCORE_TOPIC
 from moodtide.sources import topics as wire
-from moodtide.sources.records import upsert_records, write_changes
+from moodtide.sources.records import KEPT, sweep, upsert_records, write_changes
 
 # Every batch of an upsert rewrites what it touches: seconds would pile up rewrites.
 EVERY_MINUTES = {"processingTime": "5 minutes"}
@@ -34,6 +43,19 @@ def alert_stream(scored: DataFrame, hop: Hop = DEFAULT_HOP, threshold: float | N
     return to_alerts(window_means(scored.withWatermark("event_time", hop.grace), hop), threshold)
 
 
+def joined_alert_stream(scored: DataFrame, hop: Hop = DEFAULT_HOP, threshold: float | None = None) -> DataFrame:
+    """The same as ``alert_stream`` from two tables joined: sums and counts are aggregated apart and meet on user and
+    window (J1). Three stateful operators in one query, for append mode alone: a window's sum and count leave
+    their state when the watermark closes it, and the join's state with them."""
+    windowed = assign_windows(scored.withWatermark("event_time", hop.grace), hop)
+    return to_alerts(flatten_window(join_sum_count(window_sum(windowed), window_count(windowed))), threshold)
+
+
+def alert_stream_once(scored: DataFrame, hop: Hop = DEFAULT_HOP, threshold: float | None = None) -> DataFrame:
+    """``alert_stream`` of a topic that may deliver records again: each counts once. For append mode."""
+    return to_alerts(window_means(once(scored, hop.grace), hop), threshold)
+
+
 def start_change_log(
     alerts: DataFrame,
     path: str,
@@ -57,13 +79,17 @@ def start_upsert(
     trigger: dict | None = None,
     created_at: dt.datetime | None = None,
     name: str | None = None,
+    keep: int = KEPT,
 ) -> StreamingQuery:
-    """Update mode: each micro-batch is merged into the alert table by key. The aggregation gives
-    one row per key and batch, so a batch needs no dedupe of its own. Each batch rewrites the
-    parts of the table that it touches, every five minutes by default; a change log writes less."""
+    """Update mode: each micro-batch is merged into the alert table by key, a version of the table each. The
+    aggregation gives one row per key and batch, so a batch needs no dedupe of its own. Each batch rewrites
+    the parts of the table that it touches, every five minutes by default; a change log writes less.
+    Versions before the last ``keep`` are swept every so many batches."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         upsert_records(batch.sparkSession, to_records(batch, created_at), base, checkpoint, batch_id)
+        if batch_id % keep == keep - 1:
+            sweep(batch.sparkSession, base, keep)
 
     return _start(alerts, merge, checkpoint, trigger or EVERY_MINUTES, name)
 
@@ -82,7 +108,10 @@ def read_chat(spark: SparkSession, topics: wire.Topics) -> DataFrame:
 
 
 def _usable(decoded: DataFrame) -> DataFrame:
-    return decoded.filter(F.col("error_code").isNull())
+    """Good records; how many there were in all, and how many bad ones, comes with the progress (metrics
+    ``records``)."""
+    counted, _ = observe_records(decoded)
+    return counted.filter(F.col("error_code").isNull())
 
 
 def start_scoring(
@@ -100,10 +129,17 @@ def start_scoring(
 
 
 def start_rejected(
-    spark: SparkSession, topics: wire.Topics, checkpoint: str, trigger: dict | None = None, name: str | None = REJECTED_TOPIC
+    spark: SparkSession,
+    topics: wire.Topics,
+    checkpoint: str,
+    trigger: dict | None = None,
+    name: str | None = REJECTED_TOPIC,
+    source: str = CHAT_TOPIC,
 ) -> StreamingQuery:
-    """Chat topic to the topic of what scoring cannot use: together with the scores it is every record."""
-    rejected = wire.rejected_records(read_chat(spark, topics))
+    """A topic's records that its next stage cannot use, to a topic of their own: of the chat topic what scoring leaves
+    out, of the score topic what alerting does. Together with what that stage takes it is every record."""
+    decode = {CHAT_TOPIC: wire.chat_messages, SCORE_TOPIC: wire.sentiment_scores}[source]
+    rejected = wire.rejected_records(decode(topics.read(spark, source, streaming=True)))
     return topics.write(rejected, REJECTED_TOPIC, checkpoint, trigger, name=name)
 
 
@@ -131,7 +167,7 @@ def start_alerting(
     name: str | None = ALERT_TOPIC,
 ) -> StreamingQuery:
     """Score topic to alert topic: every update of a window's mean, or with ``mode="append"`` the final
-    alerts. Counts come with each progress report (metrics ``alerts``)."""
+    alerts. What does not decode is counted, and kept by ``start_rejected`` of the score topic. Counts come with each progress report (metrics ``alerts``)."""
     return _alert_topic(read_scores(spark, topics), topics, checkpoint, hop, threshold, trigger, mode, name)
 
 
@@ -147,7 +183,8 @@ def start_alerts(
     name: str | None = f"{CHAT_TOPIC}-to-{ALERT_TOPIC}",
 ) -> StreamingQuery:
     """The whole dataflow as one query, chat topic to alert topic: no score topic, one hop less, and
-    record time kept on any topics."""
+    record time kept on any topics. What it cannot use is counted (metrics ``records``); ``start_rejected`` beside it
+    keeps it."""
     scored, _ = observe_scores(scores(_usable(read_chat(spark, topics)), scorer))
     return _alert_topic(scored, topics, checkpoint, hop, threshold, trigger, mode, name)
 
@@ -161,9 +198,9 @@ def start_topology(
     trigger: dict | None = None,
     scorer: Scorer | None = None,
     mode: str = "update",
-) -> tuple[StreamingQuery, StreamingQuery, StreamingQuery]:
-    """All stages, side by side: scoring, what it rejects, and alerting on what it writes. If one cannot
-    start, those started before it are stopped."""
+) -> tuple[StreamingQuery, StreamingQuery, StreamingQuery, StreamingQuery]:
+    """All stages, side by side: scoring, what it rejects, alerting on what it writes, and what that rejects. If one
+    cannot start, those started before it are stopped."""
     if mode not in topics.modes:
         raise ValueError(f"{type(topics).__name__} take {', '.join(topics.modes)}, not {mode}")
     started: list[StreamingQuery] = []
@@ -173,6 +210,8 @@ def start_topology(
         started.append(
             start_alerting(spark, topics, f"{checkpoint}/{ALERT_TOPIC}", hop, threshold, trigger, mode)
         )
+        rejecting = f"{checkpoint}/{SCORE_TOPIC}-{REJECTED_TOPIC}"
+        started.append(start_rejected(spark, topics, rejecting, trigger, f"{SCORE_TOPIC}-{REJECTED_TOPIC}", SCORE_TOPIC))
     except Exception:
         for query in started:
             query.stop()
@@ -181,4 +220,4 @@ def start_topology(
 
 
 def _start(alerts: DataFrame, on_batch, checkpoint: str, trigger: dict | None, name: str | None) -> StreamingQuery:
-    return wire.start(alerts.writeStream.outputMode("update").foreachBatch(on_batch), checkpoint, trigger, name)
+    return wire.start(alerts.writeStream.outputMode("update").foreachBatch(wire.brief(on_batch)), checkpoint, trigger, name)

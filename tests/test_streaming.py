@@ -133,27 +133,45 @@ def test_upsert_touches_only_its_dates_and_writers_do_not_collide(spark, tmp_pat
     base = str(tmp_path / "table")
     assert table(spark, base) == set()
     records.upsert_records(spark, alert_rows(spark, ("a", 1, "x"), ("b", 1, "x"), ("a", 2, "x"), ("c", 3, "x")), base, "w", 0)
-    day = tmp_path / "table/records/window_date=1970-01-03"
-    modified = lambda: {name: os.stat(day / name).st_mtime_ns for name in os.listdir(day)}
-    untouched = modified()
+    first = records.version(spark, base)
     records.upsert_records(spark, alert_rows(spark, ("a", 1, "y"), ("d", 3, "y")), base, "w", 1)
     expected = {("a", 1, "y"), ("b", 1, "x"), ("a", 2, "x"), ("c", 3, "x"), ("d", 3, "y")}
     assert table(spark, base) == expected
-    assert modified() == untouched
+    second = records.version(spark, base)
+    stayed = {key for key in first.parts if second.parts[key] == first.parts[key]}
+    assert {date for date, _ in stayed} >= {"1970-01-03"} and second.number == 2
     # The same batch number from another writer is another batch; an empty batch changes nothing.
     records.upsert_records(spark, alert_rows(spark, ("e", 2, "z")), base, "other", 1)
     records.upsert_records(spark, alert_rows(spark), base, "other", 2)
-    assert table(spark, base) == expected | {("e", 2, "z")}
+    records.upsert_records(spark, alert_rows(spark, ("e", 2, "again")), base, "other", 1)
+    assert table(spark, base) == expected | {("e", 2, "z")} and records.versions(spark, base) == [1, 2, 3]
+    only = records.read_records(spark, base, since=dt.date(1970, 1, 3), until=dt.date(1970, 1, 3))
+    assert {(r.user_id, r.alert_message) for r in only.collect()} == {("a", "x"), ("e", "z")}
+    assert all("window_date=1970-01-03" in path for path in only.inputFiles())
 
 
-def lose(folder):
-    """What a driver leaves that dies while it replaces parts."""
-    for path in folder.rglob("*"):
-        if path.is_file():
-            path.unlink()
-
-
-@pytest.mark.parametrize("step", ["changes", "stage", "publish"])
+def test_readers_keep_the_version_they_began_with(spark, tmp_path):
+    base = str(tmp_path / "table")
+    records.upsert_records(spark, alert_rows(spark, ("a", 1, "x"), ("b", 1, "x")), base, "w", 0)
+    began = records.read_records(spark, base)
+    seen = []
+
+    def publish(spark_, base_, made, publish=records._publish):
+        # All parts of the next version are written, and none of them shows.
+        seen.append(table(spark, base))
+        done = publish(spark_, base_, made)
+        seen.append(table(spark, base))
+        return done
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(records, "_publish", publish)
+        records.upsert_records(spark, alert_rows(spark, ("a", 1, "y"), ("c", 2, "y")), base, "w", 1)
+    assert seen == [{("a", 1, "x"), ("b", 1, "x")}, {("a", 1, "y"), ("b", 1, "x"), ("c", 2, "y")}]
+    assert {(r.user_id, r.alert_message) for r in began.collect()} == {("a", "x"), ("b", "x")}
+    assert {r.user_id for r in records.read_records(spark, base, 1).collect()} == {"a", "b"}
+
+
+@pytest.mark.parametrize("step", ["read", "write", "before", "after"])
 @pytest.mark.parametrize("writer", ["w", "other"])
 def test_upsert_after_a_crash_at_every_step(spark, tmp_path, monkeypatch, step, writer):
     """Whoever comes next, the same writer with the same batch or another with its own, nothing is lost."""
@@ -163,17 +181,16 @@ def test_upsert_after_a_crash_at_every_step(spark, tmp_path, monkeypatch, step,
     batch = alert_rows(spark, ("a", 1, "y"))
 
     def die(*args):
-        if step == "publish":
-            lose(tmp_path / "table/records/window_date=1970-01-02")
+        if step == "after":
+            publish(*args)
         raise KeyboardInterrupt
 
+    publish = records._publish
     with monkeypatch.context() as broken:
-        if step == "changes":
-            broken.setattr(records, "_read", die)
-        elif step == "stage":
-            broken.setattr(records, "_mark", die)
+        if step == "write":
+            broken.setattr(records, "uuid", SimpleNamespace(uuid4=die))
         else:
-            broken.setattr(records, "_publish", die)
+            broken.setattr(records, "_read" if step == "read" else "_publish", die)
         with pytest.raises(KeyboardInterrupt):
             records.upsert_records(spark, batch, base, "w", 1)
 
@@ -183,10 +200,40 @@ def test_upsert_after_a_crash_at_every_step(spark, tmp_path, monkeypatch, step,
         expected |= {("a", 1, "y")}
     else:
         records.upsert_records(spark, alert_rows(spark, ("c", 3, "z")), base, "other", 1)
-        expected |= {("a", 1, "y" if step == "publish" else "x"), ("c", 3, "z")}
+        expected |= {("a", 1, "y" if step == "after" else "x"), ("c", 3, "z")}
     assert table(spark, base) == expected
 
 
+def test_of_two_writers_at_once_both_are_kept(spark, tmp_path):
+    base = str(tmp_path / "table")
+    records.upsert_records(spark, alert_rows(spark, ("a", 1, "x")), base, "w", 0)
+    publish, first = records._publish, []
+
+    def overtaken(*args):
+        if not first:
+            first.append(True)
+            records.upsert_records(spark, alert_rows(spark, ("a", 1, "y"), ("b", 1, "y")), base, "other", 0)
+        return publish(*args)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(records, "_publish", overtaken)
+        records.upsert_records(spark, alert_rows(spark, ("a", 1, "z")), base, "w", 1)
+    assert table(spark, base) == {("a", 1, "z"), ("b", 1, "y")} and records.versions(spark, base) == [1, 2, 3]
+
+
+def test_sweep_keeps_what_kept_versions_name(spark, tmp_path):
+    base = str(tmp_path / "table")
+    for batch, text in enumerate("vwxyz"):
+        records.upsert_records(spark, alert_rows(spark, ("a", 1, text), ("b", batch, "x")), base, "w", batch)
+    before = {n: sorted(map(str, records.read_records(spark, base, n).collect())) for n in (4, 5)}
+    records.sweep(spark, base, keep=2)
+    assert records.versions(spark, base) == [4, 5]
+    assert {n: sorted(map(str, records.read_records(spark, base, n).collect())) for n in (4, 5)} == before
+    found = {str(p.parent.relative_to(tmp_path / "table")) for p in (tmp_path / "table/data").rglob("*.parquet")}
+    wanted = {f.removeprefix(f"{base}/") for n in (4, 5) for f in records.version(spark, base, n).folders(base)}
+    assert found == wanted
+
+
 def test_compacted_log_reads_as_before(spark, tmp_path):
     path = str(tmp_path / "log")
     for batch, rows in enumerate([(("a", 1, "x"), ("b", 1, "x")), (("a", 1, "y"),), (("c", 1, "x"),), (("b", 1, "z"),)]):
@@ -195,7 +242,30 @@ def test_compacted_log_reads_as_before(spark, tmp_path):
     for _ in range(2):
         records.compact_changes(spark, path, 2)
         assert sorted(map(str, records.latest_records(records.read_changes(spark, path)).collect())) == before
-    assert sorted(os.listdir(path)) == ["batch_id=2", "batch_id=3"]
+    assert records.read_changes(spark, path).count() == 4
+    records.write_changes(alert_rows(spark, ("d", 1, "x")), path, 4)
+    records.compact_changes(spark, path, 4)
+    assert [name.split("=")[0][:10] for name in sorted(os.listdir(path))] == ["_compacted"] * 2 + ["batch_id"] * 2
+    assert records.read_changes(spark, path).count() == 4
+
+
+@pytest.mark.parametrize("written", [0, 1, 2])
+def test_compaction_after_a_crash_loses_nothing(spark, tmp_path, monkeypatch, written):
+    """Dead before it writes, with a part of it written, and with all of it written but nothing deleted."""
+    path = str(tmp_path / "log")
+    for batch, rows in enumerate([(("a", 1, "x"), ("b", 1, "x")), (("a", 1, "y"),), (("b", 1, "z"),)]):
+        records.write_changes(alert_rows(spark, *rows), path, batch)
+    before = sorted(map(str, records.latest_records(records.read_changes(spark, path)).collect()))
+    records.compact_changes(spark, path, 0)
+    if written:
+        records.compact_changes(spark, path, 1)
+    if written == 1:
+        # The marker of a complete write comes last.
+        os.unlink(f"{records._aside(path, 1)}/_SUCCESS")
+    for upto in (1, 2, 2):
+        assert sorted(map(str, records.latest_records(records.read_changes(spark, path)).collect())) == before
+        records.compact_changes(spark, path, upto)
+    assert sorted(map(str, records.latest_records(records.read_changes(spark, path)).collect())) == before
 
 
 def test_change_log_is_idempotent_and_keeps_the_latest(spark, tmp_path):
@@ -230,10 +300,10 @@ def test_one_batch_stream_equals_batch(spark, sf_dir, folder):
 
 def test_event_files_are_taken_one_a_batch_in_order(spark, sf_dir, folder):
     from moodtide.plans.catalog import DAY_HOP
-    from moodtide.sources.tables import chat_stream_of, in_files, table
+    from moodtide.sources.tables import chat_stream_of, in_slices, table
 
     events = table(spark, sf_dir, "events")
-    stream = chat_stream_of(spark, events.schema, in_files(events, str(folder / "events"), 8))
+    stream = chat_stream_of(spark, events.schema, str(folder / "events"), in_slices(events, str(folder / "events"), 8))
     alerts = streams.alert_stream(pipeline.scores(stream), DAY_HOP)
     query = run(streams.start_change_log(alerts, str(folder / "log"), str(folder / "cp"), topics.ALL_AVAILABLE, MADE, "mood"))
     batches = [p for p in query.recentProgress if p["numInputRows"]]
@@ -317,8 +387,9 @@ def test_topology_runs_both_stages_side_by_side(spark, tmp_path):
     kept = topics.FileTopics(str(tmp_path / "kept"))
     for topic in ("chat-messages", "sentiment-scores"):
         kept.create(spark, topic)
-    scoring, rejecting, alerting = streams.start_topology(spark, kept, str(tmp_path / "cp"), mode="append")
-    assert [q.name for q in (scoring, rejecting, alerting)] == ["sentiment-scores", "rejected-messages", "warning-alerts"]
+    scoring, rejecting, alerting, refusing = streams.start_topology(spark, kept, str(tmp_path / "cp"), mode="append")
+    names = ["sentiment-scores", "rejected-messages", "warning-alerts", "sentiment-scores-rejected-messages"]
+    assert [q.name for q in (scoring, rejecting, alerting, refusing)] == names
     try:
         when = dt.datetime(2024, 1, 1)
         first = [("U1", "好", 0), ("U1", "难过", 10), ("U1", None, 11), (None, "好", 12)]
@@ -331,6 +402,7 @@ def test_topology_runs_both_stages_side_by_side(spark, tmp_path):
             scoring.processAllAvailable()
             rejecting.processAllAvailable()
             alerting.processAllAvailable()
+            refusing.processAllAvailable()
         sent = kept.read(spark, "warning-alerts")
         text, start = split_windowed_key(F.col("key"))
         rows = sent.select(text, (start - int(when.timestamp()) * 1000) / 1000, F.get_json_object(F.col("value").cast("string"), "$.averageScore"))
@@ -343,7 +415,7 @@ def test_topology_runs_both_stages_side_by_side(spark, tmp_path):
         state = [s for p in alerting.recentProgress for s in p["stateOperators"]]
         assert any(name.startswith("rocksdb") for s in state for name in s["customMetrics"])
     finally:
-        for query in (scoring, rejecting, alerting):
+        for query in (scoring, rejecting, alerting, refusing):
             query.stop()
 
 

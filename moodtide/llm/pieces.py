@@ -367,15 +367,15 @@ def decoded(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "
 def piece_counts(
     docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``doc_id``, the columns to ``keep``, ``n_pieces, ids_sha256, round_trip``: one row per row of ``docs``.
-    The digest is of the ids as 4-byte numbers, the lowest byte first. A text comes back as it was, but for
+    """``doc_id``, the columns to ``keep``, ``n_pieces, ids_sha256, round_trip, ids``: one row per row of ``docs``, which may
+    repeat; an empty table gives none. Texts are encoded and decoded whole, however long. The digest is of the ids as 4-byte numbers, the lowest byte first. A text comes back as it was, but for
     U+2581, which is how the model writes a space, and null, which comes back empty."""
     vocabulary = Vocabulary.load(model)
     text = F.col(text_col).cast("string").alias("_text")
     narrow = docs.select(F.col(id_col).alias("doc_id"), *keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Both ways in one task, so that no ids travel between processes.
+        # Both ways in one task, so that ids need not come back to be decoded.
         encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
@@ -387,8 +387,10 @@ def piece_counts(
                     for some, text in zip(ids, texts[a:b], strict=True)
                 ]
                 counts = pa.array([len(some) for some in ids], pa.int64())
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
                 kept = batch.slice(a, b - a).columns[:-1]
-                yield pa.RecordBatch.from_arrays([*kept, counts, pa.array(digests), pa.array(same)], names=names)
+                yield pa.RecordBatch.from_arrays([*kept, counts, pa.array(digests), pa.array(same), lists], names=names)
 
     schema = StructType(
         [
@@ -396,6 +398,7 @@ def piece_counts(
             StructField("n_pieces", LongType()),
             StructField("ids_sha256", StringType()),
             StructField("round_trip", BooleanType()),
+            StructField("ids", ArrayType(IntegerType())),
         ]
     )
     names = schema.names

@@ -28,9 +28,9 @@ LEAST_ASSIGNED = 6
 SCOPE = 200
 WEAK = ("identifier", "credential", "token", "endpoint")
 LOOSE = {
-    "identifier": r"""(?i:user(?:_?name)?|login|client_?id|account_?(?:id|name)?|access_?key(?:_?id)?)["']?\x20?[:=]\x20?["']?"""
+    "identifier": r"""(?<![A-Za-z0-9])(?i:user(?:_?name)?|login|client_?id|account_?(?:id|name)?|access_?key(?:_?id)?)["']?\x20?[:=]\x20?["']?"""
     r"[A-Za-z0-9._@-]{3,}+",
-    "credential": r"""(?i:pwd|pass|passphrase|credential|private_?key|auth)["']?\x20?[:=]\x20?["']?[^\s"']{6,}+""",
+    "credential": r"""(?<![A-Za-z0-9])(?i:pwd|pass|passphrase|credential|private_?key|auth)["']?\x20?[:=]\x20?["']?[^\s"']{6,}+""",
     "token": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}+={0,2}+",
     "endpoint": r"(?i:https?|ftps?|ssh|jdbc:[a-z]{2,}|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s\"'<>]++",
 }
@@ -65,29 +65,40 @@ def weak_spans(text: Column) -> dict[str, Column]:
 
 
 def detected(rows: DataFrame, text_col: str) -> DataFrame:
-    """``rows`` and ``_base``, all exact spans, and ``_weak``, loose ones clear of them."""
+    """``rows`` and ``_base``, all exact spans, and ``_weak``, all loose ones."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     out = worked_out(rows, **{f"_{kind}": found for kind, found in base_spans(text).items()})
     exact = F.concat(*[tagged(F.col(f"_{kind}"), kind, rank) for rank, kind in enumerate(BASE)])
     out = worked_out(out, _base=exact).drop(*[f"_{kind}" for kind in BASE])
     weak = F.concat(*[tagged(found, kind, rank + len(BASE)) for rank, (kind, found) in enumerate(weak_spans(text).items())])
-    clear = lambda x: ~F.exists("_base", lambda e: (e["start"] < x["end"]) & (x["start"] < e["end"]))
-    return worked_out(out, _weak=F.filter(weak, clear))
+    return worked_out(out, _weak=weak)
+
+
+def clear(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Parts without the loose ones that share text with an exact one, by running bounds along the text: no part is
+    compared with all others."""
+    base = ~F.col("kind").isin(*WEAK)
+    ordered = Window.partitionBy(*keys).orderBy("start", "rank", "end").rowsBetween(Window.unboundedPreceding, -1)
+    turned = Window.partitionBy(*keys).orderBy(F.desc("start"), F.desc("rank"), F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.max(F.when(base, F.col("end"))).over(ordered), F.col("start"))
+    after = F.coalesce(F.min(F.when(base, F.col("start"))).over(turned), F.col("end"))
+    bound = parts.withColumns({"_before": before, "_after": after})
+    return bound.filter(base | (F.col("_before") <= F.col("start")) & (F.col("_after") >= F.col("end"))).select(*parts.columns)
 
 
 def linked(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Weak parts with a complement at most ``SCOPE`` code points before or after them, from ``keys, start, rank, kind, end``."""
+    """Weak parts with a complement at most ``SCOPE`` code points before or after them, from ``keys, start, rank, kind, end``.
+    What shares text with a part is no complement of it."""
     role = F.create_map(*[F.lit(x) for pair in ROLE.items() for x in pair])[F.col("kind")]
-    rows = parts.distinct().withColumn("role", role)
+    rows = clear(parts.distinct(), keys).withColumn("role", role)
     # Each part at its start (``_side`` 0) and at its end.
     sides = rows.select("*", F.posexplode(F.array("start", "end")).alias("_side", "_at"))
-    upto = Window.partitionBy(*keys).orderBy("_at")
-    begun = upto.rangeBetween(Window.unboundedPreceding, SCOPE)
-    over = upto.rangeBetween(Window.unboundedPreceding, -SCOPE - 1)
+    place = Window.partitionBy(*keys).orderBy("_at")
     is_of = lambda r, side: ((F.col("role") == r) & (F.col("_side") == side)).cast("int")
     counts = {
-        f"_near_{r}": F.when(F.col("_side") == 1, F.sum(is_of(r, 0)).over(begun))
-        .otherwise(-F.coalesce(F.sum(is_of(r, 1)).over(over), F.lit(0)))
+        # What begins from the part's end on, and what has ended by its start.
+        f"_near_{r}": F.when(F.col("_side") == 1, F.sum(is_of(r, 0)).over(place.rangeBetween(0, SCOPE)))
+        .otherwise(F.sum(is_of(r, 1)).over(place.rangeBetween(-SCOPE, 0)))
         for r in COMPLEMENT
     }
     told = sides.withColumns(counts)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -76,12 +77,25 @@ def test_keep_good_keeps_columns_and_agrees(documents, odd, none):
     assert rows(rules.keep_good(none)) == []
 
 
-def test_small_groups_use_larger_sketches(spark):
-    few, many = [("en", "small")] * 3, [("en", "large")] * 200
-    text = " ".join(f"word{i}" for i in range(60))
-    docs = spark.createDataFrame([(i, text, *g) for i, g in enumerate(few + many)], "doc_id int, text string, lang string, source string")
-    cutoffs = rules.thresholds(rules.sketches(rules.cheap_measures(docs))).collect()
-    assert len({tuple(row)[2:] for row in cutoffs}) == 1
+def cutoffs_of(spark, groups, text):
+    docs = spark.createDataFrame([(i, text(g), *g[:2]) for i, g in enumerate(groups)], "doc_id int, text string, lang string, source string")
+    found = rules.thresholds(rules.sketches(rules.cheap_measures(docs))).collect()
+    return {(row.lang, row.source): row for row in found}
+
+
+def test_one_document_moves_a_cutoff_by_its_share(spark):
+    """Around what once was the least size of a group: the source's own short words draw its cutoffs away from the others'."""
+    text = lambda g: " ".join(("w" if g[1] == "small" else "much longer words ") + str(i) for i in range(60))
+    at = [cutoffs_of(spark, [("en", "small")] * n + [("en", "large")] * 400, text)[("en", "small")].length_hi for n in (99, 100, 101)]
+    own = cutoffs_of(spark, [("en", "small")] * 100, text)[("en", "small")].length_hi
+    assert at == sorted(at, reverse=True) and at[0] - at[-1] <= 2 and own < at[-1]
+
+
+def test_a_rare_language_is_judged_by_its_own_words(spark):
+    text = lambda g: " ".join(("Überaus lange Wörter" if g[0] == "xx" else "a b c") + str(i) for i in range(60))
+    docs = [("en", "web")] * 500 + [("xx", "web")]
+    frame = spark.createDataFrame([(i, text(g), *g) for i, g in enumerate(docs)], "doc_id int, text string, lang string, source string")
+    assert {row.doc_id for row in rules.quality_verdicts(frame).filter("kept").collect()} >= {500}
 
 
 # --- fingerprints --------------------------------------------------------------------------------
@@ -252,7 +266,8 @@ def test_parts_longer_than_scope_are_linked(spark, gap):
     ]
     rows = spark.createDataFrame(parts, "doc int, start int, rank int, kind string, end int")
     got = sorted(tuple(row) for row in credentials.linked(rows, ["doc"]).collect())
-    assert got == sorted(p for p in parts if p[0] == 3 or gap <= credentials.SCOPE)
+    # What lies inside the endpoint is no complement of it.
+    assert got == sorted(p for p in parts if p[0] == 3 and p[3] != "endpoint" or p[0] != 3 and gap <= credentials.SCOPE)
 
 
 def test_weak_parts_are_told_only_together(spark):
@@ -333,3 +348,36 @@ def test_rows_of_the_mix(documents):
     times = Counter(row.doc_id for row in mixing.mixed(documents).collect())
     for row in mixing.mixed_sizes(documents).collect():
         assert abs(times[row.doc_id] * row.size - row.taken) < max(row.size, 1)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "login: aB3dE5fG7hI9jK1lM2nO", "auth: https://example.com/path", "bypass: https://example.com/docs",
+        "compass: northwest user: bob",
+    ],
+)
+def test_a_piece_of_text_is_no_complement_of_itself(spark, text):
+    (row,) = credentials.secrets_found(spark.createDataFrame([(1, text)], "doc_id int, text string")).collect()
+    assert row.spans == ""
+
+
+def test_links_equal_a_scan_of_all_pairs(spark):
+    rng = random.Random(4)
+    kinds, rows = [*credentials.BASE, *credentials.WEAK], set()
+    for key in range(60):
+        for _ in range(rng.randrange(1, 9)):
+            start, rank = rng.randrange(1500), rng.randrange(len(kinds))
+            rows.add((key, start, rank, kinds[rank], start + rng.randrange(1, 150)))
+    weak, role, want = credentials.WEAK, credentials.ROLE, []
+    for key in range(60):
+        own = [r for r in rows if r[0] == key]
+        meets = lambda a, b: a[1] < b[4] and b[1] < a[4]
+        own = [r for r in own if r[3] not in weak or not any(b[3] not in weak and meets(r, b) for b in own)]
+        for r in (r for r in own if r[3] in weak):
+            gap = lambda b, r=r: max(b[1] - r[4], r[1] - b[4])
+            near = {role[b[3]] for b in own if not meets(r, b) and gap(b) <= credentials.SCOPE}
+            if all(near & set(group) for group in credentials.COMPLEMENT[role[r[3]]]):
+                want.append(r)
+    frame = spark.createDataFrame(sorted(rows), "key int, start int, rank int, kind string, end int")
+    assert want and sorted(map(tuple, credentials.linked(frame, ["key"]).collect())) == sorted(want)

@@ -20,7 +20,9 @@ _HIGH = ", ".join(
 )
 _CUTOFFS = [f"{m}_hi" for m in _MARGIN] + ["length_lo"]
 _CHOSEN = ", ".join(
-    f"CASE WHEN g.total >= 100 THEN g.{c} WHEN l.total >= 100 THEN l.{c} ELSE a.{c} END AS {c}" for c in _CUTOFFS
+    f"(g.total * g.{c} + 100 * {f'((l.total * l.{c} + 100 * a.{c}) // (l.total + 100))' if c in ('symbol_hi', 'dup_line_hi') else f'l.{c}'})"
+    f" // (g.total + 100) AS {c}"
+    for c in _CUTOFFS
 )
 
 QUALITY = rf"""
@@ -62,7 +64,7 @@ ranked AS (
   FROM ranked GROUP BY level, lang, source, measure
 ), cutoffs AS (
   SELECT level, lang, source, max(total) AS total, {_HIGH},
-         max(CASE WHEN measure = 'length' THEN mid - greatest(64, 6 * (mid - low)) END) AS length_lo
+         max(CASE WHEN measure = 'length' THEN greatest(mid - greatest(64, 6 * (mid - low)), 0) END) AS length_lo
   FROM quantiles GROUP BY level, lang, source
 ), chosen AS (
   SELECT g.lang, g.source, {_CHOSEN}

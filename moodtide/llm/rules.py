@@ -3,8 +3,12 @@
 Each document gets a few shares as integer bins. The sketch of a group is the number of its
 documents per bin: sketches merge by adding counts, so a language's is the sum of its sources'
 and the whole corpus's the sum of all, whatever the partitioning. A bin bounds the error of a
-quantile's value. A group with fewer than ``MIN_GROUP`` documents takes its language's sketch,
-and a small language the corpus's.
+quantile's value.
+
+A group's cutoffs are drawn to its language's by ``WEIGHT`` documents' worth, so that they move with
+every document by its share, and there is no size at which they change at once. A language's own are drawn to the whole
+corpus's in the same way, but not those of word length and upper case: by these a document is judged by its own
+language, however rare.
 
 Cutoffs come from the median and the lower tenth, which junk does not move until it is half of a
 group: ``median + SPREAD * (median - lower tenth)``, and at least a margin above the median.
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 from moodtide.llm.common import NOT_SPACES, SPACES, stored, words, worked_out
 
 MIN_WORDS = 50
-MIN_GROUP = 100
+WEIGHT = 100
 SPREAD = 6
 # So many repeated windows of a text are looked up one by one.
 FEW = 4
@@ -31,6 +35,8 @@ LENGTH_BINS = 16
 LAST_LENGTH_BIN = 64 * LENGTH_BINS
 # In bins, what a cutoff stays away from the median at least.
 MARGIN = {"symbol": 52, "upper": 154, "dup_line": 512, "length": 64}
+# Cutoffs that a language has to itself.
+BY_LANGUAGE = ("upper_hi", "length_hi", "length_lo")
 
 # What grouping_id() gives the sketch of a group, of a language, of everything.
 OWN, LANG, ALL = 0, 4, 12
@@ -114,9 +120,15 @@ def sketches(measured: DataFrame, lang_col: str = "lang", source_col: str = "sou
     return rows.groupBy("lang", "source", "measure", "bin").agg(F.count("*").alias("n"))
 
 
+def _of_language(cutoff: str) -> str:
+    if cutoff in BY_LANGUAGE:
+        return f"l.{cutoff}"
+    return f"((l.total * l.{cutoff} + {WEIGHT} * a.{cutoff}) div (l.total + {WEIGHT}))"
+
+
 def thresholds(sketch: DataFrame) -> DataFrame:
     """``lang, source, symbol_hi, upper_hi, dup_line_hi, length_lo, length_hi`` (in bins) for
-    every group of the sketch, from its own, its language's or the whole sketch."""
+    every group of the sketch, from its own, its language's and the whole sketch."""
     spark = sketch.sparkSession
     cutoffs = ", ".join(
         [
@@ -124,7 +136,7 @@ def thresholds(sketch: DataFrame) -> DataFrame:
             for m in MARGIN
         ]
         + [
-            f"max(CASE WHEN measure = 'length' THEN mid - greatest({MARGIN['length']}, {SPREAD} * (mid - low)) END)"
+            f"max(CASE WHEN measure = 'length' THEN greatest(mid - greatest({MARGIN['length']}, {SPREAD} * (mid - low)), 0) END)"
             " AS length_lo"
         ]
     )
@@ -145,7 +157,7 @@ def thresholds(sketch: DataFrame) -> DataFrame:
           SELECT level, lang, source, max(total) AS total, {cutoffs} FROM quantiles GROUP BY level, lang, source
         )
         SELECT g.lang, g.source, {", ".join(
-            f"CASE WHEN g.total >= {MIN_GROUP} THEN g.{c} WHEN l.total >= {MIN_GROUP} THEN l.{c} ELSE a.{c} END AS {c}"
+            f"(g.total * g.{c} + {WEIGHT} * {_of_language(c)}) div (g.total + {WEIGHT}) AS {c}"
             for c in [f"{m}_hi" for m in MARGIN] + ["length_lo"]
         )}
         FROM (SELECT * FROM cutoffs WHERE level = {OWN}) g

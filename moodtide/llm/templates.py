@@ -39,14 +39,19 @@ from moodtide.llm.common import stored
 MIN_CLASS = 3
 MIN_SUPPORT = 3
 SUPPORT_PART = 0.1
-# A repeated text is a notice only if it is short and on over half of a host's distinct main texts, MIN_PAGES at least.
-MIN_PAGES = 8
+# A repeated text is a notice only if it is short and on over half of a host's distinct main texts and PRIOR more without it.
+PRIOR = 8
 NOTICE_WORDS = 25
 # A slot is one of the main ones with at least this part of the main text of the host's best slot (less if it
 # is named as main), and at most so much of it linked.
 MAIN_PART = 0.3
 LINKED = 0.5
 ROWS = 256
+# Elements nested deeper than this lie in the container at that depth.
+DEPTH = 256
+# What a block lies in may be named as no main text: for certain, or by a name inside the main text, which counts
+# only for blocks that are mostly links.
+OUT, DOUBTFUL = 1, 2
 
 # Elements of HTML.
 DROPPED = frozenset("head script style noscript template svg math iframe object canvas audio video textarea select button "
@@ -79,6 +84,8 @@ NAMED = re.compile(
 # Those of what is a header outside the main text, and of the main text.
 HEADING = re.compile(r"(?:^|[\s_-])(?:header|top|logo|brand|tagline|copyright|legal)(?:$|[\s_-])", re.I)
 MAIN = re.compile(r"(?:^|[\s_-])(?:article|articlebody|main|content|post|entry|story)(?:$|[\s_-])", re.I)
+# Those of a class that name readers' comments, wherever they stand.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?:$|[\s_-])", re.I)
 UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|$)|display\s*:\s*none", re.I)
 IN_HEAD = frozenset("title meta link script style base noscript template".split())
 
@@ -94,7 +101,8 @@ class Page:
         self.spans: list[list] = []
         self.places: list[int] = []
         self.clock = 0
-        self.stack: list[tuple[str, str, bool, int]] = []
+        self.stack: list[tuple[str, str, int, int]] = []
+        self.heads = 0
         self.opened: list[list | None] = []
         self.text: list[str] = []
         self.linked: list[str] = []
@@ -142,7 +150,7 @@ class Page:
         self._flush()
         if name in VOID:
             return
-        if name not in IN_HEAD and any(above == "head" for above, *_ in self.stack):
+        if name not in IN_HEAD and self.heads:
             # A head that nothing closed ends where the body begins.
             self._leave(next(i for i, above in enumerate(self.stack) if above[0] == "head"))
         closed = CLOSES.get(name, ())
@@ -150,12 +158,17 @@ class Page:
             self._leave(len(self.stack) - 1)
         named = {key.lower(): a or b or c for key, a, b, c in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
         called = " ".join(named.get(key, "") for key in ("class", "id", "role", "itemprop"))
-        _, above, dropped, main = self.stack[-1] if self.stack else ("", "", False, 0)
-        dropped = dropped or name in DROPPED or bool(UNSEEN.search(attributes))
+        _, above, dropped, main = self.stack[-1] if self.stack else ("", "", 0, 0)
         # A header outside the main text is the site's; body, html and main name the page, not a part of it.
-        dropped = dropped or name == "header" and not main
-        if called.strip() and name not in ("html", "body", "main"):
-            dropped = dropped or bool(NAMED.search(called)) or not main and bool(HEADING.search(called))
+        out = OUT if name in DROPPED or UNSEEN.search(attributes) or name == "header" and not main else 0
+        if called.strip() and name not in ("html", "body", "main") and not out:
+            if not main:
+                out = OUT if NAMED.search(called) or HEADING.search(called) else 0
+            elif COMMENTS.search(named.get("class", "")):
+                out = OUT
+            elif NAMED.search(called):
+                out = DOUBTFUL
+        dropped = OUT if OUT in (dropped, out) else dropped or out
         # An article says more than what is called main or content.
         if name == "article":
             main = 2
@@ -165,12 +178,13 @@ class Page:
         if called.strip():
             path += "." + ".".join(sorted(re.sub(r"[0-9]+", "0", called.replace(">", " ")).split()))
         # Blocks of running text are no containers: they take their container's place.
-        container = path if name not in ("p", "li", "tr", "td", "th", "dt", "dd", "blockquote", "pre") and not re.fullmatch("h[1-6]", name) else above
+        container = path if len(self.stack) < DEPTH and name not in ("p", "li", "tr", "td", "th", "dt", "dd", "blockquote", "pre") and not re.fullmatch("h[1-6]", name) else above
         span = None
         if container != above:
             self.containers[container] = self.containers.get(container, 0) + 1
             span = [container, self._tick(), 0]
             self.spans.append(span)
+        self.heads += name == "head"
         self.stack.append((name, container, dropped, main))
         self.opened.append(span)
 
@@ -181,7 +195,7 @@ class Page:
     def _leave(self, depth: int) -> None:
         """Ends the elements below ``depth``, the innermost first."""
         while len(self.stack) > depth:
-            self.stack.pop()
+            self.heads -= self.stack.pop()[0] == "head"
             span = self.opened.pop()
             if span:
                 span[2] = self._tick()
@@ -203,8 +217,10 @@ class Page:
         if self.text:
             text = " ".join(html.unescape("".join(self.text)).split())
             if text:
-                element, container, dropped, main = self.stack[-1] if self.stack else ("", "", False, 0)
-                self.blocks.append((text, container, dropped, main, len("".join(self.linked)), element))
+                element, container, dropped, main = self.stack[-1] if self.stack else ("", "", 0, 0)
+                linked = len("".join(self.linked))
+                out = dropped == OUT or dropped == DOUBTFUL and linked > LINKED * len(text)
+                self.blocks.append((text, container, out, main, linked, element))
                 self.places.append(self._tick())
             self.text, self.linked = [], []
 
@@ -432,9 +448,9 @@ def _template(rows: pa.Table) -> pa.Table:
         if len(left) >= MIN_CLASS:
             template.update(tokens[j] for j in left)
             # Only what comes as often as a part of the page, whatever the page's text is, is no part of that text.
-            if any(members[tokens[j]]["container"] for j in left) and texts[0] >= MIN_PAGES:
+            if any(members[tokens[j]]["container"] for j in left):
                 repeated = (tokens[j] for j in left if members[tokens[j]]["container"] is None)
-                notices += [t for t in repeated if 2 * texts.get(t, 0) > texts[0]]
+                notices += [t for t in repeated if 2 * texts.get(t, 0) > texts[0] + PRIOR]
     known = {"": (0, of)} | {members[t]["container"]: (t, members[t]["pages"]) for t in template if members[t]["container"]}
     fill = {slot: [0, 0] for slot in known}
     for r in facts:

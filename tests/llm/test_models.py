@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -264,3 +265,29 @@ def test_count_is_calibrated_for_recall():
     assert p < least
     hits = (np.abs(rng.standard_normal((20_000, neighbours.PROJECTIONS))) <= neighbours.WINDOW).sum(axis=1)
     assert 0.88 < (hits >= least).mean() and (hits >= p).all()
+
+
+NAMES = """ad advert banner sponsor promo sidebar menu nav navigation breadcrumb footer site-header masthead cookie consent notice
+notification announcement disclaimer alert popup overlay discussion related-work reviews recommended teaser share social newsletter
+subscribe signup login search toolbar pagination widget hidden-figures comments replies""".split()
+
+
+@pytest.mark.parametrize("kind", ["id", "class"])
+def test_names_inside_an_article_keep_its_text(kind):
+    told = "These are sentences of the article itself, which nothing but a name speaks against."
+    for name in NAMES:
+        if kind == "class" and name in ("comments", "replies"):
+            continue
+        body = f'<article><h1>Title</h1><p>First {told}</p><section {kind}="{name}"><p>{told}</p></section><p>Last {told}</p></article>'
+        page = f"<html><body><nav><a href='/'>Home</a></nav>{body}<div class='{name}'><p>Outside, short.</p></div></body></html>"
+        got = templates.main_text(page, [], set())
+        assert got.split("\n\n")[:4] == ["Title", f"First {told}", told, f"Last {told}"], name
+    links = '<article><p>Text of the article.</p><div class="share"><a href="a">One</a> <a href="b">Two</a></div>' \
+            '<div class="comments"><p>A reader says so.</p></div></article>'
+    assert templates.main_text(links, [], set()) == "Text of the article."
+
+
+def test_unclosed_elements_by_the_ten_thousands():
+    began = time.monotonic()
+    got = templates.main_text("<div>" * 100_000 + "<p>Deep inside</p>", [], set())
+    assert got == "Deep inside" and time.monotonic() - began < 20

@@ -96,12 +96,13 @@ def _curve(curves: dict[int, Curve]):
     return run
 
 
-def best(scores: np.ndarray, ids: list[list[int]], order: np.ndarray, top: int, low: int, high: int) -> list[tuple[int, int, int]]:
-    """The ``top`` first ``score, id, row`` from ``low`` to ``high``, by score and then the smaller id; ``order`` sorts the
+def best(scores: np.ndarray, ids: list[list[int]], order: np.ndarray, top: int, low: int, high: int) -> list[tuple[int, int, int, int]]:
+    """The ``top`` first ``score, id, row``, and which of the row's ids, from ``low`` to ``high``, by score and then the smaller id; ``order`` sorts the
     rows by score, the highest first, and then by their smallest id."""
     at = int(np.searchsorted(-scores[order], -high, "left"))
     rows = [row for row in order[at : at + top].tolist() if scores[row] >= low]
-    return sorted(((int(scores[row]), key, row) for row in rows for key in ids[row]), key=lambda e: (-e[0], e[1]))[:top]
+    found = ((int(scores[row]), key, row, nth) for row in rows for nth, key in enumerate(ids[row]))
+    return sorted(found, key=lambda e: (-e[0], e[1]))[:top]
 
 
 _FOUND = "array<struct<score: bigint, vec_id: bigint, same: boolean>>"
@@ -132,7 +133,7 @@ def _cut(top: int, most: int):
                     order = np.lexsort((firsts, -scores))
                     found[row] = [
                         {"score": s, "vec_id": i, "same": other == row}
-                        for s, i, other in best(scores, ids, order, top, LOWEST, HIGHEST)
+                        for s, i, other, _ in best(scores, ids, order, top, LOWEST, HIGHEST)
                     ]
             rest = [None] * (n - 1)
             name = f"{TaskContext.get().partitionId()}-{number}"
@@ -234,11 +235,11 @@ def _read(top: int):
                 ):
                     order = np.lexsort((firsts, -scores))
                     taken = {
-                        (score, key, row)
+                        entry
                         for low, high in zip(windows[::2], windows[1::2], strict=True)
-                        for score, key, row in best(scores, ids, order, top, low, high)
+                        for entry in best(scores, ids, order, top, low, high)
                     }
-                    out += [(k1, k2, score, key) for score, key, _ in sorted(taken)]
+                    out += [(k1, k2, score, key) for score, key, *_ in sorted(taken)]
                 columns = zip(*out, strict=True) if out else [[]] * 4
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), pa.int64()) for c in columns], names=["k1", "k2", "score", "vec_id"]

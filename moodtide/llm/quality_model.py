@@ -203,7 +203,9 @@ def _loss(logit: np.ndarray, truth: np.ndarray) -> float:
 
 def learnt(features: DataFrame, labels: DataFrame, label_col: str, sample: int = SAMPLE) -> Network | None:
     """The network, from at most ``sample`` rows; None without any label to learn from."""
-    rows = learnable(features, labels, label_col, sample).orderBy("place", "doc_id").limit(sample).toPandas()
+    # Rows that share an id are told apart by their features: the order, and so the network, is the same in every run.
+    order = ("place", "doc_id", F.xxhash64("features"))
+    rows = learnable(features, labels, label_col, sample).orderBy(*order).limit(sample).toPandas()
     if not len(rows):
         return None
     x = np.stack(rows["features"].to_numpy()).astype(np.float64)

@@ -6,10 +6,12 @@ from collections import Counter
 
 import oracle
 import pytest
+import sentencepiece
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
 from moodtide.llm import mixing, pieces, pii, rules, simhash
+from moodtide.llm.common import table
 from moodtide.llm.queries import QUERIES, SQL, piece_model
 
 
@@ -53,7 +55,16 @@ def test_pipeline_stage_by_stage(spark, documents, sf_dir):
     sizes = {row.doc_id: len(vocabulary.encode([row.text])[0]) for row in docs.collect()}
     assert all(row.n_pieces == sizes[row.doc_id] for row in result)
     whole = corpus_pipeline.run(spark, sf_dir)
-    assert Counter(map(tuple, whole.collect())) == Counter(map(tuple, result))
+    assert Counter(map(str, whole.collect())) == Counter(map(str, result))
+
+
+def test_ids_of_all_documents_equal_the_library(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    model = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    texts = {row.doc_id: row.text or "" for row in table(spark, sf_dir, "documents").collect()}
+    got = QUERIES["op8_sentencepiece"](spark, sf_dir).collect()
+    assert len(got) == len(texts) and all(row.ids == model.encode(texts[row.doc_id]) for row in got)
+    assert all(row.n_pieces == len(row.ids) and row.round_trip for row in got)
 
 
 def test_pipeline_of_nothing(spark, none, sf_dir):

@@ -29,7 +29,7 @@ def auc(pairs):
 
 @pytest.mark.parametrize(
     ("operator", "name", "threshold", "least"),
-    [(quality_model.quality_scores, "quality", 0.3, 0.95), (toxicity.toxicity_scores, "toxic", 0.5, 0.55)],
+    [(quality_model.quality_scores, "quality", 0.3, 0.95), (toxicity.toxicity_scores, "toxic", 0.5, 0.95)],
 )
 def test_scores_of_held_out_documents(spark, operator, name, threshold, least):
     docs, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))

@@ -29,7 +29,7 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 SPACE = "▁"
 BETWEEN = "\x00"
 # Characters of texts that a task encodes at a time, and units and pairs that it remembers.
-CHARS = 1 << 22
+CHARS = 1 << 20
 UNITS = 1 << 19
 PAIRS = 1 << 19
 NEVER = float("-inf")

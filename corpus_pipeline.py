@@ -40,8 +40,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each document: id, source, number of pieces, digest of their ids, and whether they decode to
-    the text."""
+    """Of each document: id, source, number of pieces, digest of their ids, whether they decode to the text, and
+    the ids: what a model trains on."""
     return pieces.piece_counts(docs, piece_model(), keep=("source",))
 
 

@@ -18,8 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from moodtide.llm.common import fresh, stored, worked_out
-from moodtide.llm.spans import counted, digits, find, let, tagged, written
+from moodtide.llm.common import stored, worked_out
+from moodtide.llm.spans import counted, cut, digits, find, let, part, running, tagged, written
 
 # What the exact spans are.
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -58,6 +58,8 @@ CUES = {
 AGAINST = r"(?i)(?:version|page|isbn|issn|chapter|section|figure|table|price|order|[#$€£%=])[^\p{L}0-9]{0,3}$"
 VOTES = ("strict", "gazetteer", "cue", "shape", "near")
 NEAR = 100
+# Beyond all places of a text.
+FAR = 1 << 30
 # Candidates have a length class of 0 to 3 and as many separators, 0 to 3.
 SHAPES = 16
 ROUNDS = 50
@@ -98,20 +100,57 @@ def _vote(good: Column, bad: Column | None = None) -> Column:
     return (vote if bad is None else vote.when(bad, F.lit(-1))).otherwise(F.lit(0))
 
 
-def _candidates(kind: str, text: Column, exact: Column) -> Column:
-    """``kind, start, end``, the votes and the shape of a kind's loose matches clear of ``exact`` ones."""
+def loose_spans(text: Column) -> dict[str, Column]:
+    """The loose matches of each kind."""
     needs = {"number": text.rlike("[0-9][\\x20./)-]+[0-9]"), "account": text.rlike("[A-Z]{2}[0-9]{2}")}
     needs["address"] = text.rlike(r"(?:\(at\)|\[at\]|\x20at\x20)")
     needs["name"] = text.rlike(r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Monsieur|Madame)\.?\x20\p{Lu}")
+    return {kind: find(text, LOOSE[kind], needs[kind]) for kind in KINDS}
+
+
+def bounded(rows: DataFrame) -> DataFrame:
+    """``rows`` and ``_placed``: ``x, before, after`` for every loose match, which are where the exact spans that start no
+    later end at the latest, and where the first that starts no earlier starts. All are sorted together and the bounds
+    carried along, so that no match is held against all exact spans of a text."""
+
+    def marks(column: str, own: int) -> Column:
+        told = (lambda x, name: x[name]) if own else (lambda x, name: F.lit(None).cast("string"))
+        return F.transform(
+            column,
+            lambda x: F.struct(
+                x["start"].alias("start"), F.lit(own).alias("own"), x["end"].alias("end"),
+                told(x, "match").alias("match"), told(x, "before").alias("before"),
+            ),
+        )
+
+    # Of equal starts the exact span comes first.
+    everything = F.concat(marks("_base", 0), *[marks(f"_{kind}", rank + 1) for rank, kind in enumerate(KINDS)])
+    some = reduce(lambda a, b: a | b, [F.size(f"_{kind}") > 0 for kind in KINDS])
+    order = worked_out(rows, _order=F.when(some, F.sort_array(everything)).otherwise(F.slice(everything, 1, 0)))
+    order = worked_out(order, _turned=F.reverse("_order"))
+    ends = lambda at, x: F.when(x["own"] == 0, F.greatest(at, x["end"])).otherwise(at)
+    starts = lambda at, x: F.when(x["own"] == 0, F.least(at, x["start"])).otherwise(at)
+    known = worked_out(
+        order, _before=running(F.col("_order"), F.lit(-FAR), ends), _after=running(F.col("_turned"), F.lit(FAR), starts)
+    )
+    sides = F.zip_with("_before", F.reverse("_after"), lambda b, a: F.struct(b.alias("before"), a.alias("after")))
+    both = F.zip_with("_order", sides, lambda x, s: F.struct(x.alias("x"), s["before"].alias("before"), s["after"].alias("after")))
+    placed = worked_out(known, _placed=F.filter(both, lambda p: p["x"]["own"] > 0))
+    return placed.drop("_order", "_turned", "_before", "_after", *[f"_{kind}" for kind in KINDS])
+
+
+def _candidates(rank: int, kind: str) -> Column:
+    """``kind, start, end``, the votes and the shape of a kind's loose matches clear of exact spans."""
     clear = F.filter(
-        find(text, LOOSE[kind], needs[kind]),
-        lambda x: ~F.exists(exact, lambda e: (e["start"] < x["end"]) & (x["start"] < e["end"])),
+        "_placed",
+        lambda p: (p["x"]["own"] == rank + 1) & (p["before"] <= p["x"]["start"]) & (p["after"] >= p["x"]["end"]),
     )
 
-    def voted(x: Column) -> Column:
+    def voted(p: Column) -> Column:
+        x = p["x"]
         match, before, n = x["match"], x["before"], F.length(digits(x["match"]))
         shape = _vote(n.between(9, 11), (n < 7) | (n > 15)) if kind == "number" else _vote(F.length(match) >= 8)
-        near = F.exists(exact, lambda e: (e["start"] - x["end"] < NEAR) & (x["start"] - e["end"] < NEAR))
+        near = (x["start"] - p["before"] < NEAR) | (p["after"] - x["end"] < NEAR)
         separators = F.length(match) - F.length(F.regexp_replace(match, "[\\x20./()\\[\\]-]", ""))
         return F.struct(
             F.lit(kind).alias("kind"),
@@ -135,7 +174,8 @@ def detected(rows: DataFrame, text_col: str) -> DataFrame:
     out = worked_out(rows, **{f"_{kind}": found for kind, found in base_spans(text).items()})
     exact = F.concat(*[tagged(F.col(f"_{kind}"), kind, rank) for rank, kind in enumerate(BASE)])
     out = worked_out(out, _base=exact).drop(*[f"_{kind}" for kind in BASE])
-    return worked_out(out, _loose=F.concat(*[_candidates(kind, text, F.col("_base")) for kind in KINDS]))
+    placed = bounded(worked_out(out, **{f"_{kind}": found for kind, found in loose_spans(text).items()}))
+    return worked_out(placed, _loose=F.concat(*[_candidates(rank, kind) for rank, kind in enumerate(KINDS)])).drop("_placed")
 
 
 def agreed(patterns: list[Row]) -> list[float]:
@@ -226,7 +266,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans``: one row per row of ``docs``.
 
     Null and empty texts have no spans. Rows may repeat; each is told. Spans are in code points, the
-    end exclusive. An empty table gives no rows; other columns are not read.
+    end exclusive. An empty table gives no rows; other columns are not read. A text of any length takes time in
+    proportion to it and its spans.
     """
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = stored(detected(narrow, "text").select("doc_id", "_base", "_loose"), "pii-found")
@@ -238,38 +279,41 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; of overlapping ones the first names them."""
-    cut = F.aggregate(
-        F.sort_array(spans),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
-        lambda a, s: F.when(
-            s["start"] < a["at"], F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["parts"].alias("parts"))
-        ).otherwise(
-            F.struct(
-                s["end"].alias("at"),
-                F.concat(
-                    a["parts"],
-                    F.array(F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))),
-                ).alias("parts"),
-            )
-        ),
+def masked(rows: DataFrame, text_col: str, spans: Column) -> DataFrame:
+    """``rows`` and ``_clean``, the text with every span replaced by its kind in brackets; of overlapping ones the first
+    names them. A text is cut into pieces first, so that its spans take no time but their own and the gaps'."""
+    text = F.col(text_col)
+    out = worked_out(rows, _spans=F.sort_array(spans))
+    out = worked_out(
+        out,
+        _reached=running(F.col("_spans"), F.lit(0), lambda at, s: F.greatest(at, s["end"])),
+        _pieces=F.when(F.size("_spans") > 0, cut(text)),
+    )
+    # Each span with where those before it end: what lies between stays, and a span that begins before that is not named.
+    earlier = F.concat(F.array(F.lit(0)), F.slice("_reached", F.lit(1), F.size("_reached") - 1))
+    both = F.zip_with("_spans", earlier, lambda s, at: F.struct(s.alias("s"), at.alias("at")))
+    named = F.transform(
+        F.filter(both, lambda e: e["s"]["start"] >= e["at"]),
+        lambda e: F.concat(part(F.col("_pieces"), e["at"], e["s"]["start"]), F.lit("["), F.upper(e["s"]["kind"]), F.lit("]")),
     )
-    whole = let(cut, lambda c: F.concat(F.array_join(c["parts"], ""), F.substring(text, c["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    whole = F.concat(F.array_join(named, ""), part(F.col("_pieces"), F.element_at("_reached", -1), F.length(text)))
+    clean = F.when(F.size("_spans") > 0, whole).otherwise(text)
+    return worked_out(out, _clean=clean).drop("_spans", "_reached", "_pieces")
 
 
 def redacted(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """``docs`` with personal data masked and, if there is one, the length column brought up to date.
-    The texts are read twice, as nothing but counts is kept of the first reading."""
+    The texts are read twice, as nothing but counts is kept of the first reading. A null text stays null. Rows may repeat; each
+    is told. An empty table gives no rows; a text of any length takes time in proportion to it and its spans."""
     weights = learnt(detected(docs.select(F.col(text_col).alias("text")), "text"))
-    (row,) = fresh(docs.columns, "_row")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
-    found = detected(whole.select(row, F.col(row)[text_col].alias("text")), "text")
-    clean = worked_out(found, _clean=masked(F.col("text"), F.concat("_base", accepted(F.col("_loose"), weights))))
+    # Columns go by their place meanwhile, whatever they are called.
+    places = {name: f"c{place}" for place, name in enumerate(docs.columns)}
+    text = places[text_col]
+    found = detected(docs.toDF(*places.values()), text)
+    clean = masked(found, text, F.concat("_base", accepted(F.col("_loose"), weights)))
     columns = []
-    for name in docs.columns:
-        value = F.col(row)[name]
+    for name, place in places.items():
+        value = F.col(place)
         if name == text_col:
             value = F.col("_clean")
         elif name == length_col:

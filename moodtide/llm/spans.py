@@ -16,25 +16,26 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use).getItem(0)
 
 
-def running(lengths: Column) -> Column:
-    """The running sums of an array, in blocks, so that no growing array is copied per element."""
+def running(items: Column, zero: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """A number folded along an array, as it stands after each item, in blocks, so that no growing array is copied per
+    item. ``items`` is a column or a variable: an expression would be worked out for every block."""
 
-    def block(total: Column, at: Column) -> Column:
+    def block(state: Column, at: Column) -> Column:
         return F.aggregate(
-            F.slice(lengths, at * BLOCK + 1, F.lit(BLOCK)),
-            F.struct(total.alias("total"), F.array().cast("array<int>").alias("sums")),
-            lambda a, x: F.struct((a["total"] + x).alias("total"), F.array_append(a["sums"], a["total"] + x).alias("sums")),
+            F.slice(items, at * BLOCK + 1, F.lit(BLOCK)),
+            F.struct(state.alias("state"), F.array().cast("array<int>").alias("all")),
+            lambda a, x: F.struct(step(a["state"], x).alias("state"), F.array_append(a["all"], step(a["state"], x)).alias("all")),
         )
 
-    blocks = F.ceil(F.size(lengths) / BLOCK).cast("int")
+    blocks = F.ceil(F.size(items) / BLOCK).cast("int")
     return F.aggregate(
         F.sequence(F.lit(0), F.greatest(blocks, F.lit(1)) - 1),
-        F.struct(F.lit(0).alias("total"), F.array().cast("array<array<int>>").alias("sums")),
+        F.struct(zero.alias("state"), F.array().cast("array<array<int>>").alias("all")),
         lambda a, at: let(
-            block(a["total"], at),
-            lambda b: F.struct(b["total"].alias("total"), F.array_append(a["sums"], b["sums"]).alias("sums")),
+            block(a["state"], at),
+            lambda b: F.struct(b["state"].alias("state"), F.array_append(a["all"], b["all"]).alias("all")),
         ),
-        lambda a: F.flatten(a["sums"]),
+        lambda a: F.flatten(a["all"]),
     )
 
 
@@ -52,7 +53,7 @@ def find(text: Column, pattern: str, needs: Column) -> Column:
             both,
             lambda pairs: F.zip_with(
                 pairs,
-                running(F.transform(pairs, lambda x: F.length(x["p"]) + F.length(x["m"]))),
+                running(pairs, F.lit(0), lambda at, x: at + F.length(x["p"]) + F.length(x["m"])),
                 lambda x, end: F.struct(
                     (end - F.length(x["m"])).alias("start"),
                     end.alias("end"),
@@ -69,6 +70,22 @@ def find(text: Column, pattern: str, needs: Column) -> Column:
     return F.when(needs, found).otherwise(none)
 
 
+# Pieces of a text that are cheap to walk.
+PIECE = 1024
+
+
+def cut(text: Column) -> Column:
+    """The text in pieces, so that a part of it is taken without walking all that lies before."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}+"), F.lit(0))
+
+
+def part(pieces: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to before ``end`` of a text that was ``cut``."""
+    first = F.floor(start / PIECE).cast("int")
+    some = F.slice(pieces, first + 1, F.floor(end / PIECE).cast("int") - first + 1)
+    return F.substring(F.array_join(some, ""), start - first * PIECE + 1, end - start)
+
+
 def digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from moodtide.llm import credentials, mixing, pii, rules, simhash
 from moodtide.llm.graph import components
@@ -295,6 +296,46 @@ def test_redaction(spark, odd):
     assert pii.redacted(odd).columns == odd.columns
 
 
+def mask_by_hand(text, spans):
+    out, at = "", 0
+    for span in filter(None, spans.split(",")):
+        kind, start, end = span.split(":")
+        if int(start) >= at:
+            out += text[at : int(start)] + f"[{kind.upper()}]"
+        at = max(at, int(end))
+    return out + text[at:]
+
+
+def test_masked_texts_against_the_told_spans(spark):
+    """Overlapping spans, spans at both ends, at the borders of pieces and of blocks, and beyond the basic plane."""
+    edge = ["x" * (1024 - 8) + " a@b.cd " + "y" * 2000, "x" * 1023 + "\n1.2.3.4", "1.2.3.4" + "𝒳" * 2048 + "a@b.cd", "𝒳" * 1030 + " a@b.cd é"]
+    many = " ".join(f"mail u{i}@example.com or call 617-555-{i:04d} from 10.0.0.{i % 256}" for i in range(200))
+    texts = TEXTS + edge + [many, f"{many} {many}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    spans = {row.doc_id: row.spans for row in pii.personal_data(docs).collect()}
+    for row in pii.redacted(docs).collect():
+        assert row.text == mask_by_hand(texts[row.doc_id], spans[row.doc_id])
+
+
+def test_loose_matches_against_all_exact_spans(spark):
+    """What is clear of the exact spans and what is near one, by holding every match against each of them."""
+    bits = ["a@b.cd", "1.2.3.4", "+1 (606) 555-8093", "617-555-0199", "12 34 56 78", "Mr. John Smith", "x (at) y (dot) com",
+            "4111 1111 1111 1111", "and " * 30, "日本 "]
+    texts = [" ".join(bits[(i * j + j // 3) % len(bits)] for j in range(1 + 7 * i)) for i in range(40)] + ["".join(bits)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    columns = {f"_{kind}": found for kind, found in pii.loose_spans(F.col("text")).items()}
+    matches = {row.doc_id: row for row in docs.select("doc_id", *[c.alias(name) for name, c in columns.items()]).collect()}
+    for row in pii.detected(docs, "text").collect():
+        expected = set()
+        for kind in pii.KINDS:
+            for x in matches[row.doc_id][f"_{kind}"]:
+                if not any(e.start < x.end and x.start < e.end for e in row._base):
+                    near = any(e.start - x.end < pii.NEAR and x.start - e.end < pii.NEAR for e in row._base)
+                    expected.add((kind, x.start, x.end, int(near)))
+        assert {(x.kind, x.start, x.end, x.near) for x in row._loose} == expected
+        assert len(row._loose) == len(expected)
+
+
 # --- the mix -------------------------------------------------------------------------------------
 
 

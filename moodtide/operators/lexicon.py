@@ -1,49 +1,110 @@
 """First-hit scoring with lexicons of any size.
 
-A chain of ``contains`` reads a text once per term. Here a text is read once: every place in it is looked up by its
-next few characters in an index of the terms' beginnings, and only the terms found there are compared. So the
-work follows the text's length and the places that begin like a term, whatever the number of terms.
+A chain of ``contains`` reads a text once per term. Here a term is looked for by what it is made of: it lies within a
+run of characters that terms have, so texts are cut into such runs, and every different run is looked at once, however
+many texts hold it. Each place of a run asks the index once per length of a term, so the work does not grow with the
+number of terms that begin alike.
 
-Texts are cut into blocks that overlap by the longest term, so that no expression works on more than a block,
-however long the text. What is shuffled is one row per text, with the lowest rank found.
+Runs are cut into pieces that overlap by the longest term, so that no expression works on more than a piece,
+however long the text. Both lookups, of places among the terms and of a text's pieces among those that hold a term, first ask the
+lowest ranks, as many as can be sent to every task. Whoever meets one there needs no other, and only the rest is shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Characters that the index goes by: as many as all terms have, up to the first number; or, where some are shorter
-# than the second, so many, and all of a shorter term's.
-LONG, SHORT = 6, 4
-# Characters of a block.
+from moodtide.session import work_dir
+
+# Lengths that a place is looked up by: those of all terms, or, of more than so many, some of them; a term is then looked
+# up by its beginning, of the next shorter such length.
+LEVELS = 48
+# Characters of a piece, without what it overlaps.
 BLOCK = 128
-# An index of at most so many bytes of terms and ranks is sent to every task.
+# Ranges of characters that a run is told by.
+RANGES = 64
+# A table of at most so many bytes of terms and ranks is sent to every task.
 SMALL = 1 << 25
 NEUTRAL = (0.0, "Neutral")
 
 
-def term_index(terms: DataFrame) -> tuple[DataFrame, list[int], int, int]:
-    """``key, term, rank`` of the terms in lower case, each once by its lowest rank, where ``key`` stands for its beginning; the
-    lengths that beginnings have; the longest term; and about how many bytes the index takes. Null and empty terms never hit."""
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _levels(lengths: Sequence[int]) -> list[int]:
+    lengths = sorted(lengths)
+    if len(lengths) <= LEVELS:
+        return lengths
+    return sorted({lengths[i * len(lengths) // LEVELS] for i in range(LEVELS)})
+
+
+def _character_class(chars: Sequence[str]) -> str:
+    """A regular expression of one of the characters, or of some more where they make too many ranges."""
+    ranges = [[code, code] for code in sorted(map(ord, chars))]
+    gaps = sorted(((b[0] - a[1], i) for i, (a, b) in enumerate(zip(ranges, ranges[1:])) if b[0] - a[1] > 1), reverse=True)
+    cuts = sorted(i for _, i in gaps[: RANGES - 1])
+    edges = zip([0, *[i + 1 for i in cuts]], [*cuts, len(ranges) - 1])
+    return "[" + "".join(f"\\x{{{ranges[a][0]:x}}}-\\x{{{ranges[b][1]:x}}}" for a, b in edges) + "]"
+
+
+def term_index(terms: DataFrame) -> tuple[DataFrame, list[int], int, str]:
+    """``key, term, rank`` of the terms in lower case, each once by its lowest rank, where ``key`` is its beginning; the
+    lengths that beginnings have; the longest term; and a regular expression of the characters that terms have. Null and
+    empty terms never hit."""
     low = terms.select(F.lower("term").alias("term"), "rank").filter("term IS NOT NULL AND term != '' AND rank IS NOT NULL")
-    low = low.groupBy("term").agg(F.min("rank").alias("rank"))
-    size = F.char_length("term")
-    # One row, with at most SHORT lengths.
-    known = low.agg(
-        F.min(size).alias("shortest"), F.max(size).alias("longest"), F.sum(F.octet_length("term") + 40).alias("bytes"),
-        F.collect_set(F.least(size, F.lit(SHORT))).alias("lengths"),
-    ).first()
-    if known.shortest is None:
-        lengths = [1]
-    elif known.shortest >= SHORT:
-        lengths = [min(known.shortest, LONG)]
-    else:
-        lengths = sorted(known.lengths)
-    key = F.xxhash64(F.substring("term", 1, lengths[-1]))
-    return low.select(key.alias("key"), "term", "rank"), lengths, known.longest or 1, known.bytes or 0
+    low = _stored(low.groupBy("term").agg(F.min("rank").alias("rank")), "terms")
+    # As many rows as there are lengths, and as there are characters.
+    lengths = [row[0] for row in low.select(F.char_length("term")).distinct().collect()]
+    chars = [row[0] for row in low.select(F.explode(F.regexp_extract_all("term", F.lit("(?s)."), F.lit(0)))).distinct().collect()]
+    levels = _levels(lengths) or [1]
+    level = F.array_max(F.filter(F.array(*map(F.lit, levels)), lambda n: n <= F.char_length("term")))
+    index = low.select(F.col("term").substr(F.lit(1), level).alias("key"), "term", "rank")
+    return index, levels, max(lengths, default=1), _character_class(chars) if chars else "(?!)."
+
+
+def _head(table: DataFrame, text_col: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows of the lowest ranks, as many as are ``SMALL``, and those of higher ones; None for none."""
+    size = F.octet_length(text_col) + 40
+    whole = table.agg(F.sum(size)).first()[0] or 0
+    if whole <= SMALL:
+        return table, None
+    # Ranks may be shared by many rows: what is below a quantile is measured.
+    shares = [SMALL / whole / part for part in (1.1, 2, 4, 8)]
+    edges = table.agg(F.percentile_approx("rank", shares, 10_000)).first()[0]
+    sizes = table.agg(*[F.sum(F.when(F.col("rank") <= edge, size)) for edge in edges]).first()
+    edge = next((edge for edge, held in zip(edges, sizes) if held and held <= SMALL), None)
+    return (None, table) if edge is None else (table.filter(F.col("rank") <= edge), table.filter(F.col("rank") > edge))
+
+
+def _best_pieces(pieces: DataFrame, index: DataFrame, levels: Sequence[int], block: int) -> DataFrame:
+    """``piece, rank`` of the pieces that hold a term, with the lowest rank of one."""
+    size = F.char_length("piece")
+    last = F.least(F.lit(block), size - levels[0] + 1)
+
+    def lowest(some: DataFrame, terms: DataFrame, join: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        places = some.select("piece", F.explode(F.sequence(F.lit(1), last)).alias("at"))
+        left = size - F.col("at") + 1
+        asked = places.select("piece", "at", F.explode(F.filter(F.array(*map(F.lit, levels)), lambda n: n <= left)).alias("n"))
+        asked = asked.select("piece", "at", F.col("piece").substr(F.col("at"), F.col("n")).alias("key"))
+        hits = asked.join(join(terms), "key").filter(F.col("piece").substr(F.col("at"), F.char_length("term")) == F.col("term"))
+        return hits.groupBy("piece").agg(F.min("rank").alias("rank"))
+
+    # A piece is at least as long as the shortest term.
+    head, rest = _head(index, "term")
+    if head is None:
+        return lowest(pieces, rest, lambda t: t.hint("merge"))
+    near = lowest(pieces, head, F.broadcast)
+    if rest is None:
+        return near
+    near = _stored(near, "near-pieces")
+    return near.unionByName(lowest(pieces.join(near, "piece", "left_anti"), rest, lambda t: t.hint("merge")))
 
 
 def score_by_lexicon(
@@ -56,38 +117,39 @@ def score_by_lexicon(
     """``keys, sentiment_score, sentiment_label``: a row per row of ``rows``, by the term of the lowest rank that the
     lower-cased text holds.
 
-    ``terms``: ``term, rank, score, label``; a rank has one score and label. A text with no term, an empty or a null one
-    is ``neutral``. Rows that share their keys are told apart by their text, and repeated ones repeat. The index is
-    measured and broadcast if it is small, and else joined by sorting both sides: left to itself, Spark takes the places
-    of all texts for the smaller side, by the size of the files that they come from.
+    ``terms``: ``term, rank, score, label``; a rank is a number and has one score and label. A text with no term, an empty or a null one
+    is ``neutral``. Rows that share their keys are told apart by their text, and repeated ones repeat. ``rows`` are read
+    twice, and a third time for texts that none of the ranks that fit into ``SMALL`` bytes settles. Terms, different pieces and what
+    they hold are kept in the shared folder.
     """
-    index, lengths, longest, size = term_index(terms)
+    index, levels, longest, char = term_index(terms)
     block = max(BLOCK, longest)
+    # A piece reaches beyond its own characters, as far as a term may. Possessive, so that the matcher never goes back.
+    run = f"(?=({char}{{{levels[0]},{block + longest - 1}}}+)){char}{{1,{block}}}+"
 
     text = F.coalesce(F.lower(F.col(text_col)), F.lit(""))
     low = rows.select(*keys, F.xxhash64(text_col).alias("_h1"), F.xxhash64(F.lit(2), text_col).alias("_h2"), text.alias("_text"))
-    # A generator is never folded into what reads it: the blocks are cut once a text.
-    cut = F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{block}}}"), F.lit(0))
-    cut = low.select(*keys, "_h1", "_h2", F.explode(F.array(cut)).alias("_blocks"))
-    over = F.transform(
-        "_blocks", lambda b, i: F.concat(b, F.substring(F.coalesce(F.get("_blocks", i + 1), F.lit("")), 1, longest - 1))
-    )
-    # An empty piece first: it finds the empty term, which every text has.
-    pieces = cut.select(*keys, "_h1", "_h2", F.explode(F.concat(F.array(F.lit("")), over)).alias("_piece"))
-    last = F.greatest(F.lit(1), F.least(F.lit(block), F.char_length("_piece")))
-    places = pieces.select(*keys, "_h1", "_h2", "_piece", F.explode(F.sequence(F.lit(1), last)).alias("_at"))
-    starts = F.array(*[F.xxhash64(F.col("_piece").substr(F.col("_at"), F.lit(n))) for n in lengths])
-    asked = places.select(*keys, "_h1", "_h2", "_piece", "_at", F.explode(starts).alias("key"))
-
-    none = F.lit(None).cast(index.schema["rank"].dataType)
-    nothing = rows.sparkSession.range(1).select(F.lit("").alias("term"), none.alias("rank"), F.xxhash64(F.lit("")).alias("key"))
-    whole = index.unionByName(nothing)
-    met = asked.join(F.broadcast(whole) if size <= SMALL else whole.hint("merge"), "key")
-    hits = met.filter(F.col("_piece").substr(F.col("_at"), F.char_length("term")) == F.col("term"))
-    # The empty term is found once a length by every row.
-    times = F.count_if(F.col("term") == "") / len(lengths)
-    best = hits.groupBy(*keys, "_h1", "_h2").agg(F.min("rank").alias("rank"), times.cast("int").alias("_times"))
-    each = best.select(*keys, "rank", F.explode(F.sequence(F.lit(1), "_times")))
+    found = F.array_distinct(F.regexp_extract_all("_text", F.lit(run), F.lit(1)))
+    pieces = _stored(low.select(F.explode(found).alias("piece")).distinct(), "pieces")
+    best = _stored(_best_pieces(pieces, index, levels, block), "best-pieces")
+
+    # An empty piece first, which every row has once.
+    held = low.select(*keys, "_h1", "_h2", F.explode(F.concat(F.array(F.lit("")), found)).alias("piece"))
+    head, rest = _head(best, "piece")
+    met = held.join(F.broadcast(best.limit(0) if head is None else head), "piece", "left")
+    times = F.count_if(F.col("piece") == "").cast("int")
+    first = met.groupBy(*keys, "_h1", "_h2").agg(F.min("rank").alias("rank"), times.alias("_times"))
+    if rest is not None:
+        first = _stored(first, "near-texts")
+        open_texts = first.filter("rank IS NULL").select("_h1", "_h2").distinct()
+        few = open_texts.count() * 64 <= SMALL
+        some = low.join(F.broadcast(open_texts) if few else open_texts.hint("merge"), ["_h1", "_h2"], "left_semi")
+        asked = some.select("_h1", "_h2", F.explode(found).alias("piece"))
+        far = asked.join(rest.hint("merge"), "piece").groupBy("_h1", "_h2").agg(F.min("rank").alias("_far"))
+        later = first.filter("rank IS NULL").join(far, ["_h1", "_h2"], "left").withColumn("rank", F.col("_far")).drop("_far")
+        first = first.filter("rank IS NOT NULL").unionByName(later)
+
+    each = first.select(*keys, "rank", F.explode(F.sequence(F.lit(1), "_times")))
     ranks = terms.groupBy("rank").agg(F.first("score").alias("_score"), F.first("label").alias("_label"))
     scored = each.join(ranks, "rank", "left")
     return scored.select(

@@ -43,6 +43,30 @@ def test_large_lexicon_equals_a_scan(spark, monkeypatch, shortest, small):
     assert lexicon.score_by_lexicon(frame.limit(0), ["id"], known).count() == 0
 
 
+def test_terms_that_begin_alike_are_told_apart(spark):
+    """A place asks for one term of each length, not for all that begin like it."""
+    terms = [("there" + chr(97 + i // 26) + chr(97 + i % 26) + "x" * (i % 3), i, 0.8, "Positive") for i in range(300)]
+    index, *_ = lexicon.term_index(spark.createDataFrame(terms, "term STRING, rank INT, score DOUBLE, label STRING"))
+    assert index.groupBy("key").count().agg(F.max("count")).first()[0] == 1
+
+
+@pytest.mark.parametrize("small", [300, 3000])
+def test_large_lexicon_by_its_lowest_ranks_first(spark, monkeypatch, small):
+    """Some texts are settled by the terms that fit, some by the others; more lengths and characters than are told apart."""
+    monkeypatch.setattr(lexicon, "SMALL", small)
+    monkeypatch.setattr(lexicon, "LEVELS", 3)
+    monkeypatch.setattr(lexicon, "RANGES", 2)
+    rng = random.Random(small)
+    word = lambda k: "".join(rng.choices("aceg好", k=k))
+    terms = [(word(rng.randrange(2, 9)), rng.randrange(100), 0.8, "Positive") for _ in range(100)]
+    terms = [(t, r, *((0.8, "Positive") if r % 2 else (-0.6, "Negative"))) for t, r, *_ in terms]
+    rows = [(i, " ".join(word(rng.randrange(1, 9)) for _ in range(rng.randrange(4)))) for i in range(60)] + [(60, word(400)), (60, None)]
+    frame = spark.createDataFrame(rows, "id INT, message STRING")
+    known = spark.createDataFrame(terms, "term STRING, rank INT, score DOUBLE, label STRING")
+    got = lexicon.score_by_lexicon(frame, ["id"], known)
+    assert sorted(map(tuple, got.collect())) == sorted((i, *first_hit(text, terms)) for i, text in rows)
+
+
 def test_fold_equals_a_plain_loop(spark):
     rng = random.Random(2)
     rows = [(rng.choice(["hot", "hot", "a", "b", None]), rng.choice([0.8, -0.6]), rng.randrange(5000)) for _ in range(3000)]

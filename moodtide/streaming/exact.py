@@ -4,7 +4,8 @@ Two queries. ``start_pairs`` follows each partition's stream time from record to
 the running maximum of ``operators.lateness``, over buckets of offsets, and from batch to batch by a table with a row
 per partition. It writes every (record, window) pair, those that come too late apart from the others. ``updates``
 reads the pairs in time and keeps sum and count per (partition, user, window) in the state store: each pair
-gives the window's mean after its record. A timer ends a window's state once every partition's
+gives the window's mean after its record. The users of a window lie there in ``GROUPS`` rows by their hash, as Python
+asks the store once a row and not once a user. A timer ends a window's state once every partition's
 stream time has closed the window, so that none is dropped that may still come.
 
 Spark's watermark decides nothing about lateness here. It follows ``low``, the stream time that all
@@ -16,8 +17,10 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -34,6 +37,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PAIRS = "late BOOLEAN, partition INT, offset BIGINT, user_id STRING, window_start BIGINT, window_end BIGINT, sentiment_score DOUBLE, stream_time BIGINT, low BIGINT"
 UPDATES = "partition INT, offset BIGINT, user_id STRING, window_start BIGINT, window_end BIGINT, seq INT, n BIGINT, average_score DOUBLE"
 _TIMES = "partition INT, stream_time BIGINT, low BIGINT"
+# Rows of state that the users of a (partition, window) are dealt to. Fixed when a query first starts.
+GROUPS = 64
 
 
 def _batch(path: str, kind: str, batch_id: int) -> str:
@@ -112,31 +117,42 @@ def read_pairs(spark: SparkSession, path: str, late: bool = False, streaming: bo
 
 
 class Updates(StatefulProcessor):
-    """Sum and count of a (partition, user, window), and an update for each of its records in offset order."""
+    """Sum and count of each (partition, user, window) of a group of users, and an update for each record in offset order."""
 
     def __init__(self, grace_ms: int) -> None:
         self.grace_ms = grace_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.totals = handle.getValueState("totals", "score_sum DOUBLE, n BIGINT")
+        self.totals = handle.getValueState("totals", "user_ids ARRAY<STRING>, score_sums ARRAY<DOUBLE>, counts ARRAY<BIGINT>")
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        partition, user_id, window_start = key
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        partition, window_start, _ = key
         held = self.totals.get()
-        total, n = held if held is not None else (0.0, 0)
-        # What a micro-batch has of one window.
-        for row in sorted(rows, key=lambda r: r.offset):
-            total, n, end = total + row.sentiment_score, n + 1, row.window_end
-            yield Row(
-                partition=partition, offset=row.offset, user_id=user_id, window_start=window_start, window_end=end,
-                seq=1, n=n, average_score=total / n,
-            )
+        totals = {user_id: (total, n) for user_id, total, n in zip(*held)} if held is not None else {}
+        # What a micro-batch has of one window and group.
+        some = pd.concat(list(rows)).sort_values("offset", kind="stable", ignore_index=True)
+        if some["sentiment_score"].isna().any():
+            raise ValueError("a pair without a score")
+        user, user_ids = pd.factorize(some["user_id"])
+        before = [totals.get(user_id, (0.0, 0)) for user_id in user_ids]
+        scores = some["sentiment_score"].groupby(user)
+        total = np.array([t for t, _ in before])[user] + scores.cumsum().to_numpy()
+        n = np.array([n for _, n in before])[user] + scores.cumcount().to_numpy() + 1
+        yield pd.DataFrame(
+            {
+                "partition": partition, "offset": some["offset"], "user_id": some["user_id"], "window_start": window_start,
+                "window_end": some["window_end"], "seq": 1, "n": n, "average_score": total / n,
+            }
+        )
+        # A user's last record comes last.
+        totals.update(zip(some["user_id"], zip(total.tolist(), n.tolist())))
         if held is None:
-            self.handle.registerTimer(end + self.grace_ms)
-        self.totals.update((total, n))
+            self.handle.registerTimer(int(some["window_end"].iloc[0]) + self.grace_ms)
+        sums, counts = zip(*totals.values())
+        self.totals.update((list(totals), list(sums), list(counts)))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         self.totals.clear()
         return iter(())
 
@@ -144,11 +160,13 @@ class Updates(StatefulProcessor):
         pass
 
 
-def updates(pairs: DataFrame, hop: Hop = DEFAULT_HOP) -> DataFrame:
-    """Streaming pairs in time -> every update of every mean, as ``operators.changelog`` has them in batch."""
+def updates(pairs: DataFrame, hop: Hop = DEFAULT_HOP, groups: int = GROUPS) -> DataFrame:
+    """Streaming pairs in time -> every update of every mean, as ``operators.changelog`` has them in batch. A micro-batch
+    rewrites the state of the groups that it has records of: more ``groups`` rewrite less, and cost more calls."""
     # A row at the watermark counts as too late for Spark: a millisecond ahead of it none ever is.
     timed = pairs.withColumn("_low", F.timestamp_millis(F.col("low") + 1)).withWatermark("_low", "1 millisecond")
-    return timed.groupBy("partition", "user_id", "window_start").transformWithState(
+    timed = timed.withColumn("_group", F.pmod(F.xxhash64("user_id"), F.lit(groups)).cast("int"))
+    return timed.groupBy("partition", "window_start", "_group").transformWithStateInPandas(
         Updates(hop.grace_ms), UPDATES, outputMode="Append", timeMode="EventTime"
     )
 

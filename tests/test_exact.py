@@ -76,6 +76,24 @@ def test_stream_gives_the_replayed_log_over_restarts(spark, tmp_path):
     assert held[-1] < windows
 
 
+def test_users_of_a_window_share_rows_of_state(spark, tmp_path):
+    """As many rows of state as groups, however many users, and still an update a record, over two micro-batches."""
+    rng, out, base = random.Random(3), str(tmp_path / "out"), 1_700_000_000_000
+    rows = [(0, i, f"u{i % 400}", base + rng.randrange(30_000), rng.choice([0.8, -0.6])) for i in range(1000)]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write(spark, folder, 0, rows[:600])
+    write(spark, folder, 1, rows[600:])
+    exact.start_pairs(stream(spark, folder), out, f"{out}/a", HOP, 1, ALL_AVAILABLE).awaitTermination()
+    pairs = exact.read_pairs(spark, out, streaming=True, files_per_trigger=1)
+    query = exact.start_updates(pairs, f"{out}/log", f"{out}/b", HOP, ALL_AVAILABLE)
+    query.awaitTermination()
+    in_time = lateness.windowed_in_time(as_scores(spark.createDataFrame(rows, SCHEMA)), HOP)
+    assert plain(spark.read.schema(exact.UPDATES).parquet(f"{out}/log")) == plain(changelog.alert_changelog(in_time, HOP))
+    held = max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"])
+    assert 0 < held < in_time.select("partition", "user_id", "window_start").distinct().count()
+
+
 def test_a_repeated_batch_is_the_same_batch(spark, tmp_path):
     out, rows = str(tmp_path / "out"), list(made_rows(60))
     batches = [as_scores(spark.createDataFrame(part, SCHEMA)) for part in (rows[:20], rows[20:40], rows[40:])]

@@ -65,8 +65,12 @@ def in_slices(events: DataFrame, path: str, slices: int, repeats: int = 0) -> in
     slice_of = F.coalesce(F.floor((F.col("event_id") - first) * slices / (last - first + 1)), F.lit(0)) if first is not None else F.lit(0)
     sizes = events.groupBy(slice_of.alias("slice")).count().agg(F.max("count")).first()[0] or 0
     each = max(1, -(-sizes * (1 + repeats) // ROWS_PER_FILE))
+    # The table is dealt to a folder a slice in one pass: a filter of its own for every slice would read it all each time.
+    aside = f"{path.rstrip('/')}-aside"
+    events.withColumn("_slice", slice_of.cast("int")).write.partitionBy("_slice").parquet(aside)
+    dealt = events.sparkSession.read.schema(events.withColumn("_slice", F.lit(0)).schema).parquet(aside)
     for n in range(slices):
-        some = events.filter(slice_of.between(n - repeats, n))
+        some = dealt.filter(F.col("_slice").between(n - repeats, n)).drop("_slice")
         # An empty partition gives no file: rows are dealt evenly, and there are more rows than files.
         some = some.coalesce(1) if each == 1 else some.repartition(each)
         some.write.mode("append").parquet(path)

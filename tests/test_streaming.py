@@ -313,6 +313,27 @@ def test_event_files_are_taken_one_a_batch_in_order(spark, sf_dir, folder):
     assert any(name.startswith("rocksdb") for name in batches[0]["stateOperators"][0]["customMetrics"])
 
 
+def test_slices_are_dealt_in_one_pass(spark, folder):
+    """The table is read for its bounds, its sizes and its rows, not once more for every slice."""
+    from moodtide.sources.tables import in_slices
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def seen(event_id):
+        read.add(1)
+        return event_id
+
+    rows = spark.createDataFrame([(i if i % 50 else None, f"r{i}") for i in range(200)], "n BIGINT, name STRING")
+    events = rows.select(seen("n").alias("event_id"), "name")
+    in_slices(events, str(folder / "events"), 8, 1)
+    assert read.value <= 3 * 200
+    kept = sorted(row.name for row in spark.read.parquet(str(folder / "events")).collect())
+    # Each slice comes again with the next, the last one has none after it.
+    slice_of = lambda i: (i - 1) * 8 // 199 if i % 50 else 0
+    assert kept == sorted([f"r{i}" for i in range(200)] + [f"r{i}" for i in range(200) if slice_of(i) < 7])
+
+
 # Topics
 
 

@@ -7,12 +7,13 @@ number of terms that begin alike.
 
 Runs are cut into pieces that overlap by the longest term, so that no expression works on more than a piece,
 however long the text. Both lookups, of places among the terms and of a text's pieces among those that hold a term, first ask the
-lowest ranks, as many as can be sent to every task. Whoever meets one there needs no other, and only the rest is shuffled.
+lowest ranks, as many as can be sent to every task. Whoever meets one there needs no other. Of the rest only that is shuffled which
+a sieve lets through, a few bits of every key that is asked for, sent to every task too: what it holds back is nowhere.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +27,9 @@ LEVELS = 48
 BLOCK = 128
 # Ranges of characters that a run is told by.
 RANGES = 64
-# A table of at most so many bytes of terms and ranks is sent to every task.
+# A table of at most so many bytes of terms and ranks is sent to every task; so is a sieve, whose rows take SLOT bytes.
 SMALL = 1 << 25
+SLOT = 40
 NEUTRAL = (0.0, "Neutral")
 
 
@@ -83,28 +85,45 @@ def _head(table: DataFrame, text_col: str) -> tuple[DataFrame | None, DataFrame
     return (None, table) if edge is None else (table.filter(F.col("rank") <= edge), table.filter(F.col("rank") > edge))
 
 
+def _slot_and_bits(cols: Sequence[str]) -> dict[str, Column]:
+    """The row of a sieve that a key belongs to, and the two of its 64 bits that stand for it."""
+    hashed = F.xxhash64(*cols)
+    bit = lambda low: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(hashed, low).bitwiseAND(F.lit(63)).cast("int"))
+    slot = F.pmod(F.shiftright(hashed, 12), F.lit(max(1, SMALL // SLOT)).cast("bigint"))
+    return {"_slot": slot, "_bits": bit(0).bitwiseOR(bit(6))}
+
+
+def _sifted(rows: DataFrame, keys: DataFrame, *cols: str) -> DataFrame:
+    """The rows whose ``cols`` are among ``keys``, and a few others: the more, the more different keys there are."""
+    sieve = keys.select(*[c.alias(name) for name, c in _slot_and_bits(cols).items()])
+    sieve = sieve.groupBy("_slot").agg(F.bit_or("_bits").alias("_held"))
+    met = rows.withColumns(_slot_and_bits(cols)).join(F.broadcast(sieve), "_slot")
+    return met.filter(F.col("_held").bitwiseAND(F.col("_bits")) == F.col("_bits")).drop("_slot", "_bits", "_held")
+
+
 def _best_pieces(pieces: DataFrame, index: DataFrame, levels: Sequence[int], block: int) -> DataFrame:
     """``piece, rank`` of the pieces that hold a term, with the lowest rank of one."""
     size = F.char_length("piece")
     last = F.least(F.lit(block), size - levels[0] + 1)
 
-    def lowest(some: DataFrame, terms: DataFrame, join: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    def lowest(some: DataFrame, terms: DataFrame, sent: bool) -> DataFrame:
         places = some.select("piece", F.explode(F.sequence(F.lit(1), last)).alias("at"))
         left = size - F.col("at") + 1
         asked = places.select("piece", "at", F.explode(F.filter(F.array(*map(F.lit, levels)), lambda n: n <= left)).alias("n"))
         asked = asked.select("piece", "at", F.col("piece").substr(F.col("at"), F.col("n")).alias("key"))
-        hits = asked.join(join(terms), "key").filter(F.col("piece").substr(F.col("at"), F.char_length("term")) == F.col("term"))
+        met = asked.join(F.broadcast(terms), "key") if sent else _sifted(asked, terms, "key").join(terms.hint("merge"), "key")
+        hits = met.filter(F.col("piece").substr(F.col("at"), F.char_length("term")) == F.col("term"))
         return hits.groupBy("piece").agg(F.min("rank").alias("rank"))
 
     # A piece is at least as long as the shortest term.
     head, rest = _head(index, "term")
     if head is None:
-        return lowest(pieces, rest, lambda t: t.hint("merge"))
-    near = lowest(pieces, head, F.broadcast)
+        return lowest(pieces, rest, False)
+    near = lowest(pieces, head, True)
     if rest is None:
         return near
     near = _stored(near, "near-pieces")
-    return near.unionByName(lowest(pieces.join(near, "piece", "left_anti"), rest, lambda t: t.hint("merge")))
+    return near.unionByName(lowest(pieces.join(near, "piece", "left_anti"), rest, False))
 
 
 def score_by_lexicon(
@@ -141,10 +160,9 @@ def score_by_lexicon(
     first = met.groupBy(*keys, "_h1", "_h2").agg(F.min("rank").alias("rank"), times.alias("_times"))
     if rest is not None:
         first = _stored(first, "near-texts")
-        open_texts = first.filter("rank IS NULL").select("_h1", "_h2").distinct()
-        few = open_texts.count() * 64 <= SMALL
-        some = low.join(F.broadcast(open_texts) if few else open_texts.hint("merge"), ["_h1", "_h2"], "left_semi")
-        asked = some.select("_h1", "_h2", F.explode(found).alias("piece"))
+        # Some settled texts among them do no harm: only the open ones take what is found.
+        some = _sifted(low, first.filter("rank IS NULL"), "_h1", "_h2")
+        asked = _sifted(some.select("_h1", "_h2", F.explode(found).alias("piece")), rest, "piece")
         far = asked.join(rest.hint("merge"), "piece").groupBy("_h1", "_h2").agg(F.min("rank").alias("_far"))
         later = first.filter("rank IS NULL").join(far, ["_h1", "_h2"], "left").withColumn("rank", F.col("_far")).drop("_far")
         first = first.filter("rank IS NOT NULL").unionByName(later)

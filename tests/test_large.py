@@ -67,6 +67,19 @@ def test_large_lexicon_by_its_lowest_ranks_first(spark, monkeypatch, small):
     assert sorted(map(tuple, got.collect())) == sorted((i, *first_hit(text, terms)) for i, text in rows)
 
 
+def test_a_sieve_holds_back_what_is_not_asked_for(spark):
+    """Every row with one of the keys, and few others, by one column or two."""
+    rows = spark.range(20_000).selectExpr("cast(id AS STRING) AS word", "id % 7 AS part")
+    rows = rows.unionByName(rows.limit(50)).unionByName(spark.sql("SELECT cast(NULL AS STRING) AS word, 0L AS part"))
+    keys = spark.range(0, 20_000, 40).selectExpr("cast(id AS STRING) AS word", "id % 7 AS part")
+    for cols in (["word"], ["word", "part"]):
+        met = lexicon._sifted(rows, keys, *cols)
+        assert met.columns == rows.columns
+        assert met.join(keys, cols).count() == rows.join(keys, cols).count() == 502
+        assert met.count() < 1000
+    assert lexicon._sifted(rows, keys.limit(0), "word").count() == 0
+
+
 def test_fold_equals_a_plain_loop(spark):
     rng = random.Random(2)
     rows = [(rng.choice(["hot", "hot", "a", "b", None]), rng.choice([0.8, -0.6]), rng.randrange(5000)) for _ in range(3000)]

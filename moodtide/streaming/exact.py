@@ -4,9 +4,10 @@ Two queries. ``start_pairs`` follows each partition's stream time from record to
 the running maximum of ``operators.lateness``, over buckets of offsets, and from batch to batch by a table with a row
 per partition. It writes every (record, window) pair, those that come too late apart from the others. ``updates``
 reads the pairs in time and keeps sum and count per (partition, user, window) in the state store: each pair
-gives the window's mean after its record. The users of a window lie there in ``GROUPS`` rows by their hash, as Python
-asks the store once a row and not once a user. A timer ends a window's state once every partition's
-stream time has closed the window, so that none is dropped that may still come.
+gives the window's mean after its record. The users of ``WINDOWS`` windows in a row lie there in ``GROUPS`` rows by their
+hash, as Python asks the store once a row and not once a user and window. A window leaves its row when that is written
+again after every partition's stream time has closed the window, and a timer ends the row once that holds for all its
+windows, so that none is dropped that may still come.
 
 Spark's watermark decides nothing about lateness here. It follows ``low``, the stream time that all
 partitions have passed, and does not lead any pair.
@@ -37,8 +38,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PAIRS = "late BOOLEAN, partition INT, offset BIGINT, user_id STRING, window_start BIGINT, window_end BIGINT, sentiment_score DOUBLE, stream_time BIGINT, low BIGINT"
 UPDATES = "partition INT, offset BIGINT, user_id STRING, window_start BIGINT, window_end BIGINT, seq INT, n BIGINT, average_score DOUBLE"
 _TIMES = "partition INT, stream_time BIGINT, low BIGINT"
-# Rows of state that the users of a (partition, window) are dealt to. Fixed when a query first starts.
+# Rows of state that the users of a partition's windows are dealt to, and how many windows share them. Fixed when a query
+# first starts.
 GROUPS = 64
+WINDOWS = 16
 
 
 def _batch(path: str, kind: str, batch_id: int) -> str:
@@ -117,40 +120,51 @@ def read_pairs(spark: SparkSession, path: str, late: bool = False, streaming: bo
 
 
 class Updates(StatefulProcessor):
-    """Sum and count of each (partition, user, window) of a group of users, and an update for each record in offset order."""
+    """Sum and count of each (partition, user, window) of a group of users and some windows, and an update for each record
+    in offset order."""
 
-    def __init__(self, grace_ms: int) -> None:
-        self.grace_ms = grace_ms
+    def __init__(self, closes_ms: int, row_ends_ms: int) -> None:
+        # From a window's start to when it closes, and from that of a row's first window to when the last one does.
+        self.closes_ms, self.row_ends_ms = closes_ms, row_ends_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.totals = handle.getValueState("totals", "user_ids ARRAY<STRING>, score_sums ARRAY<DOUBLE>, counts ARRAY<BIGINT>")
+        fields = "window_starts ARRAY<BIGINT>, user_ids ARRAY<STRING>, score_sums ARRAY<DOUBLE>, counts ARRAY<BIGINT>"
+        self.totals = handle.getValueState("totals", fields)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        partition, window_start, _ = key
+        partition, first_start, _ = key
         held = self.totals.get()
-        totals = {user_id: (total, n) for user_id, total, n in zip(*held)} if held is not None else {}
-        # What a micro-batch has of one window and group.
-        some = pd.concat(list(rows)).sort_values("offset", kind="stable", ignore_index=True)
+        # A window that all partitions have passed gets no more pairs.
+        passed = timerValues.getCurrentWatermarkInMs() - self.closes_ms
+        totals = {(start, user_id): (total, n) for start, user_id, total, n in zip(*held) if start > passed} if held is not None else {}
+        # What a micro-batch has of these windows and group; a record has a pair for every window that it lies in.
+        some = pd.concat(list(rows)).sort_values(["offset", "window_start"], kind="stable", ignore_index=True)
         if some["sentiment_score"].isna().any():
             raise ValueError("a pair without a score")
         user, user_ids = pd.factorize(some["user_id"])
-        before = [totals.get(user_id, (0.0, 0)) for user_id in user_ids]
-        scores = some["sentiment_score"].groupby(user)
-        total = np.array([t for t, _ in before])[user] + scores.cumsum().to_numpy()
-        n = np.array([n for _, n in before])[user] + scores.cumcount().to_numpy() + 1
+        window, starts = pd.factorize(some["window_start"])
+        number, places = pd.factorize(window * len(user_ids) + user)
+        names = [(int(starts[place // len(user_ids)]), user_ids[place % len(user_ids)]) for place in places]
+        before = [totals.get(name, (0.0, 0)) for name in names]
+        scores = some["sentiment_score"].groupby(number)
+        total = np.array([t for t, _ in before])[number] + scores.cumsum().to_numpy()
+        n = np.array([n for _, n in before])[number] + scores.cumcount().to_numpy() + 1
         yield pd.DataFrame(
             {
-                "partition": partition, "offset": some["offset"], "user_id": some["user_id"], "window_start": window_start,
+                "partition": partition, "offset": some["offset"], "user_id": some["user_id"], "window_start": some["window_start"],
                 "window_end": some["window_end"], "seq": 1, "n": n, "average_score": total / n,
             }
         )
-        # A user's last record comes last.
-        totals.update(zip(some["user_id"], zip(total.tolist(), n.tolist())))
+        # A window's and user's last record comes last.
+        last = np.zeros(len(names), dtype=np.int64)
+        last[number] = np.arange(len(number))
+        totals.update(zip(names, zip(total[last].tolist(), n[last].tolist())))
         if held is None:
-            self.handle.registerTimer(int(some["window_end"].iloc[0]) + self.grace_ms)
+            self.handle.registerTimer(int(first_start) + self.row_ends_ms)
+        window_starts, held_ids = zip(*totals)
         sums, counts = zip(*totals.values())
-        self.totals.update((list(totals), list(sums), list(counts)))
+        self.totals.update((list(window_starts), list(held_ids), list(sums), list(counts)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         self.totals.clear()
@@ -160,14 +174,18 @@ class Updates(StatefulProcessor):
         pass
 
 
-def updates(pairs: DataFrame, hop: Hop = DEFAULT_HOP, groups: int = GROUPS) -> DataFrame:
+def updates(pairs: DataFrame, hop: Hop = DEFAULT_HOP, groups: int = GROUPS, windows: int = WINDOWS) -> DataFrame:
     """Streaming pairs in time -> every update of every mean, as ``operators.changelog`` has them in batch. A micro-batch
-    rewrites the state of the groups that it has records of: more ``groups`` rewrite less, and cost more calls."""
+    rewrites the open windows in the rows of state that it has records of: more ``groups`` rewrite less, and cost more
+    calls; more ``windows`` to a row cost fewer calls where a micro-batch spans many, and more memory of a task."""
+    span = hop.advance_ms * windows
     # A row at the watermark counts as too late for Spark: a millisecond ahead of it none ever is.
     timed = pairs.withColumn("_low", F.timestamp_millis(F.col("low") + 1)).withWatermark("_low", "1 millisecond")
-    timed = timed.withColumn("_group", F.pmod(F.xxhash64("user_id"), F.lit(groups)).cast("int"))
-    return timed.groupBy("partition", "window_start", "_group").transformWithStateInPandas(
-        Updates(hop.grace_ms), UPDATES, outputMode="Append", timeMode="EventTime"
+    start = F.col("window_start")
+    timed = timed.withColumns({"_first": start - F.pmod(start, F.lit(span)), "_group": F.pmod(F.xxhash64("user_id"), F.lit(groups)).cast("int")})
+    closes = hop.size_ms + hop.grace_ms
+    return timed.groupBy("partition", "_first", "_group").transformWithStateInPandas(
+        Updates(closes, span - hop.advance_ms + closes), UPDATES, outputMode="Append", timeMode="EventTime"
     )
 
 

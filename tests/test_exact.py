@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import os
 import random
+import subprocess
+import sys
 
+import pyspark
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from moodtide.operators import changelog, duplicates, lateness
@@ -94,6 +98,37 @@ def test_users_of_a_window_share_rows_of_state(spark, tmp_path):
     assert 0 < held < in_time.select("partition", "user_id", "window_start").distinct().count()
 
 
+def test_windows_in_a_row_share_rows_of_state(spark, tmp_path):
+    """Fewer rows of state than windows, over two micro-batches that meet the same windows; what is written again has
+    open windows only."""
+    base, folder, out = 1_700_000_000_000, tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    rows = [(0, i, "a", base + i * 10_000, 0.8 if i % 3 else -0.6) for i in range(300)]
+    for number, (first, last) in enumerate([(0, 130), (130, 135), (135, 300)]):
+        write(spark, folder, number, rows[first:last])
+    exact.start_pairs(stream(spark, folder), out, f"{out}/a", HOP, 1, ALL_AVAILABLE, bucket_bits=4).awaitTermination()
+    pairs = exact.read_pairs(spark, out, streaming=True, files_per_trigger=1)
+    query = exact.start_updates(pairs, f"{out}/log", f"{out}/b", HOP, ALL_AVAILABLE)
+    query.awaitTermination()
+    in_time = lateness.windowed_in_time(as_scores(spark.createDataFrame(rows, SCHEMA)), HOP)
+    assert plain(spark.read.schema(exact.UPDATES).parquet(f"{out}/log")) == plain(changelog.alert_changelog(in_time, HOP))
+    # A row for the totals of 16 windows, and two or less of its timer.
+    held = max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"])
+    assert 0 < held <= 3 * (in_time.select("window_start").distinct().count() // exact.WINDOWS + 2)
+    kept = spark.read.format("statestore").option("stateVarName", "totals").load(f"{out}/b")
+    starts = sorted(start for row in kept.select("value.window_starts").collect() for start in row.window_starts)
+    # Batches tell what the ones before have passed, and rows of state that no record comes to wait for their timer.
+    assert starts and min(starts) > base
+
+
+def test_the_processor_needs_no_package_where_it_goes():
+    """Workers that cannot import this package take it."""
+    lines = f"import pickle; pickle.loads({cloudpickle.dumps(exact.Updates(90_000, 540_000))!r})"
+    # Isolated: neither this folder nor PYTHONPATH is searched.
+    lines = f"import sys; sys.path.insert(0, {os.path.dirname(os.path.dirname(pyspark.__file__))!r}); {lines}"
+    subprocess.run([sys.executable, "-I", "-c", lines], check=True, cwd="/")
+
+
 def test_a_repeated_batch_is_the_same_batch(spark, tmp_path):
     out, rows = str(tmp_path / "out"), list(made_rows(60))
     batches = [as_scores(spark.createDataFrame(part, SCHEMA)) for part in (rows[:20], rows[20:40], rows[40:])]
